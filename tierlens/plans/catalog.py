@@ -29,7 +29,11 @@ def query(name: str):
 
 
 def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Output normalisation to 6 decimals as round(x * 1e6) / 1e6 (half away
+    from zero on the scaled double), the arithmetic SQL engines use, so
+    exact ties at the 7th decimal round the same way everywhere."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.round(x * F.lit(1e6), 0) / F.lit(1e6)
 
 
 def customer_scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,3 +47,195 @@ def entity_risk_tier(spark: SparkSession, sf: str) -> DataFrame:
     scored = customer_scored(spark, sf)
     tiers = lab.tier_labels(scored, "stability_score", "stability_label")
     return tiers.select("entity_key", r6("stability_score").alias("stability_score"), "stability_label")
+
+
+# ---------------------------------------------------------------------------
+# Cleaning (X1, P1-P7, A1, A2, P16, K1) on fixture D / customer+nation
+# ---------------------------------------------------------------------------
+from ..operators import clean as cl  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+EXCLUDED_NATIONS = ("NATION_3", "NATION_7", "NATION_11", "NATION_19", "NATION_23")
+DIRTY_RENAMES = {"bal_txt": "Balance ($)", "pct_txt": "Max Discount (%)", "cnt_txt": "Items/1000",
+                 "name_txt": "Customer-Name\n"}
+CURATED_MAP = {"Balance ($)": "balance", "Segment Name": "segment"}
+
+
+def dirty(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.dirty_strings(spark, sf).select("entity_key", "name_txt", "bal_txt", "pct_txt", "cnt_txt")
+
+
+@query("clean_numeric_strings")
+def clean_numeric_strings(spark, sf):
+    d = cl.clean_numeric(dirty(spark, sf), ["bal_txt", "pct_txt", "cnt_txt"])
+    return d.select("entity_key", "name_txt", r6("bal_txt").alias("balance"),
+                    r6("pct_txt").alias("max_disc_pct"), r6("cnt_txt").alias("items_k"))
+
+
+@query("detect_numeric_columns")
+def detect_numeric_columns(spark, sf):
+    return cl.detect_numeric(dirty(spark, sf), exclude=["entity_key"])
+
+
+@query("normalize_columns")
+def normalize_columns(spark, sf):
+    d = dirty(spark, sf)
+    d = d.select("entity_key", *[F.col(k).alias(v) for k, v in DIRTY_RENAMES.items()])
+    d = cl.clean_names(d, CURATED_MAP)
+    d = cl.convert_detected(d, exclude=["entity_key"])
+    return d.select("entity_key", r6("balance").alias("balance"), r6("Max_Discount_pct").alias("Max_Discount_pct"),
+                    r6("Items_1000").alias("Items_1000"), "Customer_Name")
+
+
+@query("exclude_entities")
+def exclude_entities(spark, sf):
+    cust = table(spark, sf, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"])
+    nat = table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    ent = cust.join(nat, cust.c_nationkey == nat.n_nationkey, "left").select(
+        F.col("c_custkey").alias("entity_key"),
+        F.when(F.col("c_custkey") % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name"))
+        .alias("nation_name"),
+        "c_name", "n_nationkey", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    ent = cl.drop_columns(ent, ["c_name", "n_nationkey", "c_phone"])
+    return cl.exclude_keys(ent, "nation_name", EXCLUDED_NATIONS)
+
+
+@query("missing_flags")
+def missing_flags(spark, sf):
+    c = fx.customer_indicators(spark, sf)
+    f = cl.missing_flags(c, ["balance", "avg_discount", "revenue"])
+    return f.select("entity_key", "balance_is_missing", "avg_discount_is_missing", "revenue_is_missing")
+
+
+def dirty_parsed(spark, sf):
+    return cl.clean_numeric(dirty(spark, sf), ["bal_txt", "pct_txt", "cnt_txt"])
+
+
+@query("missing_profile")
+def missing_profile(spark, sf):
+    return cl.missing_profile(dirty_parsed(spark, sf))
+
+
+@query("missing_total")
+def missing_total(spark, sf):
+    return cl.missing_total(dirty_parsed(spark, sf))
+
+
+@query("missing_over_threshold")
+def missing_over_threshold(spark, sf):
+    return cl.missing_over(cl.missing_profile(fx.customer_indicators(spark, sf)), 10.0, top=10)
+
+
+# ---------------------------------------------------------------------------
+# Moments, quantiles, IQR capping (A4, A5, W2, A10) on fixture L
+# ---------------------------------------------------------------------------
+from ..operators import stats as st  # noqa: E402
+
+L_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("column_moments")
+def column_moments(spark, sf):
+    one = st.fit_moments(fx.lineitem_wide(spark, sf), L_COLS, ddof=1, extra=("min", "max", "n"))
+    stack = ", ".join(f"'{c}', `{c}__n`, `{c}__mean`, `{c}__sd`, `{c}__min`, `{c}__max`" for c in L_COLS)
+    long = one.selectExpr(f"stack({len(L_COLS)}, {stack}) AS (column_name, n, mean, sd, min_value, max_value)")
+    return long.select("column_name", F.col("n").cast("long").alias("n"), r6("mean").alias("mean"),
+                       r6("sd").alias("sd"), r6("min_value").alias("min_value"), r6("max_value").alias("max_value"))
+
+
+@query("column_quantiles")
+def column_quantiles(spark, sf):
+    one = st.quantile_row(fx.lineitem_wide(spark, sf), L_COLS, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+    stack = ", ".join(f"'{c}', `{c}__q25`, `{c}__q50`, `{c}__q75`" for c in L_COLS)
+    long = one.selectExpr(f"stack({len(L_COLS)}, {stack}) AS (column_name, q25, q50, q75)")
+    return long.select("column_name", r6("q25").alias("q25"), r6("q50").alias("q50"), r6("q75").alias("q75"))
+
+
+def lineitem_keyed(spark, sf):
+    return table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", *L_COLS])
+
+
+@query("iqr_cap")
+def iqr_cap(spark, sf):
+    li = lineitem_keyed(spark, sf)
+    bounds = lab.fit_iqr(li, L_COLS)
+    capped = lab.apply_iqr(li, bounds, L_COLS)
+    return capped.select("l_orderkey", "l_linenumber", *[r6(c).alias(c) for c in L_COLS])
+
+
+@query("iqr_cap_counts")
+def iqr_cap_counts(spark, sf):
+    li = lineitem_keyed(spark, sf)
+    out = lab.iqr_cap_counts(li, lab.fit_iqr(li, L_COLS), L_COLS)
+    return out.select("column_name", r6("q1").alias("q1"), r6("q3").alias("q3"),
+                      r6("lower_bound").alias("lower_bound"), r6("upper_bound").alias("upper_bound"),
+                      F.col("n_low").cast("long").alias("n_low"), F.col("n_high").cast("long").alias("n_high"))
+
+
+# ---------------------------------------------------------------------------
+# Feature patterns (X2, X5-X10; F1-F25 patterns) on fixture C
+# ---------------------------------------------------------------------------
+
+def customer_featured(spark, sf, features=None):
+    c = fx.customer_indicators(spark, sf)
+    return feat.engineer(c, list(cp.PRESET.features) if features is None else features)[0]
+
+
+def _sel(df, cols):
+    return df.select("entity_key", *[r6(c).alias(c) for c in cols])
+
+
+@query("safe_ratio_features")
+def safe_ratio_features(spark, sf):
+    return _sel(customer_featured(spark, sf, cp.RATIOS), [f.name for f in cp.RATIOS])
+
+
+@query("log_abs_gap_features")
+def log_abs_gap_features(spark, sf):
+    return _sel(customer_featured(spark, sf, cp.LOG_ABS_GAP), [f.name for f in cp.LOG_ABS_GAP])
+
+
+def _ix(names):
+    return [f for f in cp.INDICES if f.name in names]
+
+
+@query("stress_index")
+def stress_index(spark, sf):
+    cols = ["stress_index", "pressure_pair"]
+    return _sel(customer_featured(spark, sf, list(cp.RATIOS) + _ix(cols)), cols)
+
+
+@query("pressure_index")
+def pressure_index(spark, sf):
+    cols = ["pressure_index", "capital_index"]
+    return _sel(customer_featured(spark, sf, _ix(cols)), cols)
+
+
+@query("signed_mean_index")
+def signed_mean_index(spark, sf):
+    cols = ["health_index", "env_index"]
+    return _sel(customer_featured(spark, sf, list(cp.RATIOS) + _ix(cols)), cols)
+
+
+@query("access_score")
+def access_score(spark, sf):
+    return _sel(customer_featured(spark, sf, _ix(["access_score"])), ["access_score"])
+
+
+def customer_labelled(spark, sf):
+    """Fixture C with every feature, the score and the tier label (O3)."""
+    c = fx.customer_indicators(spark, sf)
+    f = feat.engineer(c, list(cp.PRESET.features) + [cp.SCORE])[0]
+    return lab.tier_labels(f, "stability_score", "stability_label")
+
+
+@query("drop_leaky")
+def drop_leaky(spark, sf):
+    d = lab.drop_leaky(customer_labelled(spark, sf), cp.PRESET, additional=["entity_key"])
+    return d.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes])
+
+
+@query("class_distribution")
+def class_distribution(spark, sf):
+    tiers = lab.tier_labels(customer_scored(spark, sf), "stability_score", "stability_label")
+    return lab.class_distribution(tiers, "stability_label", dict(cp.PRESET.class_labels))

@@ -29,3 +29,198 @@ SELECT entity_key, {r6('score')} AS stability_score,
        CAST(CASE WHEN score <= t1 THEN 2 WHEN score <= t2 THEN 1 ELSE 0 END AS INTEGER) AS stability_label
 FROM sc CROSS JOIN t WHERE score IS NOT NULL
 """
+
+# ---------------------------------------------------------------------------
+# Cleaning
+# ---------------------------------------------------------------------------
+D = f"d AS ({DIRTY_SOURCE_SQL})"
+_BAL = "(CASE WHEN entity_key % 10 IN (0, 1, 2) THEN NULL ELSE src_balance END)"
+_PCT = "round(src_max_disc * 100, 2)"
+_CNT = "CAST(src_n_items * 1000 AS DOUBLE)"
+
+ORACLE["clean_numeric_strings"] = f"""
+WITH {D}
+SELECT entity_key, name_txt, {r6(_BAL)} AS balance, {r6(_PCT)} AS max_disc_pct, {r6(_CNT)} AS items_k FROM d
+"""
+
+_NUM_RE = r"[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
+ORACLE["detect_numeric_columns"] = f"""
+WITH {D},
+x AS (
+  SELECT 'name_txt' AS column_name, count(name_txt) AS n_values,
+         count(*) FILTER (WHERE regexp_full_match(trim(replace(replace(replace(name_txt, '$', ''), '%', ''), ',', '')),
+                                                  '{_NUM_RE}')) AS n_numeric FROM d
+  UNION ALL SELECT 'bal_txt', count(*) FILTER (WHERE entity_key % 10 <> 2), count(*) FILTER (WHERE entity_key % 10 <> 2) FROM d
+  UNION ALL SELECT 'pct_txt', count(src_max_disc), count(src_max_disc) FROM d
+  UNION ALL SELECT 'cnt_txt', count(src_n_items), count(src_n_items) FROM d)
+SELECT column_name, CAST(n_values AS BIGINT) AS n_values, CAST(n_numeric AS BIGINT) AS n_numeric,
+       {r6("coalesce(CAST(n_numeric AS DOUBLE) / nullif(CAST(n_values AS DOUBLE), 0), 0.0::DOUBLE)")} AS numeric_share,
+       coalesce(CAST(n_numeric AS DOUBLE) / nullif(CAST(n_values AS DOUBLE), 0), 0.0::DOUBLE) > 0.7 AS is_numeric
+FROM x
+"""
+
+ORACLE["normalize_columns"] = f"""
+WITH {D}
+SELECT entity_key, {r6(_BAL)} AS balance, {r6(_PCT)} AS Max_Discount_pct, {r6(_CNT)} AS Items_1000,
+       name_txt AS Customer_Name FROM d
+"""
+
+ORACLE["exclude_entities"] = """
+WITH e AS (
+  SELECT c_custkey AS entity_key, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE n_name END AS nation_name,
+         c_mktsegment AS segment, c_acctbal AS balance
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+SELECT * FROM e
+WHERE nation_name IS NULL OR nation_name NOT IN ('NATION_3', 'NATION_7', 'NATION_11', 'NATION_19', 'NATION_23')
+"""
+
+ORACLE["missing_flags"] = f"""
+WITH {C}
+SELECT entity_key, CAST(balance IS NULL AS INTEGER) AS balance_is_missing,
+       CAST(avg_discount IS NULL AS INTEGER) AS avg_discount_is_missing,
+       CAST(revenue IS NULL AS INTEGER) AS revenue_is_missing FROM c
+"""
+
+_PROFILE_D = f"""
+WITH {D},
+p AS (SELECT entity_key, name_txt, {_BAL} AS bal_txt, {_PCT} AS pct_txt, {_CNT} AS cnt_txt FROM d),
+m AS (
+  SELECT 0 AS ordinal, 'entity_key' AS column_name, 'bigint' AS dtype, count(*) FILTER (WHERE entity_key IS NULL) AS missing_count, count(*) AS n FROM p
+  UNION ALL SELECT 1, 'name_txt', 'string', count(*) FILTER (WHERE name_txt IS NULL), count(*) FROM p
+  UNION ALL SELECT 2, 'bal_txt', 'double', count(*) FILTER (WHERE bal_txt IS NULL OR isnan(bal_txt)), count(*) FROM p
+  UNION ALL SELECT 3, 'pct_txt', 'double', count(*) FILTER (WHERE pct_txt IS NULL OR isnan(pct_txt)), count(*) FROM p
+  UNION ALL SELECT 4, 'cnt_txt', 'double', count(*) FILTER (WHERE cnt_txt IS NULL OR isnan(cnt_txt)), count(*) FROM p)"""
+
+ORACLE["missing_profile"] = f"""{_PROFILE_D}
+SELECT CAST(ordinal AS INTEGER) AS ordinal, column_name, dtype, CAST(missing_count AS BIGINT) AS missing_count,
+       round_even(missing_count * 100.0 / CAST(n AS DOUBLE), 2) AS missing_pct FROM m
+"""
+
+ORACLE["missing_total"] = f"""{_PROFILE_D}
+SELECT CAST(sum(missing_count) AS BIGINT) AS missing_cells, CAST(max(n) * 5 AS BIGINT) AS total_cells,
+       {r6("sum(missing_count) * 100.0 / CAST(max(n) * 5 AS DOUBLE)")} AS missing_pct FROM m
+"""
+
+_C_COLS = [("entity_key", "bigint"), ("segment", "string"), ("nation_key", "int"), ("balance", "double"),
+           ("n_orders", "double"), ("n_items", "double"), ("revenue", "double"), ("avg_order", "double"),
+           ("avg_tax", "double"), ("avg_discount", "double"), ("returned_share", "double")]
+_C_MISS = "\n  UNION ALL ".join(
+    f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS dtype, count(*) FILTER (WHERE {c} IS NULL"
+    + (f" OR isnan({c})" if t == "double" else "") + ") AS missing_count, count(*) AS n FROM c"
+    for i, (c, t) in enumerate(_C_COLS))
+ORACLE["missing_over_threshold"] = f"""
+WITH {C}, m AS ({_C_MISS}),
+p AS (SELECT CAST(ordinal AS INTEGER) AS ordinal, column_name, dtype, CAST(missing_count AS BIGINT) AS missing_count,
+             round_even(missing_count * 100.0 / CAST(n AS DOUBLE), 2) AS missing_pct FROM m)
+SELECT * FROM p WHERE missing_pct > 10 ORDER BY missing_pct DESC, ordinal LIMIT 10
+"""
+
+# ---------------------------------------------------------------------------
+# Moments, quantiles, IQR
+# ---------------------------------------------------------------------------
+_L = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+ORACLE["column_moments"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n, {r6(f'avg({c})')} AS mean, "
+    f"{r6(f'stddev_samp({c})')} AS sd, {r6(f'min({c})')} AS min_value, {r6(f'max({c})')} AS max_value FROM lineitem"
+    for c in _L)
+
+ORACLE["column_quantiles"] = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {r6(f'quantile_cont({c}, 0.25)')} AS q25, {r6(f'quantile_cont({c}, 0.5)')} AS q50, "
+    f"{r6(f'quantile_cont({c}, 0.75)')} AS q75 FROM lineitem" for c in _L)
+
+_IQR = ("b AS (SELECT " + ", ".join(
+    f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3" for c in _L) + " FROM lineitem),\n"
+    "bb AS (SELECT *, " + ", ".join(
+        f"{c}_q1 - 1.5 * ({c}_q3 - {c}_q1) AS {c}_lo, {c}_q3 + 1.5 * ({c}_q3 - {c}_q1) AS {c}_hi" for c in _L)
+    + " FROM b)")
+
+ORACLE["iqr_cap"] = f"""
+WITH {_IQR}
+SELECT l_orderkey, l_linenumber, """ + ", ".join(
+    r6(f"CASE WHEN {c} < {c}_lo THEN {c}_lo WHEN {c} > {c}_hi THEN {c}_hi ELSE {c} END") + f" AS {c}" for c in _L) + """
+FROM lineitem CROSS JOIN bb
+"""
+
+ORACLE["iqr_cap_counts"] = f"WITH {_IQR}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {r6(f'max({c}_q1)')} AS q1, {r6(f'max({c}_q3)')} AS q3, {r6(f'max({c}_lo)')} AS lower_bound, "
+    f"{r6(f'max({c}_hi)')} AS upper_bound, CAST(count(*) FILTER (WHERE {c} < {c}_lo) AS BIGINT) AS n_low, "
+    f"CAST(count(*) FILTER (WHERE {c} > {c}_hi) AS BIGINT) AS n_high FROM lineitem CROSS JOIN bb" for c in _L)
+
+# ---------------------------------------------------------------------------
+# Features over fixture C
+# ---------------------------------------------------------------------------
+_RATIOS = {
+    "revenue_per_order": safe_div("revenue", "n_orders"),
+    "tax_to_discount": safe_div("avg_tax", "avg_discount"),
+    "balance_per_revenue": safe_div("balance", "revenue"),
+    "items_per_order": safe_div("n_items", "n_orders"),
+    "discount_per_item": safe_div("avg_discount", "n_items"),
+}
+
+
+def _log1p0(x: str) -> str:
+    return f"ln(1 + CASE WHEN {x} < 0 THEN 0.0::DOUBLE ELSE {x} END)"
+
+
+_LOGS = {
+    "log_revenue": _log1p0("revenue"),
+    "log_orders": _log1p0("n_orders"),
+    "log_balance": _log1p0("balance"),
+    "abs_balance": "abs(balance)",
+    "order_gap": "CASE WHEN avg_order - balance < 0 THEN 0.0::DOUBLE ELSE avg_order - balance END",
+}
+_ZCOLS = ["avg_discount", "returned_share", "avg_tax", "revenue_per_order", "balance", "avg_order", "n_items",
+          "revenue"]
+_REV = "(100.0::DOUBLE - coalesce(avg_discount, 50.0::DOUBLE))"
+_INDEX = {
+    "stress_index": f"{rowmean([z('avg_discount'), z('returned_share'), z('avg_tax')])} - "
+                    f"{rowmean([z('revenue_per_order'), z('balance')])}",
+    "pressure_pair": f"({z('avg_discount')} + {z('returned_share')}) / 2.0::DOUBLE",
+    "health_index": f"{rowmean([z('balance'), z('avg_order')])} - "
+                    f"{rowmean([z('returned_share'), z('avg_discount'), z('avg_tax')])}",
+    "pressure_index": rowmean([z('returned_share'), z('avg_discount')]),
+    "access_score": f"({z('avg_order')} + (CASE WHEN s.drev_sd IS NULL OR s.drev_sd = 0 THEN 0.0::DOUBLE "
+                    f"ELSE ({_REV} - s.drev_mean) / s.drev_sd END)) / 2.0::DOUBLE",
+    "capital_index": rowmean([z('balance'), z('avg_order'), z('n_items')]),
+    "env_index": rowmean([z('revenue_per_order'), f"(-{z('balance')})", z('avg_tax')]),
+    "stability_score": f"{rowmean([z('balance'), z('revenue'), z('avg_order')])} - "
+                       f"{rowmean([z('returned_share'), z('avg_discount')])}",
+}
+
+FEAT = f"""{C},
+l1 AS (SELECT c.*, {", ".join(f"{v} AS {k}" for k, v in {**_RATIOS, **_LOGS}.items())} FROM c),
+s AS (SELECT {moments(_ZCOLS)}, avg({_REV}) AS drev_mean, stddev_samp({_REV}) AS drev_sd FROM l1),
+f AS (SELECT l1.*, {", ".join(f"{v} AS {k}" for k, v in _INDEX.items())} FROM l1 CROSS JOIN s),
+t AS (SELECT quantile_cont(stability_score, 1/3) AS t1, quantile_cont(stability_score, 2/3) AS t2
+      FROM f WHERE stability_score IS NOT NULL),
+fl AS (SELECT f.*, CAST(CASE WHEN stability_score <= t1 THEN 2 WHEN stability_score <= t2 THEN 1 ELSE 0 END
+                        AS INTEGER) AS stability_label
+       FROM f CROSS JOIN t WHERE stability_score IS NOT NULL)"""
+
+
+def _feat_select(cols: list[str]) -> str:
+    return f"WITH {FEAT}\nSELECT entity_key, " + ", ".join(f"{r6(c)} AS {c}" for c in cols) + " FROM f"
+
+
+ORACLE["safe_ratio_features"] = _feat_select(list(_RATIOS))
+ORACLE["log_abs_gap_features"] = _feat_select(list(_LOGS))
+ORACLE["stress_index"] = _feat_select(["stress_index", "pressure_pair"])
+ORACLE["pressure_index"] = _feat_select(["pressure_index", "capital_index"])
+ORACLE["signed_mean_index"] = _feat_select(["health_index", "env_index"])
+ORACLE["access_score"] = _feat_select(["access_score"])
+
+_KEPT_DOUBLE = ["n_orders", "n_items", "avg_tax", "revenue_per_order", "tax_to_discount", "balance_per_revenue",
+                "items_per_order", "discount_per_item", "log_revenue", "log_orders", "log_balance", "abs_balance",
+                "order_gap", "stress_index", "pressure_pair", "capital_index", "env_index"]
+ORACLE["drop_leaky"] = (f"WITH {FEAT}\nSELECT segment, nation_key, "
+                        + ", ".join(f"{r6(c)} AS {c}" for c in _KEPT_DOUBLE) + ", stability_label FROM fl")
+
+ORACLE["class_distribution"] = f"""
+WITH {FEAT},
+cnt AS (SELECT stability_label AS label, count(*) AS n FROM fl GROUP BY stability_label),
+tot AS (SELECT count(*) AS total FROM fl)
+SELECT label, CAST(n AS BIGINT) AS n, {r6("n / total * 100.0")} AS pct, round_even(n / total, 3) AS share,
+       CASE label WHEN 0 THEN 'Stable' WHEN 1 THEN 'Watch' WHEN 2 THEN 'At-Risk' ELSE 'Unknown' END AS class_name
+FROM cnt CROSS JOIN tot
+"""
