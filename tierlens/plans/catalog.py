@@ -239,3 +239,126 @@ def drop_leaky(spark, sf):
 def class_distribution(spark, sf):
     tiers = lab.tier_labels(customer_scored(spark, sf), "stability_score", "stability_label")
     return lab.class_distribution(tiers, "stability_label", dict(cp.PRESET.class_labels))
+
+
+# ---------------------------------------------------------------------------
+# Split, folds, weights
+# ---------------------------------------------------------------------------
+from ..operators import sampling as sm  # noqa: E402
+from ..operators import metrics as mt  # noqa: E402
+
+
+def customer_by_segment(spark, sf):
+    return table(spark, sf, "customer", ["c_custkey", "c_mktsegment"]) \
+        .select(F.col("c_custkey").alias("entity_key"), F.col("c_mktsegment").alias("label"))
+
+
+@query("stratified_split")
+def stratified_split(spark, sf):
+    return sm.stratified_split(customer_by_segment(spark, sf), "label", "entity_key", 0.2, seed=42)
+
+
+@query("stratified_split_counts")
+def stratified_split_counts(spark, sf):
+    s = sm.stratified_split(customer_by_segment(spark, sf), "label", "entity_key", 0.2, seed=42)
+    return s.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stratified_folds")
+def stratified_folds(spark, sf):
+    s = sm.stratified_split(customer_by_segment(spark, sf), "label", "entity_key", 0.2, seed=42)
+    train = s.where(F.col("split") == "train").drop("split")
+    return sm.stratified_folds(train, "label", "entity_key", k=5, seed=43)
+
+
+def orders_by_status(spark, sf):
+    return table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"]) \
+        .select("o_orderkey", F.col("o_orderstatus").alias("label"))
+
+
+@query("class_weights")
+def class_weights(spark, sf):
+    w = sm.class_weights(orders_by_status(spark, sf), "label")
+    return w.select("label", "n", r6("weight").alias("weight"))
+
+
+@query("sample_weights")
+def sample_weights(spark, sf):
+    w = sm.sample_weights(orders_by_status(spark, sf), "label")
+    return w.select("o_orderkey", "label", r6("weight").alias("weight"))
+
+
+# ---------------------------------------------------------------------------
+# Metrics over fixture PR
+# ---------------------------------------------------------------------------
+PR_MODELS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+def _r6_all(df, skip=()):
+    return df.select(*[r6(c).alias(c) if t == "double" and c not in skip else F.col(c) for c, t in df.dtypes])
+
+
+def pr_counts(spark, sf, keys=("model",)):
+    return mt.confusion_counts(fx.predictions(spark, sf), keys)
+
+
+def pr_metrics(spark, sf):
+    return mt.with_registration(mt.model_metrics(pr_counts(spark, sf)), PR_MODELS)
+
+
+@query("confusion_matrix")
+def confusion_matrix(spark, sf):
+    return pr_counts(spark, sf).select("model", F.col("label").cast("int").alias("label"),
+                                       F.col("prediction").cast("int").alias("prediction"),
+                                       F.col("n").cast("long").alias("n"))
+
+
+@query("model_metrics")
+def model_metrics(spark, sf):
+    return _r6_all(mt.model_metrics(pr_counts(spark, sf)))
+
+
+@query("at_risk_recall")
+def at_risk_recall(spark, sf):
+    m = mt.model_metrics(pr_counts(spark, sf, ("model", "fold")), ("model", "fold"))
+    return m.select("model", "fold", r6("at_risk_recall").alias("at_risk_recall"))
+
+
+@query("class_report")
+def class_report(spark, sf):
+    return _r6_all(mt.class_report(pr_counts(spark, sf)))
+
+
+@query("metrics_long")
+def metrics_long(spark, sf):
+    return _r6_all(mt.metrics_long(mt.model_metrics(pr_counts(spark, sf))))
+
+
+def pr_cv_summary(spark, sf):
+    folds = mt.model_metrics(pr_counts(spark, sf, ("model", "fold")), ("model", "fold"))
+    return mt.with_registration(mt.cv_summary(folds), PR_MODELS)
+
+
+@query("cv_summary")
+def cv_summary(spark, sf):
+    return _r6_all(pr_cv_summary(spark, sf).drop("registration"))
+
+
+@query("rank_models")
+def rank_models(spark, sf):
+    return _r6_all(mt.rank_models(pr_metrics(spark, sf)).select("model", "macro_f1", "rank"))
+
+
+@query("best_by_cv")
+def best_by_cv(spark, sf):
+    return _r6_all(mt.best_by_cv(pr_cv_summary(spark, sf)).drop("registration"))
+
+
+@query("best_on_test")
+def best_on_test(spark, sf):
+    return _r6_all(mt.best_on_test(pr_metrics(spark, sf)).drop("registration"))
+
+
+@query("model_summary")
+def model_summary(spark, sf):
+    return _r6_all(mt.model_summary(pr_metrics(spark, sf)))

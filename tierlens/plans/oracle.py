@@ -224,3 +224,110 @@ SELECT label, CAST(n AS BIGINT) AS n, {r6("n / total * 100.0")} AS pct, round_ev
        CASE label WHEN 0 THEN 'Stable' WHEN 1 THEN 'Watch' WHEN 2 THEN 'At-Risk' ELSE 'Unknown' END AS class_name
 FROM cnt CROSS JOIN tot
 """
+
+# ---------------------------------------------------------------------------
+# Split, folds, weights
+# ---------------------------------------------------------------------------
+_SPLIT = """e AS (SELECT c_custkey AS entity_key, c_mktsegment AS label FROM customer),
+cc AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+tt AS (SELECT sum(n) AS total, CAST(ceil(0.2 * sum(n)) AS BIGINT) AS t FROM cc),
+q0 AS (SELECT label, n, t * n / total AS cont, floor(t * n / total) AS fl, t FROM cc CROSS JOIN tt),
+q1 AS (SELECT *, row_number() OVER (ORDER BY cont - fl DESC, label DESC) AS rr, t - sum(fl) OVER () AS extra FROM q0),
+q AS (SELECT label, CAST(fl + CASE WHEN rr <= extra THEN 1 ELSE 0 END AS BIGINT) AS quota FROM q1),
+r AS (SELECT e.*, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || CAST(entity_key AS VARCHAR)), entity_key) AS rk
+      FROM e),
+sp AS (SELECT r.entity_key, r.label, CASE WHEN rk <= quota THEN 'test' ELSE 'train' END AS split
+       FROM r JOIN q USING (label))"""
+
+ORACLE["stratified_split"] = f"WITH {_SPLIT}\nSELECT * FROM sp"
+ORACLE["stratified_split_counts"] = f"WITH {_SPLIT}\nSELECT label, split, count(*) AS n FROM sp GROUP BY label, split"
+ORACLE["stratified_folds"] = f"""WITH {_SPLIT},
+tr AS (SELECT entity_key, label, row_number() OVER (PARTITION BY label
+         ORDER BY md5('43:' || CAST(entity_key AS VARCHAR)), entity_key) AS rk FROM sp WHERE split = 'train')
+SELECT entity_key, label, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM tr
+"""
+
+_CW = """cw AS (SELECT o_orderstatus AS label, count(*) AS n FROM orders GROUP BY o_orderstatus),
+ct AS (SELECT sum(n) AS total, count(*) AS k FROM cw),
+w AS (SELECT label, n, total / (k * n) AS weight FROM cw CROSS JOIN ct)"""
+ORACLE["class_weights"] = f"WITH {_CW}\nSELECT label, CAST(n AS BIGINT) AS n, {r6('weight')} AS weight FROM w"
+ORACLE["sample_weights"] = (f"WITH {_CW}\nSELECT o_orderkey, o_orderstatus AS label, {r6('weight')} AS weight "
+                            "FROM orders LEFT JOIN w ON o_orderstatus = w.label")
+
+# ---------------------------------------------------------------------------
+# Metrics over the PR fixture
+# ---------------------------------------------------------------------------
+
+
+def _metrics_cte(keys: str) -> str:
+    k = keys
+    return f"""pr AS ({PREDICTIONS_SQL}),
+cnt AS (SELECT {k}, label, prediction, count(*) AS n FROM pr GROUP BY {k}, label, prediction),
+cls AS (SELECT DISTINCT {k}, label AS cls FROM cnt UNION SELECT DISTINCT {k}, prediction AS cls FROM cnt),
+sup AS (SELECT {k}, label AS cls, sum(n) AS support FROM cnt GROUP BY {k}, label),
+pn AS (SELECT {k}, prediction AS cls, sum(n) AS predicted FROM cnt GROUP BY {k}, prediction),
+tp AS (SELECT {k}, label AS cls, sum(n) AS tp FROM cnt WHERE label = prediction GROUP BY {k}, label),
+pc0 AS (SELECT cls.*, CAST(coalesce(tp, 0) AS BIGINT) AS tp, CAST(coalesce(support, 0) AS BIGINT) AS support,
+               CAST(coalesce(predicted, 0) AS BIGINT) AS predicted
+        FROM cls LEFT JOIN sup USING ({k}, cls) LEFT JOIN pn USING ({k}, cls) LEFT JOIN tp USING ({k}, cls)),
+pc AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0::DOUBLE ELSE tp / predicted END AS precision,
+              CASE WHEN support = 0 THEN 0.0::DOUBLE ELSE tp / support END AS recall,
+              CASE WHEN support + predicted = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * tp / (support + predicted) END AS f1
+       FROM pc0),
+mm AS (SELECT {k}, sum(tp) / sum(support) AS accuracy, avg(precision) AS macro_precision, avg(recall) AS macro_recall,
+              avg(f1) AS macro_f1, sum(f1 * support) / sum(support) AS weighted_f1,
+              coalesce(max(CASE WHEN cls = 2 THEN recall END), 0.0::DOUBLE) AS at_risk_recall
+       FROM pc GROUP BY {k})"""
+
+
+_MCOLS = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1", "at_risk_recall"]
+_REG = ("CASE model WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 "
+        "WHEN '4-NOT SPECIFIED' THEN 3 WHEN '5-LOW' THEN 4 ELSE 5 END")
+
+ORACLE["confusion_matrix"] = (f"WITH {_metrics_cte('model')}\nSELECT model, CAST(label AS INTEGER) AS label, "
+                              "CAST(prediction AS INTEGER) AS prediction, CAST(n AS BIGINT) AS n FROM cnt")
+ORACLE["model_metrics"] = f"WITH {_metrics_cte('model')}\nSELECT model, " + ", ".join(
+    f"{r6(c)} AS {c}" for c in _MCOLS) + " FROM mm"
+ORACLE["at_risk_recall"] = (f"WITH {_metrics_cte('model, fold')}\nSELECT model, fold, "
+                            f"{r6('at_risk_recall')} AS at_risk_recall FROM mm")
+ORACLE["class_report"] = f"""WITH {_metrics_cte('model')}
+SELECT model, CAST(cls AS VARCHAR) AS row_label, {r6('precision')} AS precision, {r6('recall')} AS recall,
+       {r6('f1')} AS f1, support FROM pc
+UNION ALL SELECT model, 'accuracy', NULL, NULL, {r6('sum(tp) / sum(support)')}, CAST(sum(support) AS BIGINT)
+  FROM pc GROUP BY model
+UNION ALL SELECT model, 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')},
+  CAST(sum(support) AS BIGINT) FROM pc GROUP BY model
+UNION ALL SELECT model, 'weighted avg', {r6('sum(precision * support) / sum(support)')},
+  {r6('sum(recall * support) / sum(support)')}, {r6('sum(f1 * support) / sum(support)')},
+  CAST(sum(support) AS BIGINT) FROM pc GROUP BY model
+"""
+ORACLE["metrics_long"] = f"WITH {_metrics_cte('model')}\n" + "\nUNION ALL\n".join(
+    f"SELECT model, '{c}' AS metric, {r6(c)} AS score FROM mm" for c in _MCOLS)
+
+_CVSUM = (f"{_metrics_cte('model, fold')},\ncv AS (SELECT model, "
+          "avg(accuracy) AS accuracy_mean, stddev_pop(accuracy) AS accuracy_std, "
+          "avg(macro_f1) AS f1_macro_mean, stddev_pop(macro_f1) AS f1_macro_std, "
+          "avg(weighted_f1) AS f1_weighted_mean, stddev_pop(weighted_f1) AS f1_weighted_std, "
+          "avg(macro_recall) AS recall_macro_mean, stddev_pop(macro_recall) AS recall_macro_std "
+          f"FROM mm GROUP BY model),\ncvr AS (SELECT *, {_REG} AS registration FROM cv)")
+_CVCOLS = ["accuracy_mean", "accuracy_std", "f1_macro_mean", "f1_macro_std", "f1_weighted_mean", "f1_weighted_std",
+           "recall_macro_mean", "recall_macro_std"]
+ORACLE["cv_summary"] = f"WITH {_CVSUM}\nSELECT model, " + ", ".join(f"{r6(c)} AS {c}" for c in _CVCOLS) + " FROM cv"
+ORACLE["best_by_cv"] = (f"WITH {_CVSUM}\nSELECT model, " + ", ".join(f"{r6(c)} AS {c}" for c in _CVCOLS)
+                        + " FROM cvr ORDER BY f1_macro_mean DESC, f1_weighted_mean DESC, f1_macro_std ASC, "
+                          "registration, model LIMIT 1")
+_MMR = f"{_metrics_cte('model')},\nmr AS (SELECT *, {_REG} AS registration FROM mm)"
+ORACLE["rank_models"] = (f"WITH {_MMR}\nSELECT model, {r6('macro_f1')} AS macro_f1, CAST(row_number() OVER "
+                         "(ORDER BY macro_f1 DESC, registration, model) AS INTEGER) AS rank FROM mr")
+ORACLE["best_on_test"] = (f"WITH {_MMR}\nSELECT model, " + ", ".join(f"{r6(c)} AS {c}" for c in _MCOLS)
+                          + " FROM mr ORDER BY macro_f1 DESC, at_risk_recall DESC, weighted_f1 DESC, accuracy DESC, "
+                            "registration, model LIMIT 1")
+ORACLE["model_summary"] = f"""WITH {_MMR},
+b AS (SELECT * FROM mr ORDER BY macro_f1 DESC, registration ASC LIMIT 1),
+w AS (SELECT * FROM mr ORDER BY macro_f1 ASC, registration DESC LIMIT 1)
+SELECT b.model AS best_model, w.model AS worst_model, {r6('b.macro_f1')} AS best_macro_f1,
+       {r6('w.macro_f1')} AS worst_macro_f1, {r6('b.macro_f1 - w.macro_f1')} AS gap,
+       {r6('b.accuracy')} AS best_accuracy, {r6('b.at_risk_recall')} AS best_at_risk_recall,
+       (SELECT CAST(count(*) AS BIGINT) FROM mr) AS n_models
+FROM b CROSS JOIN w
+"""
