@@ -48,8 +48,15 @@ def fit_moments(df: DataFrame, cols: Sequence[str], ddof: int = 1,
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Apply fitted state: cross join with the broadcast one-row stats table."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Apply fitted state: add the columns of a one-row stats table to every
+    row as fields of ONE scalar subquery (``DataFrame.scalar()``).
+
+    The plan stays a projection over ``df`` (no join, no shuffle of ``df``);
+    Spark runs the subquery once (``ReusedSubquery`` for every further
+    reference) and fails loudly if it ever returned more than one row.
+    """
+    sv = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("__s")).scalar()
+    return df.withColumns({c: sv[c] for c in one_row.columns})
 
 
 def zcol(c: str) -> Column:
