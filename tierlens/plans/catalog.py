@@ -362,3 +362,61 @@ def best_on_test(spark, sf):
 @query("model_summary")
 def model_summary(spark, sf):
     return _r6_all(mt.model_summary(pr_metrics(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# Scoring and scenarios
+# ---------------------------------------------------------------------------
+from ..operators import score as sc  # noqa: E402
+
+
+@query("risk_drivers")
+def risk_drivers(spark, sf):
+    d = sc.risk_drivers(customer_labelled(spark, sf), cp.RULES, "stability_label", dict(cp.PRESET.default_drivers))
+    d = sc.class_info(d, "stability_label", dict(cp.PRESET.class_labels), dict(cp.PRESET.class_text))
+    return d.select("entity_key", F.array_join("drivers", " | ").alias("drivers"),
+                    F.col("n_drivers_fired").cast("int").alias("n_fired"), "class_name", "class_text")
+
+
+@query("kpi_bands")
+def kpi_bands(spark, sf):
+    d = sc.kpi_bands(customer_featured(spark, sf), cp.BANDS)
+    return d.select("entity_key", *[b.name for b in cp.BANDS])
+
+
+@query("top_values_per_row")
+def top_values_per_row(spark, sf):
+    d = sc.top_values(fx.customer_indicators(spark, sf), cp.TOP_VALUE_COLUMNS, 3)
+    return d.select("entity_key", F.array_join("top_features", ",").alias("top_features"))
+
+
+@query("scenario_delta")
+def scenario_delta(spark, sf):
+    c = fx.customer_indicators(spark, sf)
+    stats = feat.fit_z_stats(c, feat.z_sources(c.columns, [cp.SCORE]))
+    base = feat.engineer(c, [cp.SCORE], stats=stats)[0].withColumnRenamed("stability_score", "base_score")
+    fan = sc.apply_scenarios(base, cp.SCENARIOS, cp.TOP_VALUE_COLUMNS)
+    scored = feat.engineer(fan, [cp.SCORE], stats=stats)[0]
+    return scored.select("entity_key", "scenario", r6("stability_score").alias("score"),
+                         r6(F.col("stability_score") - F.col("base_score")).alias("delta"))
+
+
+@query("range_violations")
+def range_violations(spark, sf):
+    d = sc.validate_ranges(fx.customer_indicators(spark, sf), cp.RANGES)
+    return d.select("entity_key", F.array_join("violations", ",").alias("violations"),
+                    F.size("violations").cast("int").alias("n_violations"),
+                    *[r6(r.column).alias(r.column) for r in cp.RANGES])
+
+
+@query("serving_linear_features")
+def serving_linear_features(spark, sf):
+    d = sc.serving_linear(customer_featured(spark, sf, cp.RATIOS), cp.SERVING_LINEAR, cp.SERVING_DEFAULTS)
+    return d.select("entity_key", *[r6(n).alias(n) for n, _, _ in cp.SERVING_LINEAR])
+
+
+@query("align_features")
+def align_features(spark, sf):
+    d = sc.align_features(customer_featured(spark, sf, cp.RATIOS + cp.LOG_ABS_GAP), cp.ALIGN_FEATURES,
+                          keep=["entity_key"])
+    return d.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes])

@@ -331,3 +331,85 @@ SELECT b.model AS best_model, w.model AS worst_model, {r6('b.macro_f1')} AS best
        (SELECT CAST(count(*) AS BIGINT) FROM mr) AS n_models
 FROM b CROSS JOIN w
 """
+
+# ---------------------------------------------------------------------------
+# Scoring
+# ---------------------------------------------------------------------------
+from ..presets import customer as _cp  # noqa: E402
+
+
+def _f(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def _rule(r) -> str:
+    return f"CASE WHEN coalesce({r.column}, {_f(r.absent_as)}) {r.op} {_f(r.threshold)} THEN '{r.message}' END"
+
+
+_DEFAULTS = "CASE stability_label " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _cp.PRESET.default_drivers) \
+    + " ELSE '' END"
+ORACLE["risk_drivers"] = f"""WITH {FEAT},
+rd AS (SELECT *, list_filter([{", ".join(_rule(r) for r in _cp.RULES)}], lambda x: x IS NOT NULL) AS fired FROM fl)
+SELECT entity_key,
+       array_to_string(list_slice(CASE WHEN len(fired) = 0 THEN [{_DEFAULTS}] ELSE fired END, 1, 4), ' | ') AS drivers,
+       CAST(len(fired) AS INTEGER) AS n_fired,
+       CASE stability_label WHEN 0 THEN 'Stable' WHEN 1 THEN 'Watch' WHEN 2 THEN 'At-Risk' ELSE 'Unknown' END AS class_name,
+       CASE stability_label {" ".join(f"WHEN {k} THEN '{v}'" for k, v in _cp.PRESET.class_text)} ELSE 'Unknown' END
+         AS class_text
+FROM rd
+"""
+
+
+def _band(b) -> str:
+    cond = " ".join(f"WHEN {b.source} {'>' if b.descending else '<'} {_f(t)} THEN '{lvl}'" for t, lvl in b.cuts)
+    return f"CASE {cond} ELSE '{b.otherwise}' END AS {b.name}"
+
+
+ORACLE["kpi_bands"] = f"WITH {FEAT}\nSELECT entity_key, {', '.join(_band(b) for b in _cp.BANDS)} FROM f"
+
+ORACLE["top_values_per_row"] = f"""WITH {C},
+u AS ({" UNION ALL ".join(f"SELECT entity_key, '{k}' AS k, CAST({k} AS DOUBLE) AS v FROM c"
+                          for k in _cp.TOP_VALUE_COLUMNS)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY v DESC, k ASC) AS rn FROM u WHERE v IS NOT NULL)
+SELECT c.entity_key, coalesce(string_agg(k, ',' ORDER BY rn), '') AS top_features
+FROM c LEFT JOIN r ON c.entity_key = r.entity_key AND rn <= 3 GROUP BY c.entity_key
+"""
+
+_SC_SCORE = (f"{rowmean([z('balance'), z('revenue'), z('avg_order')])} - "
+             f"{rowmean([z('returned_share'), z('avg_discount')])}")
+ORACLE["scenario_delta"] = f"""WITH {SCORED},
+v(scenario) AS (VALUES ('base'), ('shock'), ('relief')),
+x AS (SELECT sc.entity_key, sc.score AS base_score, v.scenario, sc.revenue, sc.avg_order, sc.returned_share,
+             CASE WHEN v.scenario = 'shock' THEN sc.avg_discount * 1.5::DOUBLE ELSE sc.avg_discount END AS avg_discount,
+             CASE WHEN v.scenario = 'relief' THEN sc.balance + 1000.0::DOUBLE ELSE sc.balance END AS balance
+      FROM sc CROSS JOIN v),
+y AS (SELECT x.*, {_SC_SCORE} AS score FROM x CROSS JOIN s)
+SELECT entity_key, scenario, {r6('score')} AS score, {r6('score - base_score')} AS delta FROM y
+"""
+
+ORACLE["range_violations"] = f"""WITH {C}
+SELECT entity_key,
+       concat_ws(',', {", ".join(f"CASE WHEN {r.column} < {_f(r.low)} OR {r.column} > {_f(r.high)} THEN '{r.column}' END"
+                                 for r in _cp.RANGES)}) AS violations,
+       CAST({" + ".join(f"(CASE WHEN {r.column} < {_f(r.low)} OR {r.column} > {_f(r.high)} THEN 1 ELSE 0 END)"
+                        for r in _cp.RANGES)} AS INTEGER) AS n_violations,
+       {", ".join(f"{r6(f'coalesce({r.column}, {_f(r.default)})')} AS {r.column}" for r in _cp.RANGES)}
+FROM c
+"""
+
+
+def _lin(terms, div) -> str:
+    parts = []
+    for col, coef in terms:
+        x = f"coalesce({col}, {_f(_cp.SERVING_DEFAULTS[col])})" if col in _cp.SERVING_DEFAULTS else col
+        parts.append(f"{x} * {_f(coef)}")
+    return f"({' + '.join(parts)}) / {_f(div)}"
+
+
+ORACLE["serving_linear_features"] = (f"WITH {FEAT}\nSELECT entity_key, "
+                                     + ", ".join(f"{r6(_lin(t, d))} AS {n}" for n, t, d in _cp.SERVING_LINEAR)
+                                     + " FROM f")
+
+ORACLE["align_features"] = (f"WITH {FEAT}\nSELECT entity_key, "
+                            + ", ".join(f"{r6(c)} AS {c}" for c in _cp.MODEL_FEATURES)
+                            + ", 0.0::DOUBLE AS n_returns, CAST(0 AS INTEGER) AS balance_is_missing FROM f")

@@ -85,3 +85,20 @@ PRESET = IndicatorPreset(
 # Columns the models see (no key, no leaky columns, no label).
 MODEL_FEATURES = ("n_orders", "n_items", "avg_tax", "revenue_per_order", "items_per_order", "log_orders")
 MODEL_CATEGORICAL = ("segment",)
+
+# Serving formulas with literal coefficients (F27 pattern) and their defaults.
+SERVING_LINEAR = (
+    ("stress_linear", (("avg_discount", 2.0), ("returned_share", 1.0), ("avg_tax", 0.5),
+                       ("revenue_per_order", -1e-6), ("balance", -1e-4)), 1.0),
+    ("capital_linear", (("balance", 1e-4), ("avg_order", 1e-5), ("n_items", 0.01)), 3.0),
+)
+SERVING_DEFAULTS = {"avg_discount": 0.05}
+
+SCENARIOS = (
+    {"scenario": "base", "changes": ()},
+    {"scenario": "shock", "changes": (("avg_discount", "mul", 1.5),)},
+    {"scenario": "relief", "changes": (("balance", "add", 1000.0),)},
+)
+TOP_VALUE_COLUMNS = ("balance", "n_orders", "n_items", "revenue", "avg_order", "avg_tax", "avg_discount",
+                     "returned_share")
+ALIGN_FEATURES = MODEL_FEATURES + ("n_returns", "balance_is_missing")
