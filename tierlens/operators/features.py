@@ -78,9 +78,21 @@ def fit_z_stats(df: DataFrame, sources: dict[str, Column]) -> DataFrame:
     return stats
 
 
+def _zname(key: str) -> str:
+    return f"__z_{key}"
+
+
+def z_columns(sources: dict[str, Column]) -> dict[str, Column]:
+    """One z-score column per source over the attached stats."""
+    out = {}
+    for k, e in sources.items():
+        s = STAT_PREFIX + k
+        out[_zname(k)] = zscore(e, F.col(f"{s}__mean"), F.col(f"{s}__sd"))
+    return out
+
+
 def _z(term: ZTerm, src: str) -> Column:
-    key = STAT_PREFIX + _source_key(src, term)
-    z = zscore(_source_expr(src, term), F.col(f"{key}__mean"), F.col(f"{key}__sd"))
+    z = F.col(_zname(_source_key(src, term)))
     return -z if term.sign < 0 else z
 
 
@@ -126,13 +138,14 @@ def engineer(df: DataFrame, features: Sequence[Feature], stats: DataFrame | None
     sources = z_sources(df1.columns, indices)
     if stats is None:
         stats = fit_z_stats(df1, sources)
-    joined = attach(df1, stats)
+    zc = z_columns(sources)
+    joined = attach(df1, stats).withColumns(zc)
     l2 = {}
     for ix in indices:
         e = index_expr(ix, df1.columns)
         if e is not None:
             l2[ix.name] = e
-    out = joined.withColumns(l2) if l2 else joined
+    out = (joined.withColumns(l2) if l2 else joined).drop(*zc)
     return (out if keep_stats else out.drop(*stats.columns)), stats
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import clip, dbl, lookup
 from ..specs import IndicatorPreset, ZIndex
+from ..session import cut_lineage
 from .stats import attach, quantile_row, stat_name
 
 
@@ -37,7 +38,7 @@ def tier_cuts(df: DataFrame, score: str, n_classes: int = 3, mode: str = "exact"
 
 
 def tier_labels(df: DataFrame, score: str, label: str, n_classes: int = 3, mode: str = "exact",
-                cuts: DataFrame | None = None) -> DataFrame:
+                cuts: DataFrame | None = None, materialize: bool = True) -> DataFrame:
     """Equal-frequency tiers, highest tier id for the lowest scores.
 
     Bins are closed on the right (pandas qcut; the fallback path of the
@@ -47,6 +48,10 @@ def tier_labels(df: DataFrame, score: str, label: str, n_classes: int = 3, mode:
     """
     scored = drop_unscored(df, score)
     if cuts is None:
+        if materialize:
+            # stage boundary: the quantile passes and the labelling all read
+            # one reliable checkpoint instead of recomputing the scores
+            scored = cut_lineage(scored)
         cuts = tier_cuts(scored, score, n_classes, mode)
     j = attach(scored, cuts)
     s = F.col(score)

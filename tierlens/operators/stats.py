@@ -56,7 +56,12 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     reference) and fails loudly if it ever returned more than one row.
     """
     sv = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("__s")).scalar()
-    return df.withColumns({c: sv[c] for c in one_row.columns})
+    # One column holds the subquery; fields are read from it in a second
+    # projection, so the plan carries a single subquery expression (a
+    # subquery is not "cheap", so CollapseProject keeps it un-inlined).
+    tmp = f"__stats{abs(hash(tuple(one_row.columns))) % 10**8}"
+    d = df.withColumn(tmp, sv)
+    return d.withColumns({c: F.col(tmp)[c] for c in one_row.columns}).drop(tmp)
 
 
 def zcol(c: str) -> Column:

@@ -420,3 +420,106 @@ def align_features(spark, sf):
     d = sc.align_features(customer_featured(spark, sf, cp.RATIOS + cp.LOG_ABS_GAP), cp.ALIGN_FEATURES,
                           keep=["entity_key"])
     return d.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes])
+
+
+# ---------------------------------------------------------------------------
+# Preprocessing fits (T1-T4) and models
+# ---------------------------------------------------------------------------
+from ..operators import ml  # noqa: E402
+from ..session import cut_lineage  # noqa: E402
+
+IMPUTE_COLS = ("balance", "avg_discount", "revenue", "returned_share")
+
+
+@query("impute_median_scale")
+def impute_median_scale(spark, sf):
+    c = fx.customer_indicators(spark, sf)
+    stats = ml.fit_impute_scale(c, IMPUTE_COLS)
+    out = ml.apply_impute_scale(c, stats, IMPUTE_COLS)
+    return out.select("entity_key", *[r6(x).alias(x) for x in IMPUTE_COLS])
+
+
+def orders_priority_with_nulls(spark, sf):
+    o = table(spark, sf, "orders", ["o_orderkey", "o_orderpriority"])
+    return o.select("o_orderkey", F.when(F.col("o_orderkey") % 9 == 0, F.lit(None).cast("string"))
+                    .otherwise(F.col("o_orderpriority")).alias("priority"))
+
+
+@query("impute_mode_onehot")
+def impute_mode_onehot(spark, sf):
+    o = orders_priority_with_nulls(spark, sf)
+    mode = ml.fit_modes(o, ["priority"]).where(F.col("column_name") == "priority") \
+        .select(F.col("mode").alias("priority__mode"))
+    imp = st.attach(o, mode).withColumn("priority", F.coalesce("priority", "priority__mode")).drop("priority__mode")
+    cats = ml.categories(imp, "priority")
+    return imp.withColumns(ml.one_hot_columns("priority", cats))
+
+
+def model_frame(spark, sf):
+    """Labelled customer rows split 80/20 (W3) for model training."""
+    lab_df = customer_labelled(spark, sf)
+    return sm.stratified_split(lab_df, "stability_label", "entity_key", cp.PRESET.test_fraction, cp.PRESET.seed)
+
+
+def _models():
+    return ml.registry(ml.ModelParams(**cp.MODEL_PARAMS))
+
+
+def trained(spark, sf):
+    split = cut_lineage(model_frame(spark, sf))
+    train = ml.prepare(split.where("split = 'train'"), "stability_label")
+    test = ml.prepare(split.where("split = 'test'"), "stability_label")
+    models = ml.fit_all(train, cp.MODEL_FEATURES, cp.MODEL_CATEGORICAL, _models())
+    return models, train, test
+
+
+def _scored_union(models, test):
+    out = None
+    for name, m in models.items():
+        s = ml.score(m, test, ["entity_key", "label"]).withColumn("model", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("train_and_score")
+def train_and_score(spark, sf):
+    models, _, test = trained(spark, sf)
+    s = _scored_union(models, test)
+    return s.select("model", "entity_key", F.col("label").cast("int").alias("label"), "prediction",
+                    r6("confidence").alias("confidence"))
+
+
+@query("test_metrics")
+def test_metrics(spark, sf):
+    models, _, test = trained(spark, sf)
+    s = _scored_union(models, test).select("model", F.col("label").cast("int").alias("label"), "prediction")
+    m = mt.with_registration(mt.model_metrics(mt.confusion_counts(s)), cp.MODEL_REGISTRATION)
+    return _r6_all(mt.rank_models(m))
+
+
+@query("cv_metrics")
+def cv_metrics(spark, sf):
+    split = cut_lineage(model_frame(spark, sf))
+    train = ml.prepare(split.where("split = 'train'"), "stability_label")
+    preds = ml.cross_validate(train, "entity_key", cp.MODEL_FEATURES, cp.MODEL_CATEGORICAL, _models(),
+                              k=cp.PRESET.n_folds)
+    return _r6_all(ml.cv_metrics(preds, cp.MODEL_REGISTRATION))
+
+
+@query("feature_importance")
+def feature_importance(spark, sf, top_n: int = 15):
+    models, train, _ = trained(spark, sf)
+    rows = []
+    for name, m in models.items():
+        names = ml.feature_names(m, train)
+        ranked = sorted(ml.importances(m, names), key=lambda t: (-t[1], t[0]))[:top_n]
+        rows += [(name, f, float(v), i + 1) for i, (f, v) in enumerate(ranked)]
+    return spark.createDataFrame(rows, "model string, feature string, importance double, rank int") \
+        .withColumn("importance", r6("importance"))
+
+
+@query("class_probabilities")
+def class_probabilities(spark, sf):
+    models, _, test = trained(spark, sf)
+    s = ml.score(models["LogisticRegression"], test, ["entity_key"])
+    return ml.class_probabilities(s, ["entity_key"]).withColumn("probability", r6("probability"))

@@ -413,3 +413,25 @@ ORACLE["serving_linear_features"] = (f"WITH {FEAT}\nSELECT entity_key, "
 ORACLE["align_features"] = (f"WITH {FEAT}\nSELECT entity_key, "
                             + ", ".join(f"{r6(c)} AS {c}" for c in _cp.MODEL_FEATURES)
                             + ", 0.0::DOUBLE AS n_returns, CAST(0 AS INTEGER) AS balance_is_missing FROM f")
+
+# ---------------------------------------------------------------------------
+# Preprocessing fits
+# ---------------------------------------------------------------------------
+_IMP = ("balance", "avg_discount", "revenue", "returned_share")
+ORACLE["impute_median_scale"] = f"""WITH {C},
+m AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS {c}_med" for c in _IMP)} FROM c),
+i AS (SELECT entity_key, {", ".join(f"coalesce({c}, {c}_med) AS {c}" for c in _IMP)} FROM c CROSS JOIN m),
+s AS (SELECT {moments(_IMP, ddof=0)} FROM i)
+SELECT entity_key, {", ".join(r6(f"({c} - {c}_mean) / CASE WHEN {c}_sd IS NULL OR {c}_sd = 0 THEN 1.0::DOUBLE ELSE {c}_sd END")
+                              + f" AS {c}" for c in _IMP)}
+FROM i CROSS JOIN s
+"""
+
+_PRIOS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+ORACLE["impute_mode_onehot"] = """WITH o AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS priority FROM orders),
+md AS (SELECT priority AS mode FROM o WHERE priority IS NOT NULL GROUP BY priority
+       ORDER BY count(*) DESC, priority ASC LIMIT 1),
+i AS (SELECT o_orderkey, coalesce(priority, mode) AS priority FROM o CROSS JOIN md)
+SELECT o_orderkey, priority, """ + ", ".join(
+    f"CAST(priority = '{p}' AS INTEGER) AS \"priority_{p}\"" for p in _PRIOS) + " FROM i"

@@ -102,3 +102,9 @@ SCENARIOS = (
 TOP_VALUE_COLUMNS = ("balance", "n_orders", "n_items", "revenue", "avg_order", "avg_tax", "avg_discount",
                      "returned_share")
 ALIGN_FEATURES = MODEL_FEATURES + ("n_returns", "balance_is_missing")
+
+# Model settings for the driver-table runs: the reference's estimators with
+# fewer trees/rounds, so a full 5-fold run stays in seconds at sf0.01. The
+# country preset keeps the reference values (ml.ModelParams defaults).
+MODEL_PARAMS = dict(lr_max_iter=100, rf_trees=30, rf_depth=6, gbt_rounds=10, gbt_depth=3)
+MODEL_REGISTRATION = ("LogisticRegression", "RandomForest", "BoostedTrees", "XGBoost")
