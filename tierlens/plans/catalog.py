@@ -523,3 +523,15 @@ def class_probabilities(spark, sf):
     models, _, test = trained(spark, sf)
     s = ml.score(models["LogisticRegression"], test, ["entity_key"])
     return ml.class_probabilities(s, ["entity_key"]).withColumn("probability", r6("probability"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming rescoring (M9)
+# ---------------------------------------------------------------------------
+from ..streaming import score_stream as ss  # noqa: E402
+
+
+@query("stream_score")
+def stream_score(spark, sf):
+    out = ss.score_events(spark, sf)
+    return out.select("event_id", "event_type", r6("value").alias("value"), r6("z_value").alias("z_value"), "level")

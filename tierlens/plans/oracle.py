@@ -435,3 +435,11 @@ md AS (SELECT priority AS mode FROM o WHERE priority IS NOT NULL GROUP BY priori
 i AS (SELECT o_orderkey, coalesce(priority, mode) AS priority FROM o CROSS JOIN md)
 SELECT o_orderkey, priority, """ + ", ".join(
     f"CAST(priority = '{p}' AS INTEGER) AS \"priority_{p}\"" for p in _PRIOS) + " FROM i"
+
+ORACLE["stream_score"] = f"""WITH s AS (SELECT avg(value) AS m, stddev_samp(value) AS sd FROM events),
+z AS (SELECT event_id, event_type, value,
+             CASE WHEN sd IS NULL OR sd = 0 THEN 0.0::DOUBLE ELSE (value - m) / sd END AS z_value FROM events CROSS JOIN s)
+SELECT event_id, event_type, {r6('value')} AS value, {r6('z_value')} AS z_value,
+       CASE WHEN z_value > 1.0::DOUBLE THEN 'high' WHEN z_value > -1.0::DOUBLE THEN 'normal' ELSE 'low' END AS level
+FROM z
+"""

@@ -1,0 +1,102 @@
+"""Pipeline drivers (O1-O4): clean -> features -> tiers -> leak drop ->
+split -> train -> cross-validate -> evaluate, as lazy DataFrame stages with
+written checkpoints at the stage boundaries (S3).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import clean as cl
+from ..operators import features as feat
+from ..operators import labels as lab
+from ..operators import metrics as mt
+from ..operators import ml
+from ..operators import sampling as sm
+from ..session import cut_lineage
+from ..specs import IndicatorPreset
+from ..sources.tables import write_stage
+
+
+def clean(df: DataFrame, preset: IndicatorPreset, profile: bool = False):
+    """O2: P1 drop ids -> P2 exclude entities -> P3/P4 names -> P5 numeric
+    groups -> P6 detected numeric text -> P7 missing flags. With
+    ``profile`` also returns the missing-value profile (A1)."""
+    d = cl.drop_columns(df, preset.drop_columns)
+    if preset.exclude_keys and preset.key in d.columns:
+        d = cl.exclude_keys(d, preset.key, preset.exclude_keys)
+    numeric_raw = [c for _, cols in preset.numeric_groups for c in cols]
+    d = cl.clean_numeric(d, [c for c in numeric_raw if c in d.columns])
+    d = cl.clean_names(d, preset.rename_map)
+    d = cl.convert_detected(d, exclude=[preset.key])
+    d = cl.missing_flags(d, preset.missing_flag_columns)
+    return (d, cl.missing_profile(d)) if profile else d
+
+
+def engineer_features(df: DataFrame, preset: IndicatorPreset, create_target: bool = True,
+                      drop_leaky: bool = True, stats: DataFrame | None = None):
+    """All feature groups, then the score and tier label, then the
+    leak drop (which needs both options on, like the reference).
+    Returns (frame, fitted z-stats)."""
+    specs = list(preset.features) + ([preset.score_spec] if create_target and preset.score_spec else [])
+    out, fitted = feat.engineer(df, specs, stats)
+    if create_target and preset.score_spec is not None:
+        out = lab.tier_labels(out, preset.score, preset.target, preset.n_classes)
+        if drop_leaky:
+            out = lab.drop_leaky(out, preset)
+    return out, fitted
+
+
+@dataclass
+class RunResult:
+    labelled: DataFrame
+    split: DataFrame
+    models: dict
+    test_metrics: DataFrame
+    cv_summary: DataFrame | None
+    best_cv: str | None
+    best_test: str
+    summary: DataFrame
+    artifacts: dict = field(default_factory=dict)
+
+
+def run(df: DataFrame, preset: IndicatorPreset, numeric: Sequence[str], categorical: Sequence[str],
+        params: ml.ModelParams | None = None, registration: Sequence[str] | None = None,
+        cross_validate: bool = True, out_dir: str | None = None) -> RunResult:
+    """O1: the whole flow over an already loaded entity table ``df``.
+
+    Two winners are kept apart, as in the reference: the CV winner (the model
+    that gets saved as 'best') and the test-set winner (the one reported).
+    """
+    models_reg = ml.registry(params or ml.ModelParams(seed=preset.seed))
+    order = list(registration or models_reg)
+    featured, _ = engineer_features(df, preset, create_target=True, drop_leaky=False)
+    labelled = cut_lineage(featured)
+    split = cut_lineage(sm.stratified_split(labelled, preset.target, preset.key, preset.test_fraction, preset.seed))
+    train = ml.prepare(split.where("split = 'train'"), preset.target)
+    test = ml.prepare(split.where("split = 'test'"), preset.target)
+    models = ml.fit_all(train, numeric, categorical, models_reg)
+    preds = None
+    for name, m in models.items():
+        p = m.transform(test).select(F.lit(name).alias("model"), F.col("label").cast("int").alias("label"),
+                                     F.col("prediction").cast("int").alias("prediction"))
+        preds = p if preds is None else preds.unionByName(p)
+    test_metrics = mt.with_registration(mt.model_metrics(mt.confusion_counts(preds)), order)
+    best_test = mt.best_on_test(test_metrics).first()["model"]
+    cv_sum, best_cv = None, None
+    if cross_validate:
+        cvp = ml.cross_validate(train, preset.key, numeric, categorical, models_reg, preset.n_folds, preset.seed + 1)
+        cv_sum = ml.cv_metrics(cvp, order)
+        best_cv = mt.best_by_cv(cv_sum).first()["model"]
+    summary = mt.model_summary(test_metrics)
+    artifacts = {}
+    if out_dir:
+        artifacts["labelled"] = write_stage(labelled, f"{out_dir}/labelled")
+        artifacts["metrics"] = write_stage(test_metrics, f"{out_dir}/metrics_summary", fmt="csv")
+        ml.save_models(models, out_dir, best_cv or best_test, list(numeric) + list(categorical))
+        artifacts["models"] = f"{out_dir}/models"
+    return RunResult(labelled, split, models, test_metrics, cv_sum, best_cv, best_test, summary, artifacts)
