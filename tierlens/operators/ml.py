@@ -262,27 +262,35 @@ def class_probabilities(scored: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 def cross_validate(train: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str],
                    models: Mapping[str, Callable], k: int = 5, seed: int = 43,
-                   label: str = "label") -> DataFrame:
+                   label: str = "label", max_parallel: int = 4) -> DataFrame:
     """Stratified k folds (exact quotas, md5 order); for each fold
     and model fit on the other folds (preprocessing and class weights
     refitted per fold, so no statistic leaks from the held-out fold) and
     predict the fold. Returns the union of all predictions
     (model, fold, label, prediction) - metrics are then one query."""
     folds = cut_lineage(stratified_folds(train, label, key, k, seed))
-    preds = []
+    fold_train = {}
     for i in range(k):
         tr = cut_lineage(with_weights(folds.where(F.col("fold") != i)))
-        te = folds.where(F.col("fold") == i)
-        n = tr.count()
-        for name, factory in models.items():
-            try:
-                m = fit_one(tr, numeric, categorical, factory, n)
-            except Exception:  # noqa: BLE001 - skip a failing model like the reference
-                continue
-            p = m.transform(te).select(F.lit(name).alias("model"), F.lit(i).alias("fold"),
-                                       F.col(label).cast("int").alias("label"),
-                                       F.col("prediction").cast("int").alias("prediction"))
-            preds.append(_materialise(p))
+        fold_train[i] = (tr, tr.count())
+
+    def run(task):
+        i, name = task
+        tr, n = fold_train[i]
+        try:
+            m = fit_one(tr, numeric, categorical, models[name], n)
+        except Exception:  # noqa: BLE001 - skip a failing model like the reference
+            return None
+        p = m.transform(folds.where(F.col("fold") == i)).select(
+            F.lit(name).alias("model"), F.lit(i).alias("fold"), F.col(label).cast("int").alias("label"),
+            F.col("prediction").cast("int").alias("prediction"))
+        return _materialise(p)
+    # the k x models fits are independent Spark jobs: submit them together
+    tasks = [(i, name) for i in range(k) for name in models]
+    with ThreadPoolExecutor(max_workers=max_parallel) as ex:
+        preds = [p for p in ex.map(run, tasks) if p is not None]
+    if not preds:
+        raise RuntimeError("no model could be cross-validated")
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)

@@ -1,9 +1,11 @@
-"""Fitted statistics (A4, A5, X3): fit once as an aggregate, apply by a
-broadcast join of the single result row.
+"""Fitted statistics (A4, A5, X3): fit once as an aggregate, apply as one
+scalar subquery.
 
-A global aggregate always returns exactly one row, so broadcasting it has a
-proven size bound whatever the table size. Aggregation runs partial per
-partition and merges in one tiny final step.
+A global aggregate always returns exactly one row (a proven size bound
+whatever the table size); it runs partial per partition and merges in one
+tiny final step. Its row is applied to every row through a single reused
+scalar subquery, so applying stats is a plain projection: no join and no
+shuffle of the data.
 
 Exact quantiles are computed without funnelling the column through one
 task: an iterative histogram narrows an order statistic to one bucket per
@@ -91,7 +93,7 @@ def _ranks(n: int, q: float) -> tuple[int, int, float]:
 
 
 def order_statistics(df: DataFrame, targets: Sequence[tuple[str, int]], buckets: int = 4096,
-                     small: int = 50_000, max_passes: int = 64,
+                     small: int = 20_000, max_passes: int = 64,
                      pre: dict | None = None) -> dict[tuple[str, int], float]:
     """Exact k-th smallest (0-based, NULL and NaN skipped) for each
     (column, k) target, by iterative histogram narrowing.
@@ -131,28 +133,30 @@ def order_statistics(df: DataFrame, targets: Sequence[tuple[str, int]], buckets:
                 state.pop(t)
             if not state:
                 break
-        keys = list(state)
+        # targets on the same column with the same candidate range share
+        # one histogram (in the first pass that is one per column)
+        groups: dict[tuple, int] = {}
+        for t, st in state.items():
+            groups.setdefault((t[0], st[0], st[1]), len(groups))
         entries = []
-        for i, t in enumerate(keys):
-            c = t[0]
-            lo, hi = state[t][0], state[t][1]
+        for (c, lo, hi), gid in groups.items():
             x = F.col(c).cast("double")
             half_w = dbl(hi * 0.5 - lo * 0.5)
             b = F.floor((x * 0.5 - dbl(lo * 0.5)) / half_w * F.lit(buckets)).cast("int")
             b = F.when(b >= buckets, F.lit(buckets - 1)).otherwise(b)
             entries.append(F.when((x >= dbl(lo)) & (x <= dbl(hi)),
-                                  F.struct(F.lit(i).alias("t"), b.alias("b"), x.alias("v"))))
-        hist = (df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+                                  F.struct(F.lit(gid).alias("t"), b.alias("b"), x.alias("v"))))
+        hist = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
                 .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx")))
         rows = sorted(hist.collect(), key=lambda r: (r.t, r.b))
-        by_t: dict[int, list] = {}
+        by_g: dict[int, list] = {}
         for r in rows:
-            by_t.setdefault(r.t, []).append(r)
-        for i, t in enumerate(keys):
+            by_g.setdefault(r.t, []).append(r)
+        for t in list(state):
             s = state[t]
             cum = s[2]
-            for r in by_t.get(i, []):
+            for r in by_g.get(groups[(t[0], s[0], s[1])], []):
                 if cum + r.n > s[3]:
                     state[t] = [r.mn, r.mx, cum, s[3], r.n]
                     break
@@ -176,16 +180,30 @@ def _profile(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
 
 
 def _finish_small(df: DataFrame, state: dict, done: list, out: dict) -> None:
+    """Finish targets whose candidate range is one value or small: ONE job
+    reads the rows inside every remaining range (at most ``small`` each)."""
+    todo = []
     for t in done:
         lo, hi, below, k, _ = state[t]
         if lo == hi:
             out[t] = lo
-            continue
-        c = t[0]
-        x = F.col(c).cast("double")
-        # Bounded read: only the rows of the final bucket (at most `small`).
-        vals = sorted(r[0] for r in df.select(x).where((x >= dbl(lo)) & (x <= dbl(hi))).collect())
-        out[t] = vals[k - below]
+        else:
+            todo.append(t)
+    if not todo:
+        return
+    entries = []
+    for i, t in enumerate(todo):
+        lo, hi = state[t][0], state[t][1]
+        x = F.col(t[0]).cast("double")
+        entries.append(F.when((x >= dbl(lo)) & (x <= dbl(hi)), F.struct(F.lit(i).alias("t"), x.alias("v"))))
+    rows = df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull()) \
+        .select("e.t", "e.v").collect()
+    by_t: dict[int, list] = {}
+    for r in rows:
+        by_t.setdefault(r.t, []).append(r.v)
+    for i, t in enumerate(todo):
+        _, _, below, k, _ = state[t]
+        out[t] = sorted(by_t[i])[k - below]
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import features as feat
 from ..operators import labels as lab
 from ..presets import customer as cp
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,9 +37,15 @@ def r6(c) -> F.Column:
     return F.round(x * F.lit(1e6), 0) / F.lit(1e6)
 
 
+def customer_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Fixture C, materialised once: fitting statistics and applying them
+    are two passes, and recomputing the line-item aggregation for each
+    would scan line items twice. A reliable checkpoint scans them once."""
+    return cut_lineage(fx.customer_indicators(spark, sf))
+
+
 def customer_scored(spark: SparkSession, sf: str) -> DataFrame:
-    c = fx.customer_indicators(spark, sf)
-    return feat.engineer(c, [cp.SCORE])[0]
+    return feat.engineer(customer_table(spark, sf), [cp.SCORE])[0]
 
 
 @query("entity_risk_tier")
@@ -177,7 +184,7 @@ def iqr_cap_counts(spark, sf):
 # ---------------------------------------------------------------------------
 
 def customer_featured(spark, sf, features=None):
-    c = fx.customer_indicators(spark, sf)
+    c = customer_table(spark, sf)
     return feat.engineer(c, list(cp.PRESET.features) if features is None else features)[0]
 
 
@@ -224,7 +231,7 @@ def access_score(spark, sf):
 
 def customer_labelled(spark, sf):
     """Fixture C with every feature, the score and the tier label (O3)."""
-    c = fx.customer_indicators(spark, sf)
+    c = customer_table(spark, sf)
     f = feat.engineer(c, list(cp.PRESET.features) + [cp.SCORE])[0]
     return lab.tier_labels(f, "stability_score", "stability_label")
 
@@ -392,7 +399,7 @@ def top_values_per_row(spark, sf):
 
 @query("scenario_delta")
 def scenario_delta(spark, sf):
-    c = fx.customer_indicators(spark, sf)
+    c = customer_table(spark, sf)
     stats = feat.fit_z_stats(c, feat.z_sources(c.columns, [cp.SCORE]))
     base = feat.engineer(c, [cp.SCORE], stats=stats)[0].withColumnRenamed("stability_score", "base_score")
     fan = sc.apply_scenarios(base, cp.SCENARIOS, cp.TOP_VALUE_COLUMNS)
@@ -426,14 +433,13 @@ def align_features(spark, sf):
 # Preprocessing fits (T1-T4) and models
 # ---------------------------------------------------------------------------
 from ..operators import ml  # noqa: E402
-from ..session import cut_lineage  # noqa: E402
 
 IMPUTE_COLS = ("balance", "avg_discount", "revenue", "returned_share")
 
 
 @query("impute_median_scale")
 def impute_median_scale(spark, sf):
-    c = fx.customer_indicators(spark, sf)
+    c = customer_table(spark, sf)
     stats = ml.fit_impute_scale(c, IMPUTE_COLS)
     out = ml.apply_impute_scale(c, stats, IMPUTE_COLS)
     return out.select("entity_key", *[r6(x).alias(x) for x in IMPUTE_COLS])

@@ -26,6 +26,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # delete checkpoint files once their DataFrame is garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # skip per-call Python call-site capture (error context only)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
