@@ -6,9 +6,12 @@ the order key), joined to orders on that same key, re-aggregated per
 customer (again partial first, so a customer owning a third of all orders
 is only a handful of partial rows per task) and left-joined to customer.
 
-Money sums use DECIMAL(18,2) (every price, tax and discount has two
-decimals), so they are exact: the result does not depend on partitioning or
-summation order, on Spark or on any SQL engine.
+Money sums are exact: every price, tax and discount has two decimals, so
+they are summed as BIGINT cents (round(x * 100)), a primitive, codegen'd
+aggregate (DECIMAL(18,2) sums widen to 28 digits and fall back to
+BigDecimal, 2x slower). An exact sum does not depend on partitioning or
+summation order, and cents / 100.0 is the same IEEE division an engine
+uses to turn an exact decimal into a double.
 """
 
 from __future__ import annotations
@@ -19,7 +22,16 @@ from pyspark.sql import functions as F
 from ..functions.exprs import dbl
 from .tables import table
 
-MONEY = "decimal(18,2)"
+
+
+def cents(c: str):
+    """Exact integer cents of a two-decimal money column."""
+    return F.round(F.col(c) * 100.0).cast("long")
+
+
+def money(c) -> F.Column:
+    """An exact cents sum as DOUBLE."""
+    return (F.col(c) if isinstance(c, str) else c) / 100.0
 
 
 def order_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,9 +40,9 @@ def order_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
                ["l_orderkey", "l_extendedprice", "l_tax", "l_discount", "l_returnflag"])
     return li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("s_price"),
-        F.sum(F.col("l_tax").cast(MONEY)).alias("s_tax"),
-        F.sum(F.col("l_discount").cast(MONEY)).alias("s_disc"),
+        F.sum(cents("l_extendedprice")).alias("s_price"),
+        F.sum(cents("l_tax")).alias("s_tax"),
+        F.sum(cents("l_discount")).alias("s_disc"),
         F.count_if(F.col("l_returnflag") == "R").alias("n_ret"),
     )
 
@@ -63,12 +75,12 @@ def customer_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 7 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal")).alias("balance"),
         F.coalesce(F.col("k_orders").cast("double"), dbl(0.0)).alias("n_orders"),
         F.coalesce(items, dbl(0.0)).alias("n_items"),
-        F.when(key % 13 == 0, dbl(0.0)).otherwise(F.coalesce(F.col("k_price").cast("double"), dbl(0.0)))
+        F.when(key % 13 == 0, dbl(0.0)).otherwise(F.coalesce(money("k_price"), dbl(0.0)))
         .alias("revenue"),
-        (F.col("k_price").cast("double") / items).alias("avg_order"),
-        (F.col("k_tax").cast("double") / items).alias("avg_tax"),
+        (money("k_price") / items).alias("avg_order"),
+        (money("k_tax") / items).alias("avg_tax"),
         F.when(key % 11 == 0, F.lit(None).cast("double"))
-        .otherwise(F.col("k_disc").cast("double") / items).alias("avg_discount"),
+        .otherwise(money("k_disc") / items).alias("avg_discount"),
         (F.col("k_ret").cast("double") / items).alias("returned_share"),
     )
 
