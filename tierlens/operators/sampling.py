@@ -32,9 +32,18 @@ def order_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+# Largest offsets table broadcast on its proven bound (classes x 16^digits rows).
+MAX_BROADCAST_BUCKETS = 2_000_000
+
+
 def stratified_rank(df: DataFrame, label: str, key: str, seed: int, rank_col: str = "rank",
-                    bucket_digits: int = 4) -> DataFrame:
-    """Add the exact 1-based rank of each row within its class."""
+                    bucket_digits: int = 4, n_classes: int | None = None) -> DataFrame:
+    """Add the exact 1-based rank of each row within its class.
+
+    The offsets table has at most ``n_classes * 16**bucket_digits`` rows;
+    below ``MAX_BROADCAST_BUCKETS`` it is broadcast (a proven bound, so the
+    data is shuffled once, by the window), otherwise joined by shuffle.
+    """
     h, b = "__h", "__b"
     d = df.withColumn(h, order_hash(key, seed)).withColumn(b, F.substring(F.col(h), 1, bucket_digits))
     counts = d.groupBy(label, b).agg(F.count(F.lit(1)).alias("__n"))
@@ -42,6 +51,10 @@ def stratified_rank(df: DataFrame, label: str, key: str, seed: int, rank_col: st
     offsets = counts.select(label, b, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     within = Window.partitionBy(label, b).orderBy(h, key)
     ranked = d.withColumn("__rn", F.row_number().over(within))
+    if n_classes is None:
+        n_classes = df.select(label).distinct().count()  # one small aggregate
+    if n_classes * 16 ** bucket_digits <= MAX_BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
     # null-safe join: a NULL label is a class of its own
     j = ranked.join(offsets, ranked[label].eqNullSafe(offsets[label]) & (ranked[b] == offsets[b]))
     return j.select(*[ranked[c] for c in df.columns],
@@ -88,8 +101,8 @@ def quota_table(df: DataFrame, label: str, fraction: float) -> DataFrame:
 def stratified_split(df: DataFrame, label: str, key: str, fraction: float = 0.2, seed: int = 42,
                      split_col: str = "split", bucket_digits: int = 4) -> DataFrame:
     """Mark each row 'test' or 'train' with exact per-class quotas."""
-    ranked = stratified_rank(df, label, key, seed, "__rank", bucket_digits)
     quotas = quota_table(df, label, fraction)
+    ranked = stratified_rank(df, label, key, seed, "__rank", bucket_digits, n_classes=quotas.count())
     j = ranked.join(F.broadcast(quotas), ranked[label].eqNullSafe(quotas[label]), "left")
     return j.select(*[ranked[c] for c in df.columns],
                     F.when(ranked["__rank"] <= F.coalesce(quotas["__quota"], F.lit(0)), F.lit("test"))
