@@ -28,20 +28,26 @@ def confusion_counts(pred: DataFrame, keys: Sequence[str] = ("model",), label: s
 
 
 def per_class(counts: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
-    """Per group and class: tp, support, predicted, precision, recall, f1."""
+    """Per group and class: tp, support, predicted, precision, recall, f1.
+
+    One aggregate, no joins: every confusion cell contributes to its label's
+    class (support, and tp on the diagonal) and to its prediction's class
+    (predicted). The classes are therefore exactly the union of labels and
+    predictions seen in the group.
+    """
     k = list(keys)
-    sup = counts.groupBy(*k, F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    prd = counts.groupBy(*k, F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = counts.where(F.col("label") == F.col("prediction")) \
-        .groupBy(*k, F.col("label").alias("cls")).agg(F.sum("n").alias("tp"))
-    classes = sup.select(*k, "cls").unionByName(prd.select(*k, "cls")).distinct()
-    on = [*k, "cls"]
-    j = classes.join(sup, on, "left").join(prd, on, "left").join(tp, on, "left")
-    tpc = F.coalesce(F.col("tp"), F.lit(0)).cast("long")
-    supc = F.coalesce(F.col("support"), F.lit(0)).cast("long")
-    prc = F.coalesce(F.col("predicted"), F.lit(0)).cast("long")
-    return j.select(
-        *k, F.col("cls").cast("int").alias("cls"), tpc.alias("tp"), supc.alias("support"), prc.alias("predicted"),
+    n = F.col("n")
+    contrib = F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.when(F.col("label") == F.col("prediction"), n)
+                 .otherwise(F.lit(0)).cast("long").alias("tp"), n.cast("long").alias("sup"),
+                 F.lit(0).cast("long").alias("prd")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("tp"),
+                 F.lit(0).cast("long").alias("sup"), n.cast("long").alias("prd"))))
+    sums = counts.select(*k, contrib.alias("c")).groupBy(*k, F.col("c.cls").alias("cls")).agg(
+        F.sum("c.tp").alias("tp"), F.sum("c.sup").alias("support"), F.sum("c.prd").alias("predicted"))
+    tpc, supc, prc = F.col("tp"), F.col("support"), F.col("predicted")
+    return sums.select(
+        *k, F.col("cls").cast("int").alias("cls"), tpc, supc, prc,
         F.when(prc == 0, dbl(0.0)).otherwise(tpc / prc).alias("precision"),
         F.when(supc == 0, dbl(0.0)).otherwise(tpc / supc).alias("recall"),
         F.when(supc + prc == 0, dbl(0.0)).otherwise(dbl(2.0) * tpc / (supc + prc)).alias("f1"))
@@ -62,22 +68,25 @@ def model_metrics(counts: DataFrame, keys: Sequence[str] = ("model",), at_risk_c
 
 def class_report(counts: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
     """E5: per-class precision/recall/f1/support plus 'accuracy',
-    'macro avg' and 'weighted avg' rows (the text report as a table)."""
+    'macro avg' and 'weighted avg' rows (the text report as a table). The
+    three summary rows come from ONE aggregate per group, unpivoted."""
+    k = list(keys)
     pc = per_class(counts, keys)
-    rows = pc.select(*keys, F.col("cls").cast("string").alias("row_label"), "precision", "recall", "f1",
+    rows = pc.select(*k, F.col("cls").cast("string").alias("row_label"), "precision", "recall", "f1",
                      F.col("support").cast("long").alias("support"))
-    g = pc.groupBy(*keys)
     tot = F.sum("support")
-    acc = g.agg(F.lit("accuracy").alias("row_label"), F.lit(None).cast("double").alias("precision"),
-                F.lit(None).cast("double").alias("recall"), (F.sum("tp") / tot).alias("f1"),
-                tot.cast("long").alias("support"))
-    macro = g.agg(F.lit("macro avg").alias("row_label"), F.avg("precision").alias("precision"),
-                  F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), tot.cast("long").alias("support"))
-    weighted = g.agg(F.lit("weighted avg").alias("row_label"),
-                     (F.sum(F.col("precision") * F.col("support")) / tot).alias("precision"),
-                     (F.sum(F.col("recall") * F.col("support")) / tot).alias("recall"),
-                     (F.sum(F.col("f1") * F.col("support")) / tot).alias("f1"), tot.cast("long").alias("support"))
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    summ = pc.groupBy(*k).agg(
+        tot.cast("long").alias("support"), (F.sum("tp") / tot).alias("acc"),
+        F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
+        (F.sum(F.col("precision") * F.col("support")) / tot).alias("wp"),
+        (F.sum(F.col("recall") * F.col("support")) / tot).alias("wr"),
+        (F.sum(F.col("f1") * F.col("support")) / tot).alias("wf"))
+    key_sql = ", ".join(f"`{c}`" for c in k)
+    long = summ.selectExpr(
+        *([key_sql] if k else []), "support",
+        "stack(3, 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), acc, "
+        "'macro avg', mp, mr, mf, 'weighted avg', wp, wr, wf) AS (row_label, precision, recall, f1)")
+    return rows.unionByName(long.select(*k, "row_label", "precision", "recall", "f1", "support"))
 
 
 METRIC_COLS = ("accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1", "at_risk_recall")
