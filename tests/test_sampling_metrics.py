@@ -65,3 +65,13 @@ def test_best_by_cv_tie_breaks(spark):
                                "model string, f1_macro_mean double, f1_weighted_mean double, f1_macro_std double, "
                                "registration int")
     assert mt.best_by_cv(df).first().model == "b"
+
+
+def test_split_falls_back_when_label_is_continuous(spark):
+    df = spark.createDataFrame([(i, float(i) / 7.0) for i in range(100)], "k long, y double")
+    s = sm.train_test_split(df, "y", "k", 0.2, 42, max_strata=6)
+    assert s.where("split = 'test'").count() == 20 and s.count() == 100
+    d = spark.createDataFrame([(i, i % 3) for i in range(90)], "k long, y int")
+    t = sm.train_test_split(d, "y", "k", 0.2, 42, max_strata=6)
+    got = {r.y: r.n for r in t.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert got == {0: 6, 1: 6, 2: 6}

@@ -136,3 +136,15 @@ def sample_weights(df: DataFrame, label: str, weight_col: str = "weight") -> Dat
     it after measuring its size."""
     w = class_weights(df, label).select(F.col(label).alias("__l"), F.col("weight").alias(weight_col))
     return df.join(w, df[label].eqNullSafe(w["__l"]), "left").drop("__l")
+
+
+def train_test_split(df: DataFrame, label: str, key: str, fraction: float = 0.2, seed: int = 42,
+                     max_strata: int = 6, split_col: str = "split") -> DataFrame:
+    """W3 with the A6 decision: stratify only when the label has at most
+    ``max_strata`` distinct values (2 x the number of tiers in the
+    reference); otherwise one md5-ordered split of all rows. The distinct
+    count is one aggregate, taken before any per-class table is built."""
+    if n_classes(df, label) <= max_strata:
+        return stratified_split(df, label, key, fraction, seed, split_col)
+    tmp = df.withColumn("__all", F.lit(0))
+    return stratified_split(tmp, "__all", key, fraction, seed, split_col).drop("__all")

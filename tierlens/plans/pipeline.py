@@ -76,7 +76,8 @@ def run(df: DataFrame, preset: IndicatorPreset, numeric: Sequence[str], categori
     order = list(registration or models_reg)
     featured, _ = engineer_features(df, preset, create_target=True, drop_leaky=False)
     labelled = cut_lineage(featured)
-    split = cut_lineage(sm.stratified_split(labelled, preset.target, preset.key, preset.test_fraction, preset.seed))
+    split = cut_lineage(sm.train_test_split(labelled, preset.target, preset.key, preset.test_fraction,
+                                            preset.seed, max_strata=2 * preset.n_classes))
     train = ml.prepare(split.where("split = 'train'"), preset.target)
     test = ml.prepare(split.where("split = 'test'"), preset.target)
     models = ml.fit_all(train, numeric, categorical, models_reg)
