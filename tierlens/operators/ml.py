@@ -196,36 +196,52 @@ def prepare(df: DataFrame, label_col: str) -> DataFrame:
     return df.withColumn("label", F.col(label_col).cast("double"))
 
 
+def fit_prepared(train_w: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                 models: Mapping[str, Callable], n_train: int, max_parallel: int = 3):
+    """Fit the preprocessing ONCE, cache the assembled (features, label,
+    weight) rows, and fit every classifier on them concurrently. Each result
+    is a self-contained PipelineModel (preprocessing stages + classifier).
+    Returns (models, errors)."""
+    prep = Pipeline(stages=preprocessing_stages(train_w, numeric, categorical)).fit(train_w)
+    feats = prep.transform(train_w).select("features", "label", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    out, errors = {}, {}
+
+    def run(item):
+        name, factory = item
+        try:
+            return name, PipelineModel(stages=[*prep.stages, factory(n_train).fit(feats)]), None
+        except Exception as e:  # noqa: BLE001 - a failing model is skipped, as in the reference
+            return name, None, e
+    try:
+        with ThreadPoolExecutor(max_workers=max_parallel) as ex:
+            for name, model, err in ex.map(run, models.items()):
+                if err is None:
+                    out[name] = model
+                else:
+                    errors[name] = err
+    finally:
+        feats.unpersist()
+    return out, errors
+
+
 def fit_one(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], factory,
             n_train: int | None = None) -> PipelineModel:
     """Preprocessing + classifier as one PipelineModel."""
     n = n_train if n_train is not None else train.count()
-    stages = preprocessing_stages(train, numeric, categorical) + [factory(n)]
-    return Pipeline(stages=stages).fit(train)
+    models, errors = fit_prepared(train, numeric, categorical, {"m": factory}, n, 1)
+    if "m" not in models:
+        raise errors["m"]
+    return models["m"]
 
 
 def fit_all(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
             models: Mapping[str, Callable], max_parallel: int = 3) -> dict[str, PipelineModel]:
-    """Fit every registered model on the cached train set; failures are
-    reported and skipped; raises when none succeeds."""
-    # stage boundary: a reliable checkpoint (shared checkpoint dir) gives the
-    # many passes of the estimators a plain scan, and survives executor loss
+    """Fit every registered model on one weighted train set; failures
+    are reported and skipped; raises when none succeeds."""
+    # stage boundary: the weighted train set is written once (shared
+    # checkpoint dir) so the estimators' many passes read a plain scan
     tr = cut_lineage(with_weights(train))
-    n = tr.count()
-    out, errors = {}, {}
-
-    def run(item):
-        name, factory = item
-        try:
-            return name, fit_one(tr, numeric, categorical, factory, n), None
-        except Exception as e:  # noqa: BLE001 - a failing model is skipped, as in the reference
-            return name, None, e
-    with ThreadPoolExecutor(max_workers=max_parallel) as ex:
-        for name, model, err in ex.map(run, models.items()):
-            if err is None:
-                out[name] = model
-            else:
-                errors[name] = err
+    out, errors = fit_prepared(tr, numeric, categorical, models, tr.count(), max_parallel)
     if not out:
         raise RuntimeError(f"no model could be trained: {errors}")
     return out
@@ -262,33 +278,24 @@ def class_probabilities(scored: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 def cross_validate(train: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str],
                    models: Mapping[str, Callable], k: int = 5, seed: int = 43,
-                   label: str = "label", max_parallel: int = 4) -> DataFrame:
+                   label: str = "label", max_parallel: int = 3) -> DataFrame:
     """Stratified k folds (exact quotas, md5 order); for each fold
     and model fit on the other folds (preprocessing and class weights
     refitted per fold, so no statistic leaks from the held-out fold) and
     predict the fold. Returns the union of all predictions
     (model, fold, label, prediction) - metrics are then one query."""
     folds = cut_lineage(stratified_folds(train, label, key, k, seed))
-    fold_train = {}
-    for i in range(k):
-        tr = cut_lineage(with_weights(folds.where(F.col("fold") != i)))
-        fold_train[i] = (tr, tr.count())
 
-    def run(task):
-        i, name = task
-        tr, n = fold_train[i]
-        try:
-            m = fit_one(tr, numeric, categorical, models[name], n)
-        except Exception:  # noqa: BLE001 - skip a failing model like the reference
-            return None
-        p = m.transform(folds.where(F.col("fold") == i)).select(
+    def run_fold(i: int) -> list:
+        tr = cut_lineage(with_weights(folds.where(F.col("fold") != i)))
+        fitted, _ = fit_prepared(tr, numeric, categorical, models, tr.count(), len(models))
+        te = folds.where(F.col("fold") == i)
+        return [_materialise(m.transform(te).select(
             F.lit(name).alias("model"), F.lit(i).alias("fold"), F.col(label).cast("int").alias("label"),
-            F.col("prediction").cast("int").alias("prediction"))
-        return _materialise(p)
-    # the k x models fits are independent Spark jobs: submit them together
-    tasks = [(i, name) for i in range(k) for name in models]
+            F.col("prediction").cast("int").alias("prediction"))) for name, m in fitted.items()]
+    # folds are independent: their Spark jobs run concurrently
     with ThreadPoolExecutor(max_workers=max_parallel) as ex:
-        preds = [p for p in ex.map(run, tasks) if p is not None]
+        preds = [p for ps in ex.map(run_fold, range(k)) for p in ps]
     if not preds:
         raise RuntimeError("no model could be cross-validated")
     out = preds[0]
