@@ -80,10 +80,18 @@ def fit_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.max("n").alias("mode_count"))
 
 
-def categories(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct categories of a column (the one-hot vocabulary; a
-    bounded set, read by the driver like StringIndexer does)."""
-    return sorted(r[0] for r in df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct().collect())
+MAX_CATEGORIES = 10_000
+
+
+def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
+    """Sorted distinct categories of a column: the one-hot vocabulary, read
+    by the driver (as StringIndexer does). At most ``max_categories + 1``
+    rows are ever fetched; a larger vocabulary is an error, not a silent cut."""
+    got = [r[0] for r in df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct()
+           .limit(max_categories + 1).collect()]
+    if len(got) > max_categories:
+        raise ValueError(f"{col}: more than {max_categories} categories; one-hot encoding is not meaningful")
+    return sorted(got)
 
 
 def one_hot_columns(col: str, cats: Sequence[str], prefix: str | None = None) -> dict:

@@ -87,10 +87,17 @@ def _sortable(k):
     return (k is not None, k)
 
 
-def quota_table(df: DataFrame, label: str, fraction: float) -> DataFrame:
+MAX_STRATA = 100_000
+
+
+def quota_table(df: DataFrame, label: str, fraction: float, max_strata: int = MAX_STRATA) -> DataFrame:
     """One row per class with its test quota. The class counts (one row per
-    class, a bounded set) are read by the driver to run the allocation."""
-    counts = [(r[0], r[1]) for r in class_counts(df, label).collect()]
+    class) are read by the driver to run the allocation; at most
+    ``max_strata + 1`` rows are fetched, more classes is an error (use
+    ``train_test_split``, which falls back to an unstratified split)."""
+    counts = [(r[0], r[1]) for r in class_counts(df, label).limit(max_strata + 1).collect()]
+    if len(counts) > max_strata:
+        raise ValueError(f"{label}: more than {max_strata} classes to stratify on")
     q = test_quotas(counts, fraction)
     schema = df.select(label).schema
     from pyspark.sql.types import LongType, StructField, StructType
