@@ -75,3 +75,20 @@ def test_split_falls_back_when_label_is_continuous(spark):
     t = sm.train_test_split(d, "y", "k", 0.2, 42, max_strata=6)
     got = {r.y: r.n for r in t.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
     assert got == {0: 6, 1: 6, 2: 6}
+
+
+def test_rank_with_one_hot_class(spark):
+    # one class holds 90% of all rows: the bucketed rank is still exact
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot")).alias("y"))
+    fast = sm.stratified_rank(o, "y", "o_orderkey", 7, "r", bucket_digits=2)
+    w = Window.partitionBy("y").orderBy(sm.order_hash("o_orderkey", 7), "o_orderkey")
+    brute = o.withColumn("r", F.row_number().over(w))
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, brute.collect()))
+
+
+def test_metrics_with_one_model_holding_most_rows(spark):
+    rows = [("big", i % 3, (i * 7) % 3) for i in range(3000)] + [("small", i % 3, i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "model string, label int, prediction int")
+    m = {r.model: r for r in mt.model_metrics(mt.confusion_counts(df)).collect()}
+    assert m["small"].accuracy == 1.0 and 0.0 <= m["big"].accuracy <= 1.0
