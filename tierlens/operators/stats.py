@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import INF, dbl, nan_to_null, zscore
+from ..functions.exprs import INF, dbl, nan_to_null
 
 MEAN, SD, MIN, MAX, N = "mean", "sd", "min", "max", "n"
 
@@ -66,15 +66,6 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return d.withColumns({c: F.col(tmp)[c] for c in one_row.columns}).drop(tmp)
 
 
-def zcol(c: str) -> Column:
-    """X3 over attached stats columns."""
-    return zscore(F.col(c), F.col(stat_name(c, MEAN)), F.col(stat_name(c, SD)))
-
-
-def drop_stats(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if "__" in c])
-
-
 # --------------------------------------------------------------------------
 # Quantiles
 # --------------------------------------------------------------------------
