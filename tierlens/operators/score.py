@@ -161,3 +161,21 @@ def class_info(df: DataFrame, class_col: str, names: Mapping[int, str], texts: M
     """P15 + M4: display label and description per class, 'Unknown' default."""
     return df.withColumns({"class_name": lookup(class_col, dict(names)),
                            "class_text": lookup(class_col, dict(texts))})
+
+
+def scenario_rescore(base: DataFrame, scenarios: Sequence[Mapping], columns: Sequence[str],
+                     recompute: Mapping[str, Column], score_fn, key: str) -> DataFrame:
+    """M7 end to end: fan each row out to the scenarios, apply the overrides,
+    recompute the derived features, rescore with ``score_fn`` (a fitted
+    model's scoring), and compare every scenario with the row's base
+    scenario (a window over each key's few scenario rows)."""
+    from pyspark.sql import Window
+    fan = apply_scenarios(base, scenarios, columns)
+    fan = fan.withColumns(dict(recompute)) if recompute else fan
+    scored = score_fn(fan)
+    base_name = scenarios[0]["scenario"]
+    w = Window.partitionBy(key)
+    base_pred = F.max(F.when(F.col("scenario") == base_name, F.col("prediction"))).over(w)
+    base_conf = F.max(F.when(F.col("scenario") == base_name, F.col("confidence"))).over(w)
+    return scored.withColumns({"class_change": F.col("prediction") - base_pred,
+                               "confidence_delta": F.col("confidence") - base_conf})

@@ -541,3 +541,19 @@ from ..streaming import score_stream as ss  # noqa: E402
 def stream_score(spark, sf):
     out = ss.score_events(spark, sf)
     return out.select("event_id", "event_type", r6("value").alias("value"), r6("z_value").alias("z_value"), "level")
+
+
+@query("scenario_rescore")
+def scenario_rescore(spark, sf):
+    """M7 with the model: what-if scenarios on the test customers, rescored
+    by the trained logistic regression, against each customer's base."""
+    models, _, test = trained(spark, sf)
+    model = models["LogisticRegression"]
+    recompute = feat.level1_exprs(test.columns, list(cp.RATIOS + cp.LOG_ABS_GAP))
+
+    def score_fn(df):
+        return ml.score(model, df, ["entity_key", "scenario"])
+    out = sc.scenario_rescore(test, cp.MODEL_SCENARIOS, cp.SCENARIO_COLUMNS, recompute, score_fn, "entity_key")
+    return out.select("entity_key", "scenario", "prediction", r6("confidence").alias("confidence"),
+                      F.col("class_change").cast("int").alias("class_change"),
+                      r6("confidence_delta").alias("confidence_delta"))

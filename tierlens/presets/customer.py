@@ -108,3 +108,11 @@ ALIGN_FEATURES = MODEL_FEATURES + ("n_returns", "balance_is_missing")
 # country preset keeps the reference values (ml.ModelParams defaults).
 MODEL_PARAMS = dict(lr_max_iter=100, rf_trees=30, rf_depth=6, gbt_rounds=10, gbt_depth=3)
 MODEL_REGISTRATION = ("LogisticRegression", "RandomForest", "BoostedTrees", "XGBoost")
+
+# What-if scenarios on model inputs (M7 with model rescoring).
+MODEL_SCENARIOS = (
+    {"scenario": "base", "changes": ()},
+    {"scenario": "growth", "changes": (("n_orders", "mul", 1.5), ("revenue", "mul", 1.5))},
+    {"scenario": "tax_up", "changes": (("avg_tax", "add", 0.01),)},
+)
+SCENARIO_COLUMNS = ("n_orders", "revenue", "avg_tax", "n_items")
