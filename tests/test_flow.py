@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tierlens.plans import pipeline as pl
+from tierlens.plans import flow as pl
 from tierlens.presets import country
 from tierlens.sources.tables import read_raw_csv
 
