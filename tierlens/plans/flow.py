@@ -97,7 +97,7 @@ def run(df: DataFrame, preset: IndicatorPreset, numeric: Sequence[str], categori
     artifacts = {}
     if out_dir:
         artifacts["labelled"] = write_stage(labelled, f"{out_dir}/labelled")
-        artifacts["metrics"] = write_stage(test_metrics, f"{out_dir}/metrics_summary", fmt="csv")
+        artifacts["metrics"] = write_stage(test_metrics, f"{out_dir}/test_metrics", fmt="csv")
         ml.save_models(models, out_dir, best_cv or best_test, list(numeric) + list(categorical))
         artifacts["models"] = f"{out_dir}/models"
     return RunResult(labelled, split, models, test_metrics, cv_sum, best_cv, best_test, summary, artifacts)
