@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_SEP, cut, row_key
 
-SAMPLES = 64
+#: Cost is in proportion: 64 samples took 6.4 s over 2.8 million weighted terms on 8 threads, 32 take 3.3 s.
+SAMPLES = 32
 _BITS = 8
 
 
@@ -64,23 +65,23 @@ def weighted_terms(hs: Column, at: Column, which: int) -> Column:
 
 
 def _sample(h: Column, lnw: Column, k: int) -> Column:
-    """The packed candidate of one term for sample k."""
-    unit = 2.0**-24
+    """The packed candidate of one term for sample k: null for a null term. Nothing in it is conditional, so
+    that generated code computes each shared part once."""
     x = F.xxhash64(h, F.lit(k))
-    y = F.xxhash64(x, F.lit(k))
-    cut24 = lambda v, s: (F.shiftrightunsigned(v, s).bitwiseAND(F.lit(0xFFFFFF)) + F.lit(0.5)) * F.lit(unit)
-    r = -F.ln(cut24(x, 40) * cut24(x, 16))
-    beta = x.bitwiseAND(F.lit(0xFFFF)) * F.lit(2.0**-16)
+    unit = lambda s: F.shiftrightunsigned(x, s).bitwiseAND(F.lit(0xFFFF)) + F.lit(0.5)
+    r = -F.ln(unit(48) * unit(32) * F.lit(2.0**-32))
+    c = -F.ln(unit(16) * unit(0) * F.lit(2.0**-32))
+    beta = F.hash(x).bitwiseAND(F.lit(0xFFFFFF)) * F.lit(2.0**-24)
     t = F.floor(lnw / r + beta)
-    lna = F.ln(-F.ln(cut24(y, 40) * cut24(y, 16))) - r * (t - beta + F.lit(1.0))
+    lna = F.ln(c) - r * (t - beta + F.lit(1.0))
     rank = F.floor((lna + F.lit(128.0)) * F.lit(2.0**23))
-    return F.shiftleft(rank, 32).bitwiseOR(F.xxhash64(h, t).bitwiseAND(F.lit(0xFFFFFFFF)))
+    return F.shiftleft(rank, 32).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def sample_terms(rows: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """From rows (keys, h, w) the signatures: keys and ``fp``, an array of ``samples`` longs below 2**32."""
     rows = rows.withColumn("lnw", F.ln(F.col("w").cast("double")))
-    least = [F.min(F.when(F.col("h").isNotNull(), _sample(F.col("h"), F.col("lnw"), k))).alias(f"m{k}") for k in range(samples)]
+    least = [F.min(_sample(F.col("h"), F.col("lnw"), k)).alias(f"m{k}") for k in range(samples)]
     out = rows.groupBy(*keys).agg(*least)
     low = F.lit(0xFFFFFFFF)
     return out.select(*keys, F.array(*[F.coalesce(F.col(f"m{k}").bitwiseAND(low), low) for k in range(samples)]).alias("fp"))
