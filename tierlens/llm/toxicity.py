@@ -1,6 +1,7 @@
 """Operator 1, toxicity by maximum-scoring segments of token log-odds, calibrated by extreme values.
 
-Fit, on labelled documents outside fold 2: how many documents of either label hold each token (all
+Fit, on labelled documents outside fold 2, one of each label and least word shingle (else every word of a
+text with many near copies would look significant): how many documents of either label hold each token (all
 labelled rows, map-side counters), log-odds under an informative Dirichlet prior (``PRIOR`` of the pooled counts), each
 shrunk towards 0 by ``Z`` of its standard errors. A word scores as the strongest of itself and its first
 letters (``STEMS``), so that unseen forms of a toxic stem still score. The model keeps the ``VOCAB`` strongest entries: a documented bound.
@@ -29,9 +30,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold
+from .common import SPACE_SEP, cut, fold
 
-VOCAB, PRIOR, Z, DRIFT, FLOOR = 200_000, 0.05, 2.5, 0.02, 1.0
+VOCAB, PRIOR, Z, DRIFT, FLOOR = 200_000, 0.05, 3.5, 0.02, 1.0
 #: Lengths of the first letters that a word backs off to.
 STEMS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
@@ -57,17 +58,16 @@ class Model:
     rate: float = 1e-6
     slope: float = 0.0
     bias: float = -50.0
+    #: Scores of words met so far, bounded by HELD.
+    known: dict[str, float] = field(default_factory=dict, repr=False)
 
     def token_scores(self, words: list[str]) -> np.ndarray:
-        odds, out = self.odds, np.full(len(words), -DRIFT)
-        seen: dict[str, float] = {}
-        for i, w in enumerate(words):
-            s = seen.get(w)
-            if s is None:
-                s = seen[w] = max([odds.get(w, 0.0), *(odds.get(x, 0.0) for x in stems(w))])
-            if s:
-                out[i] += s
-        return out
+        known, odds = self.known, self.odds
+        if len(known) > HELD:
+            known.clear()
+        for w in set(words).difference(known):
+            known[w] = max([odds.get(w, 0.0), *[odds.get(x, 0.0) for x in stems(w)]])
+        return np.fromiter(map(known.__getitem__, words), float, len(words)) - DRIFT
 
     def segments(self, scores: np.ndarray) -> list[tuple[int, int, float]]:
         """All maximal scoring segments (first, end, score). Only tokens of positive score open one, and
@@ -122,11 +122,11 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield flush()
 
 
-def log_odds(counts: DataFrame, vocab: int = VOCAB) -> tuple[dict[str, float], float, float]:
-    """The strongest entries, and the words of each label. Words and stems of a length are vocabularies of their own."""
+def log_odds(counts: DataFrame, vocab: int = VOCAB) -> dict[str, float]:
+    """The strongest entries. Words, and stems of each length, are vocabularies of their own."""
     counts = counts.withColumn("stem", F.when(F.col("w").endswith("*"), F.length("w")).otherwise(0))
     n = {r["stem"]: (r["p"] or 0, r["n"] or 0) for r in counts.groupBy("stem").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).collect()}
-    best: dict[str, float] = {}
+    odds = F.lit(0.0)
     for stem, (p, q) in n.items():
         if not p or not q:
             continue
@@ -135,24 +135,33 @@ def log_odds(counts: DataFrame, vocab: int = VOCAB) -> tuple[dict[str, float], f
         t1, t0 = p * (1 + PRIOR), q * (1 + PRIOR)
         delta = F.ln((F.col("pos") + a1) / (t1 - F.col("pos") - a1)) - F.ln((F.col("neg") + a0) / (t0 - F.col("neg") - a0))
         err = F.sqrt(1 / (F.col("pos") + a1) + 1 / (F.col("neg") + a0))
-        odds = F.signum(delta) * F.greatest(F.lit(0.0), F.abs(delta) - Z * err)
-        top = counts.filter(F.col("stem") == stem).select("w", odds.alias("odds")).filter("odds > 0").orderBy(F.col("odds").desc(), "w").limit(vocab // (1 + len(STEMS)))
-        best |= {r["w"]: r["odds"] for r in top.collect()}
-    return best, *n.get(0, (0, 0))
+        odds = F.when(F.col("stem") == stem, delta - Z * err).otherwise(odds)
+    top = counts.select("w", odds.alias("odds")).filter("odds > 0").orderBy(F.col("odds").desc(), "w").limit(vocab)
+    return {r["w"]: r["odds"] for r in top.collect()}
+
+
+def once(texts: DataFrame) -> DataFrame:
+    """One text for each (toxic, least hash of its runs of four words): near copies mostly share that hash,
+    other texts hardly ever."""
+    hs = F.transform(F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE_SEP), ""), lambda w: F.xxhash64(w))
+    texts = texts.select("text", "toxic", hs.alias("hs"))  # a column of its own, for the lambda below reads it often
+    last = F.size("hs") - 3
+    least = F.array_min(F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("hs", i, 4))))
+    return texts.groupBy("toxic", F.when(last > 0, least).otherwise(F.xxhash64("hs")).alias("key")).agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, vocab: int = VOCAB) -> Model:
     """The model, from labelled documents outside fold 2."""
     spark = docs.sparkSession
     y = labels.filter("toxic is not null").select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(fold(F.col("doc_id")) != 2)
-    train = cut(docs.select("doc_id", "text").join(y, "doc_id").select("text", "toxic"), "train")
+    train = cut(once(docs.select("doc_id", "text").join(y, "doc_id")), "train")
     kinds = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     pos, neg = kinds.get(1, 0), kinds.get(0, 0)
     if not pos or not neg:
         share = pos / (pos + neg) if pos + neg else 0.0
         return Model(bias=math.log(share / (1 - share)) if 0 < share < 1 else (50.0 if share else -50.0))
     counts = cut(train.mapInPandas(_count, "w string, pos long, neg long").groupBy("w").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "counts")
-    model = Model(log_odds(counts, vocab)[0])
+    model = Model(log_odds(counts, vocab))
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
