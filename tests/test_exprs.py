@@ -87,3 +87,11 @@ def test_lookup_default(spark):
     df = spark.createDataFrame([(0,), (2,), (7,)], "c int")
     got = [r[0] for r in df.select(X.lookup("c", {0: "Stable", 1: "Watch", 2: "At-Risk"})).collect()]
     assert got == ["Stable", "At-Risk", "Unknown"]
+
+
+def test_exclusion_with_nulls_and_many_keys(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    left = lambda keys: sorted((r.k for r in cl.exclude_keys(df, "k", keys).collect()), key=str)
+    assert left(["a", None]) == left(["a"]) == [None, "b", "c"]
+    assert left(["a", None] + [f"x{i}" for i in range(1500)]) == [None, "b", "c"]
+    assert left([]) == left([None]) == [None, "a", "b", "c"]

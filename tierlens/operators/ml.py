@@ -11,6 +11,7 @@ values at serving time.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -252,6 +253,8 @@ def fit_all(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
     out, errors = fit_prepared(tr, numeric, categorical, models, tr.count(), max_parallel)
     if not out:
         raise RuntimeError(f"no model could be trained: {errors}")
+    for name, error in dict(errors).items():
+        warnings.warn(f"{name} could not be trained: {error}", stacklevel=2)
     return out
 
 
@@ -294,18 +297,25 @@ def cross_validate(train: DataFrame, key: str, numeric: Sequence[str], categoric
     (model, fold, label, prediction) - metrics are then one query."""
     folds = cut_lineage(stratified_folds(train, label, key, k, seed))
 
+    failed: dict = {}
+
     def run_fold(i: int) -> list:
         tr = cut_lineage(with_weights(folds.where(F.col("fold") != i)))
-        fitted, _ = fit_prepared(tr, numeric, categorical, models, tr.count(), len(models))
+        fitted, errors = fit_prepared(tr, numeric, categorical, models, tr.count(), len(models))
+        failed.update(errors)
         te = folds.where(F.col("fold") == i)
-        return [_materialise(m.transform(te).select(
+        return [(name, _materialise(m.transform(te).select(
             F.lit(name).alias("model"), F.lit(i).alias("fold"), F.col(label).cast("int").alias("label"),
-            F.col("prediction").cast("int").alias("prediction"))) for name, m in fitted.items()]
+            F.col("prediction").cast("int").alias("prediction")))) for name, m in fitted.items()]
     # folds are independent: their Spark jobs run concurrently
     with ThreadPoolExecutor(max_workers=max_parallel) as ex:
-        preds = [p for ps in ex.map(run_fold, range(k)) for p in ps]
+        every = [p for ps in ex.map(run_fold, range(k)) for p in ps]
+    # a model that failed in one fold has no mean over all folds: it is left out, aloud
+    for name, error in failed.items():
+        warnings.warn(f"{name} left out of cross-validation: {error}", stacklevel=2)
+    preds = [p for name, p in every if name not in failed]
     if not preds:
-        raise RuntimeError("no model could be cross-validated")
+        raise RuntimeError(f"no model could be cross-validated: {failed}")
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)

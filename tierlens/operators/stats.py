@@ -61,7 +61,9 @@ def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
     # One column holds the subquery; fields are read from it in a second
     # projection, so the plan carries a single subquery expression (a
     # subquery is not "cheap", so CollapseProject keeps it un-inlined).
-    tmp = f"__stats{abs(hash(tuple(one_row.columns))) % 10**8}"
+    tmp = "__stats"
+    while tmp in df.columns:
+        tmp += "_"
     d = df.withColumn(tmp, sv)
     return d.withColumns({c: F.col(tmp)[c] for c in one_row.columns}).drop(tmp)
 
@@ -212,9 +214,6 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return {c: (list(r[c]) if r[c] is not None else [None] * len(probs)) for c in cols}
     if mode != "exact":
         raise ValueError(f"unknown quantile mode {mode!r}")
-    small = _small_columns(df, cols, SMALL_INPUT)
-    if small is not None:
-        return {c: [None if not small[c] else _from_sorted(small[c], q) for q in probs] for c in cols}
     pre = _profile(df, cols)
     targets, plan = [], {}
     for c in cols:
@@ -236,28 +235,6 @@ def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return res
 
 
-SMALL_INPUT = 20_000
-
-
-def _from_sorted(vals: list[float], q: float) -> float:
-    lo, hi, frac = _ranks(len(vals), q)
-    return _interp(vals[lo], vals[hi], frac)
-
-
-def _small_columns(df: DataFrame, cols: Sequence[str], limit: int) -> dict[str, list[float]] | None:
-    """Bounded fast path: ONE job fetching at most ``limit + 1`` rows. When
-    every column has at most ``limit`` non-null values they are all here and
-    sorted locally; otherwise None and the distributed path runs."""
-    if len(cols) != 1:
-        return None
-    c = cols[0]
-    x = nan_to_null(F.col(c).cast("double"))
-    rows = df.select(x.alias("v")).where(F.col("v").isNotNull()).limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return {c: sorted(r[0] for r in rows)}
-
-
 def quantile_row(df: DataFrame, cols: Sequence[str], probs: Sequence[float], names: Sequence[str],
                  mode: str = "exact", accuracy: int = 10000) -> DataFrame:
     """The quantiles as a one-row DataFrame with columns ``{col}__{name}``
