@@ -1,0 +1,180 @@
+"""Native corpus operators against brute force, with nulls, empty and long texts, ties, repeats and clashing columns."""
+
+import hashlib
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierlens.llm import decontaminate, fingerprints, license_scan, mixing, secret_scan
+
+DOC = "doc_id long, text string, lang string, source string, n_chars long, k string, id string"
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def frame(spark, texts, source=lambda i: f"s{i % 3}"):
+    rows = [(i, t, "en", source(i), len(t or ""), "clash", "clash") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOC)
+
+
+def words(text):
+    return ALNUM.findall((text or "").translate(LOWER))
+
+
+def some_texts(seed=1, n=40):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(60)] + ["Été", "straße", "X9"]
+    out = [" ".join(rng.choice(vocab) for _ in range(rng.randrange(0, 60))) for _ in range(n)]
+    return [None, "", "  \n\t", "!!!", *out, out[3], out[3], " ".join(rng.choice(vocab) for _ in range(20_000))]
+
+
+def test_decontaminate_matches_brute_force(spark):
+    texts = some_texts()
+    bench = [(0, texts[-1][:200]), (1, texts[-1][100:400]), (2, "w1 w2"), (3, None), (4, ""), (10, "w1 w2"), (11, "zzz"), (12, texts[6])]
+    docs, b = frame(spark, texts), spark.createDataFrame(bench, "item_id long, text string")
+    wins = {}
+    for i, t in bench:
+        w = words(t)
+        n = min(13, len(w))
+        for s in range(len(w) - n + 1) if n else ():
+            wins.setdefault(tuple(w[s : s + n]), set()).add(i)
+    for blocks in (500_000, 7):
+        got = {r["doc_id"]: r for r in decontaminate.scan(docs, b, block_rows=blocks).collect()}
+        assert len(got) == len(texts)
+        for d, t in enumerate(texts):
+            w, hit, items = words(t), set(), set()
+            for key, of in wins.items():
+                for s in range(len(w) - len(key) + 1):
+                    if tuple(w[s : s + len(key)]) == key:
+                        hit |= set(range(s, s + len(key)))
+                        items |= of
+            sha = hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+            r = got[d]
+            assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) == (len(w), len(hit), len(items), sha)
+            assert r["contaminated"] == (len(hit) > 0 and 20 * len(hit) >= len(w))
+
+
+def test_decontaminate_removal_and_empty_tables(spark):
+    texts = ["keep this clean text", "alpha Beta gamma, keep me alpha beta tail", None]
+    docs, b = frame(spark, texts), spark.createDataFrame([(1, "ALPHA beta")], "item_id long, text string")
+    spans = {r["doc_id"]: r["text"] for r in decontaminate.remove_spans(docs, b).collect()}
+    assert spans == {0: texts[0], 1: "gamma, keep me tail", 2: None}
+    kept = decontaminate.remove_documents(docs, b)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
+    assert decontaminate.scan(docs, b.limit(0)).filter("n_hit > 0 or contaminated").count() == 0
+    assert decontaminate.scan(docs.limit(0), b).count() == 0
+
+
+def fill(sizes, weights, cap=3):
+    """Targets by raising all shares until nothing is above its cap."""
+    total, open_, target = sum(sizes.values()), set(sizes), {}
+    while open_:
+        share = (total - sum(target.values())) / sum(weights[s] for s in open_)
+        over = {s for s in open_ if cap * sizes[s] <= share * weights[s]}
+        if not over:
+            return target | {s: share * weights[s] for s in open_}
+        target |= {s: float(cap * sizes[s]) for s in over}
+        open_ -= over
+    return target
+
+
+def test_mixing_meets_targets(spark):
+    texts = some_texts(3, 120)
+    source = lambda i: None if i % 11 == 0 else ("hot" if i % 3 else f"s{i % 5}")
+    docs = frame(spark, texts, source)
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == len(texts) and rows == mixing.mix(docs.repartition(5)).collect()
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in enumerate(texts)}
+    per = {}
+    for i in size:
+        per[source(i)] = per.get(source(i), 0) + size[i]
+    order = sorted((s for s in per if s is not None)) + [None]
+    want = fill(per, {s: j % 3 + 1 for j, s in enumerate(order)})
+    taken = dict.fromkeys(per, 0)
+    for r in rows:
+        assert r["size"] == size[r["doc_id"]] and 0 <= r["taken"] <= 3 * r["size"] and r["source_size"] == per[r["source"]]
+        assert math.isclose(r["target"], want[r["source"]], rel_tol=1e-9, abs_tol=1e-6)
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - want[s]) <= 1 for s in per)
+    assert [r["finish"] for r in rows] == sorted(r["finish"] for r in rows)
+    assert mixing.mix(docs.limit(0)).count() == 0
+    assert {r["taken"] for r in mixing.mix(docs.filter("text is null")).collect()} == {0}
+
+
+def test_next_ids_and_edits(spark):
+    ids = [5, -3, 900, 901, 70_000, 1 << 40, 6]
+    got = {r["id"]: r["nxt"] for r in fingerprints.next_ids(spark.createDataFrame([(i,) for i in ids], "id long")).collect()}
+    down = sorted(ids, reverse=True)
+    assert got == dict(zip(down, down[1:] + down[:1], strict=True))
+    texts = some_texts(5, 20)
+    rows = fingerprints.with_edits(frame(spark, texts)).collect()
+    assert len(rows) == len(texts)
+    prints = {}
+    for r in rows:
+        t, nxt = texts[r["doc_id"]] or "", texts[r["doc_id"] - 1] or ""
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert prints.setdefault(t, r["fingerprint"]) == r["fingerprint"] and 0 <= r["near_next"] <= 1
+        assert r["near_edited"] == 1 or t.split() != edited.split()
+    assert fingerprints.with_edits(frame(spark, texts).limit(0)).count() == 0
+
+
+def test_collisions_follow_generalised_jaccard(spark):
+    rng = random.Random(2)
+    a = [f"t{i}" for i in range(150) for _ in range(rng.randrange(1, 6))]
+    b = a[:300] + [f"u{i}" for i in range(120)]
+    count = lambda x: {w: x.count(w) for w in set(x)}
+    ca, cb = count(a), count(b)
+    every = set(ca) | set(cb)
+    true = sum(min(ca.get(w, 0), cb.get(w, 0)) for w in every) / sum(max(ca.get(w, 0), cb.get(w, 0)) for w in every)
+    fp = {r["doc_id"]: r["fp"] for r in fingerprints.fingerprints(frame(spark, [" ".join(a), " ".join(b)]), samples=256).collect()}
+    assert abs(sum(x == y for x, y in zip(fp[0], fp[1], strict=True)) / 256 - true) < 0.1
+
+
+def test_license_places_and_labels(spark):
+    notice = license_scan.NOTICES[7][0]
+    texts = [None, "", "MIT License and the mit  license; MIT", "under the GNU General Public License, general public", "Apache\nLicense", "Licensed under CC BY-NC 4.0.", notice, notice.replace(" charge ", " any charge "), "license mit", "mit licensed"]
+    got = {r["doc_id"]: r for r in license_scan.scan(frame(spark, texts)).collect()}
+    assert len(got) == len(texts)
+    for d, t in enumerate(texts):
+        w, places, labels = words(t), [], set()
+        for phrase, label in license_scan.BASE:
+            p = phrase.split()
+            at = [i for i in range(len(w)) if w[i : i + len(p)] == p]
+            places += at
+            labels |= {label} if at else set()
+        r = got[d]
+        assert (r["n_words"], r["n_base"]) == (len(w), len(places))
+        assert (r["first_word"], r["last_word"]) == ((min(places), max(places)) if places else (None, None))
+        assert r["base_labels"] == ",".join(sorted(labels)) and labels <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
+    assert got[6]["labels"] == got[7]["labels"] == "mit" and "cc-by-nc" in got[5]["labels"] and got[9]["labels"] == ""
+    assert license_scan.scan(frame(spark, texts).limit(0)).count() == 0
+
+
+def test_secrets_found_and_masked(spark):
+    rng = random.Random(4)
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    keys = [key(20) for _ in range(30)]
+    texts = [f"some words before password={k} and after it" for k in keys] + [f"card {rng.randrange(10**15, 10**16)} paid" for _ in range(30)]
+    texts += ["AKIA" + "ABCD1234EFGH5678", None, "", "ordinary unquestionably longwordedness text"] * 3
+    docs = frame(spark, texts)
+    got = {r["doc_id"]: r for r in secret_scan.report(docs).collect()}
+    assert len(got) == len(texts)
+    assert all(got[i]["n_secrets"] == 1 and got[i]["secrets_sha256"] == hashlib.sha256(k.encode()).hexdigest() for i, k in enumerate(keys))
+    assert all(got[i]["n_secrets"] == 0 for i in range(30, 60)) and got[60]["n_secrets"] == 1
+    assert all(got[i]["n_candidates"] == 0 for i in (61, 62, 63))
+    clean = secret_scan.redact(docs)
+    assert clean.columns == docs.columns
+    rows = {r["doc_id"]: r for r in clean.collect()}
+    assert rows[0]["text"] == "some words before password=[SECRET] and after it" and rows[0]["n_chars"] == len(rows[0]["text"])
+    assert rows[30]["text"] == texts[30] and rows[61]["text"] is None
+    assert secret_scan.report(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("scan", [lambda d: decontaminate.scan(d, d.select(F.col("doc_id").alias("item_id"), "text")), mixing.mix, license_scan.scan, fingerprints.with_edits])
+def test_null_ids_and_repeated_rows(spark, scan):
+    rows = [(None, "mit license x", "en", None, 3, "c", "c"), (7, "a b c", "en", "s", 5, "c", "c"), (7, "a b c", "en", "s", 5, "c", "c"), (7, "other text", None, "s", 10, "c", "c")]
+    assert scan(spark.createDataFrame(rows, DOC)).count() == 4
