@@ -34,9 +34,10 @@ def next_ids(ids: DataFrame) -> DataFrame:
         return ids.withColumn("nxt", F.col("id"))
 
     def level(frame: DataFrame, low: int, high: int) -> DataFrame:
-        frame = frame.withColumn("g", F.shiftright("id", _BITS))
+        last = high - low < 1 << _BITS  # also ends the tree where ids of both signs meet
+        frame = frame.withColumn("g", F.lit(0).cast("long") if last else F.shiftright("id", _BITS))
         inside = frame.select("id", F.lead("id").over(Window.partitionBy("g").orderBy(F.col("id").desc())).alias("nxt"))
-        if low >> _BITS == high >> _BITS:
+        if last:
             return inside
         cells = frame.groupBy("g").agg(F.min("id").alias("id"), F.max("id").alias("top"))
         up = level(cells.select(F.col("g").alias("id")), low >> _BITS, high >> _BITS)
