@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import alnum_words, cut, row_key
-from .decontaminate import _window_hashes
 
 SLACK, MIN_COVER, SHORT_K, LONG_K = 3, 0.6, 2, 5
 
@@ -53,17 +52,20 @@ def template_grams(spark: SparkSession, base=BASE, notices=NOTICES) -> DataFrame
 
 
 def votes(docs: DataFrame, grams: DataFrame) -> DataFrame:
-    """(doc_id, rk, tpl, label, is_base, k, n_grams, tpos, pos): every k-gram place a document shares with a template."""
+    """(doc_id, rk, tpl, label, is_base, k, n_grams, tpos, pos): every k-gram place a document shares with a template.
+
+    Every k-gram begins with a 2-gram, so one rolling hash of two words at each place finds candidates of any k,
+    and the whole k-gram is compared word by word."""
+    lead = lambda a, b: F.xxhash64(a, F.coalesce(b, F.lit("")))
+    parts = F.split("gram", " ")
+    grams = grams.withColumn("h", lead(F.get(parts, F.lit(0)), F.get(parts, F.lit(1))))
     base = docs.select("doc_id", row_key(F.col("text")).alias("rk"), alnum_words(F.col("text")).alias("ws"))
-    base = base.withColumn("hs", F.transform("ws", lambda w: F.xxhash64(w)))
-    found = None
-    for k in (SHORT_K, LONG_K):
-        part = grams.filter(F.col("k") == k).withColumn("h", F.xxhash64(F.transform(F.split("gram", " "), lambda w: F.xxhash64(w))))
-        at = base.select("doc_id", "rk", "ws", F.posexplode(_window_hashes(F.col("hs"), k)).alias("pos", "h"))
-        same = F.array_join(F.slice("ws", F.col("pos") + 1, k), " ") == F.col("gram")
-        hit = at.join(F.broadcast(part), "h").filter(same).select("doc_id", "rk", "tpl", "label", "is_base", "k", "n_grams", "tpos", "pos")
-        found = hit if found is None else found.unionByName(hit)
-    return found
+    # outer: else Spark adds a filter on the array's size and splits each text twice
+    at = base.select("doc_id", "rk", "ws", F.posexplode_outer("ws").alias("pos", "w"))
+    at = at.withColumn("h", lead(F.col("w"), F.get("ws", F.col("pos") + 1)))
+    same = F.array_join(F.slice("ws", F.col("pos") + 1, F.col("k")), " ") == F.col("gram")
+    hit = at.join(F.broadcast(grams), "h").filter(same & F.col("w").isNotNull())
+    return hit.select("doc_id", "rk", "tpl", "label", "is_base", "k", "n_grams", "tpos", "pos")
 
 
 def spans(votes_: DataFrame) -> DataFrame:
