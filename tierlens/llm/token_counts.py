@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tierlens.session import stage_path
 
-from .common import space_word_count
+from .common import cut, space_word_count
 
 KEYS = ["source", "lang", "tokenizer"]
 
@@ -107,22 +107,22 @@ class Rollup:
 
 def maintain(docs: DataFrame) -> DataFrame:
     """The query: insert all documents, delete all copies of a text but the one of the least id, revise the
-    rest to their text without line breaks; the last batch is sent twice. Totals after the three batches."""
+    rest to their text without line breaks; the last batch is sent twice. Totals after the three batches.
+
+    Copies are deleted as all rows less the one of each text that stays, which a map-side minimum picks: a text
+    that a third of the rows repeat reaches its task as one row of each input task."""
     spark = docs.sparkSession
     rollup = Rollup(spark, stage_path(spark, f"tables/rollup-{uuid.uuid4().hex}"))
     rollup.commit("0-insert", signed(docs, 1))
     h = F.sha2(F.coalesce("text", F.lit("")), 256)
-    keyed = docs.select("doc_id", "source", "lang", h.alias("h"), *[f(F.col("text")).alias(k) for k, f in TOKENIZERS.items()], bytes4_v1(F.regexp_replace("text", "\n", "")).alias("joined"), words_v1(F.regexp_replace("text", "\n", "")).alias("joined_words"))
-    new = {"words-v1": "joined_words", "bytes4-v1": "joined"}
-    first = keyed.groupBy(F.col("h").alias("fh")).agg(F.min("doc_id").alias("first"))
-    keyed = keyed.join(first, F.col("h") == F.col("fh")).withColumn("copy", ~F.col("doc_id").eqNullSafe(F.col("first")))
-    from .common import cut
-
-    keyed = cut(keyed, "changes")
-    rows = lambda frame, pick, docs_: frame.select("source", "lang", F.inline(F.array(*[F.struct(F.lit(k).alias("tokenizer"), pick(k).alias("tokens")) for k in TOKENIZERS]))).select(*KEYS, F.lit(docs_).cast("long").alias("docs"), F.col("tokens"))
-    rollup.commit("1-delete", rows(keyed.filter("copy"), lambda k: -F.col(k), -1))
+    joined = F.regexp_replace("text", "\n", "")
+    counts = [F.struct(F.lit(k).alias("tokenizer"), f(F.col("text")).alias("old"), f(joined).alias("new")) for k, f in TOKENIZERS.items()]
+    first = docs.groupBy(h.alias("h")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "source", "lang", F.array(*counts).alias("counts"))).alias("r"))
+    kept = cut(first.select("r.source", "r.lang", F.inline("r.counts")), "kept")
+    back = kept.select(*KEYS, F.lit(1).cast("long").alias("docs"), F.col("old").alias("tokens"))
+    rollup.commit("1-delete", signed(docs, -1).unionByName(back))
     for _ in range(2):
-        rollup.commit("2-revise", rows(keyed.filter("not copy"), lambda k: F.col(new[k]) - F.col(k), 0))
+        rollup.commit("2-revise", kept.select(*KEYS, F.lit(0).cast("long").alias("docs"), (F.col("new") - F.col("old")).alias("tokens")))
     return rollup.totals()
 
 
