@@ -23,12 +23,38 @@ def _df(spark, xs):
 def test_order_statistics_match_numpy(spark, xs):
     df = _df(spark, xs)
     vals = sorted(x for x in xs if x is not None)
-    # tiny buckets and a tiny "small" threshold force several narrowing passes
+    # few buckets force several narrowing passes
     targets = [("x", k) for k in range(len(vals))]
-    got = S.order_statistics(df, targets, buckets=3, small=2)
+    got = S.order_statistics(df, targets, buckets=3)
     assert [got[t] for t in targets] == vals
 
 
+_RNG = np.random.default_rng(5)
+
+
+@pytest.mark.parametrize("xs", [
+    10.0 ** _RNG.uniform(-300, 300, size=20_000) * _RNG.choice([-1.0, 1.0], size=20_000),  # log-uniform
+    np.nextafter(1.0, 2.0) + np.arange(5_000) * 2.0**-52,  # neighbouring doubles
+    np.repeat([0.0, 5e-324, 1e-323, -5e-324], 50),  # subnormal range
+    np.concatenate([np.full(30, -np.inf), _RNG.normal(size=500), np.full(30, np.inf)]),
+    np.concatenate([np.full(9_000, 7.25), _RNG.normal(size=500) * 1e-9 + 7.25]),  # one hot value
+    [-1.7e308, 1.7e308, 1e308, -1e308],
+], ids=["log_uniform", "neighbours", "subnormal", "infinite", "hot", "extremes"])
+def test_order_statistics_within_seven_passes(spark, xs):
+    df, vals, passes = _df(spark, xs).repartition(4).cache(), sorted(float(x) for x in xs), []
+    n = len(vals)
+    targets = [("x", int(k)) for k in sorted({0, 1, n // 4, n // 3, n // 2, 2 * n // 3, n - 2, n - 1})]
+    got = S.order_statistics(df, targets, passes=passes)
+    assert [got[t] for t in targets] == [vals[k] for _, k in targets]
+    assert len(passes) <= 7
+
+
+def test_one_value_column_needs_no_pass(spark):
+    passes = []
+    assert S.order_statistics(_df(spark, [4.0] * 5 + [None]), [("x", 2)], passes=passes) == {("x", 2): 4.0}
+    assert passes == []
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False), min_size=1, max_size=60),
        st.sampled_from([0.0, 0.25, 1 / 3, 0.5, 2 / 3, 0.75, 1.0]))

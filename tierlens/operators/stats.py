@@ -9,9 +9,8 @@ shuffle of the data.
 
 Exact quantiles are computed without funnelling the column through one
 task: an iterative histogram narrows an order statistic to one bucket per
-pass (each pass is one distributed aggregate returning at most
-``targets x buckets`` rows), and only a bucket of bounded size is ever read
-by the driver.
+pass. Each pass is one distributed aggregate, of which the driver reads one
+row per target; no pass reads rows of the table, at any size.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import INF, dbl, nan_to_null
@@ -86,22 +85,28 @@ def _ranks(n: int, q: float) -> tuple[int, int, float]:
 
 
 def order_statistics(df: DataFrame, targets: Sequence[tuple[str, int]], buckets: int = 4096,
-                     small: int = 20_000, max_passes: int = 64,
-                     pre: dict | None = None) -> dict[tuple[str, int], float]:
+                     pre: dict | None = None, passes: list | None = None) -> dict[tuple[str, int], float]:
     """Exact k-th smallest (0-based, NULL and NaN skipped) for each
     (column, k) target, by iterative histogram narrowing.
 
-    Per pass: one aggregate ``groupBy(target, bucket).agg(count, min, max)``
-    over the rows still inside each target's candidate range; the driver
-    reads at most ``len(targets) * buckets`` rows and keeps the bucket that
-    holds rank k. A candidate range whose values are all equal, or that
-    holds at most ``small`` rows, is finished by reading those rows.
+    Per pass: one aggregate ``groupBy(range, bucket).agg(count, min, max)``
+    over the rows inside the candidate ranges; a running total over each
+    range's few buckets finds the bucket of each rank, and the driver reads
+    one row per target. The first pass buckets by sign and binary exponent,
+    so that later ranges span one power of two at most; each later pass
+    cuts a range into ``buckets`` equal parts. A power of two holds 2**52
+    doubles, so 4096 buckets end within seven passes whatever the values.
+    A target ends where its bucket has one value, or where its rank is the
+    first or the last of its bucket.
+
+    ``passes``, if given, gets the number of open targets of each pass.
     """
     targets = list(dict.fromkeys(targets))
     cols = list(dict.fromkeys(c for c, _ in targets))
     if pre is None:
         pre = _profile(df, cols)
-    state: dict[tuple[str, int], list] = {}
+    # open target -> (lo, hi, rank inside [lo, hi]); lo None: all finite values
+    state: dict[tuple[str, int], tuple] = {}
     out: dict[tuple[str, int], float] = {}
     for c, k in targets:
         p = pre[c]
@@ -114,51 +119,53 @@ def order_statistics(df: DataFrame, targets: Sequence[tuple[str, int]], buckets:
         elif p["fmin"] == p["fmax"]:
             out[(c, k)] = p["fmin"]
         else:
-            # [lo, hi], rows below lo (finite), rank among finite values, rows in range
-            state[(c, k)] = [p["fmin"], p["fmax"], 0, k - p["neg_inf"], p["n_finite"]]
-    passes = 0
+            state[(c, k)] = (None, None, k - p["neg_inf"])
     while state:
-        passes += 1
-        done = [t for t, s in state.items() if s[0] == s[1] or s[4] <= small or passes > max_passes]
-        if done:
-            _finish_small(df, state, done, out)
-            for t in done:
-                state.pop(t)
-            if not state:
-                break
-        # targets on the same column with the same candidate range share
-        # one histogram (in the first pass that is one per column)
-        groups: dict[tuple, int] = {}
-        for t, st in state.items():
-            groups.setdefault((t[0], st[0], st[1]), len(groups))
-        entries = []
-        for (c, lo, hi), gid in groups.items():
-            x = F.col(c).cast("double")
-            half_w = dbl(hi * 0.5 - lo * 0.5)
-            b = F.floor((x * 0.5 - dbl(lo * 0.5)) / half_w * F.lit(buckets)).cast("int")
-            b = F.when(b >= buckets, F.lit(buckets - 1)).otherwise(b)
-            entries.append(F.when((x >= dbl(lo)) & (x <= dbl(hi)),
-                                  F.struct(F.lit(gid).alias("t"), b.alias("b"), x.alias("v"))))
+        if passes is not None:
+            passes.append(len(state))
+        # targets with the same candidate range share one histogram
+        ranges: dict[tuple, list] = {}
+        for (c, _), (lo, hi, rank) in state.items():
+            ranges.setdefault((c, lo, hi), []).append(rank)
+        at = {r: i for i, r in enumerate(ranges)}
+        entries = [_bucketed(F.col(c).cast("double"), lo, hi, buckets, at[c, lo, hi]) for c, lo, hi in ranges]
         hist = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
                 .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("mn"), F.max("e.v").alias("mx")))
-        rows = sorted(hist.collect(), key=lambda r: (r.t, r.b))
-        by_g: dict[int, list] = {}
-        for r in rows:
-            by_g.setdefault(r.t, []).append(r)
-        for t in list(state):
-            s = state[t]
-            cum = s[2]
-            for r in by_g.get(groups[(t[0], s[0], s[1])], []):
-                if cum + r.n > s[3]:
-                    state[t] = [r.mn, r.mx, cum, s[3], r.n]
-                    break
-                cum += r.n
-            else:  # cannot happen unless the data changed between passes
+        ranks = F.get(F.array(*[F.array(*[F.lit(k).cast("long") for k in sorted(set(ks))]) for ks in ranges.values()]), F.col("t"))
+        upto = F.sum("n").over(Window.partitionBy("t").orderBy("b"))
+        rows = (hist.withColumn("upto", upto).select("*", F.explode(ranks).alias("k"))
+                .where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n"))).collect())
+        found = {(r.t, r.k): r for r in rows}
+        for t, (lo, hi, rank) in list(state.items()):
+            r = found.get((at[t[0], lo, hi], rank))
+            if r is None:  # cannot happen unless the data changed between passes
                 raise RuntimeError("input changed between quantile passes; persist it first")
+            inside = rank - (r.upto - r.n)
+            if r.mn == r.mx or inside in (0, r.n - 1):
+                out[t] = r.mn if inside == 0 else r.mx
+                state.pop(t)
+            else:
+                state[t] = (r.mn, r.mx, inside)
     return out
 
 
+def _bucketed(x: Column, lo: float | None, hi: float | None, buckets: int, t: int) -> Column:
+    """Struct (range, bucket, value) of a value inside the range, else NULL.
+    Buckets never fall as values rise."""
+    if lo is None:
+        # exponents run from -1074 to 1023
+        power = F.floor(F.log2(F.abs(x))).cast("int") + F.lit(1100)
+        b = F.when(x == 0.0, F.lit(0)).when(x > 0.0, power).otherwise(-power)
+        inside = ~F.isnan(x) & (F.abs(x) != F.lit(INF))
+    else:
+        # hi - lo is not 0 where lo < hi, and lo, hi are within one power of two
+        b = F.floor((x - dbl(lo)) / dbl(hi - lo) * F.lit(float(buckets))).cast("int")
+        b = F.when(b >= buckets, F.lit(buckets - 1)).otherwise(b)
+        inside = (x >= dbl(lo)) & (x <= dbl(hi))
+    return F.when(inside, F.struct(F.lit(t).alias("t"), b.alias("b"), x.alias("v")))
+
+
 def _profile(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
     aggs = []
     for i, c in enumerate(cols):
@@ -172,33 +179,6 @@ def _profile(df: DataFrame, cols: Sequence[str]) -> dict[str, dict]:
                 "fmin": r[f"mn{i}"], "fmax": r[f"mx{i}"]} for i, c in enumerate(cols)}
 
 
-def _finish_small(df: DataFrame, state: dict, done: list, out: dict) -> None:
-    """Finish targets whose candidate range is one value or small: ONE job
-    reads the rows inside every remaining range (at most ``small`` each)."""
-    todo = []
-    for t in done:
-        lo, hi, below, k, _ = state[t]
-        if lo == hi:
-            out[t] = lo
-        else:
-            todo.append(t)
-    if not todo:
-        return
-    entries = []
-    for i, t in enumerate(todo):
-        lo, hi = state[t][0], state[t][1]
-        x = F.col(t[0]).cast("double")
-        entries.append(F.when((x >= dbl(lo)) & (x <= dbl(hi)), F.struct(F.lit(i).alias("t"), x.alias("v"))))
-    rows = df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull()) \
-        .select("e.t", "e.v").collect()
-    by_t: dict[int, list] = {}
-    for r in rows:
-        by_t.setdefault(r.t, []).append(r.v)
-    for i, t in enumerate(todo):
-        _, _, below, k, _ = state[t]
-        out[t] = sorted(by_t[i])[k - below]
-
-
 def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     mode: str = "exact", accuracy: int = 10000) -> dict[str, list[float | None]]:
     """A5: interpolated quantiles (pandas/numpy 'linear', SQL quantile_cont).
