@@ -71,6 +71,18 @@ def test_serving_linear_defaults(spark):
     assert abs(out.Human_Capital_Index - (100 * 0.005 + 50 * 0.005 + 60 * 0.005) / 3) < 1e-12
 
 
+def test_serving_features_at_defaults(spark):
+    df = spark.createDataFrame([tuple(float(r.default) for r in country.RANGES)], ", ".join(f"`{r.column}` double" for r in country.RANGES))
+    out = sc.serving_features(df, country.LEVEL1, country.SERVING_LINEAR, dict(country.SERVING_DEFAULTS))
+    assert len(out.columns) == len(country.RANGES) + 21
+    row = out.first()
+    assert (row.Healthcare_Access_Gap, row.Education_Pipeline, row.Education_Gap_Index) == (20.0, 0.5, 50.0)
+    # inputs that are there win over the defaults, missing ones take them
+    more = df.selectExpr("*", "10.0D as Physicians_per_1000", "cast(null as double) as Tertiary_Education_pct")
+    row = sc.serving_features(more, country.LEVEL1, country.SERVING_LINEAR, dict(country.SERVING_DEFAULTS)).first()
+    assert (row.Healthcare_Access_Gap, row.Education_Pipeline) == (3.0, 0.5)
+
+
 def test_top_values(spark):
     df = spark.createDataFrame([(3.0, 3.0, None, 1.0)], "b double, a double, c double, d double")
     assert sc.top_values(df, ["b", "a", "c", "d"], 2).first().top_features == ["a", "b"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import band, dbl, lookup
 from ..specs import BandSpec, RangeSpec, RuleSpec
+from .features import level1_exprs
 
 
 # ---- M5 / M6 / K7: risk drivers -----------------------------------------
@@ -155,6 +156,18 @@ def serving_linear(df: DataFrame, formulas: Sequence[tuple], defaults: Mapping[s
     return df.withColumns(out) if out else df
 
 
+def serving_features(df: DataFrame, level1: Sequence, formulas: Sequence[tuple],
+                     defaults: Mapping[str, float] = {}) -> DataFrame:
+    """every serving feature of raw indicator rows. Inputs that are
+    absent or missing take their default before any feature reads them, so
+    ratios and gaps over them are computed too; absent ones are not kept."""
+    absent = [c for c in defaults if c not in df.columns]
+    filled = df.withColumns({c: dbl(v) if c in absent else F.coalesce(F.col(c).cast("double"), dbl(v))
+                             for c, v in defaults.items()}) if defaults else df
+    featured = filled.withColumns(level1_exprs(filled.columns, level1))
+    return serving_linear(featured, formulas).drop(*absent)
+
+
 # ---- M1 / M2 / M4: model outputs -----------------------------------------
 
 def class_info(df: DataFrame, class_col: str, names: Mapping[int, str], texts: Mapping[int, str]) -> DataFrame:

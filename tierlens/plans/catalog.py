@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..operators import labels as lab
+from ..functions.exprs import dbl
+from ..presets import country
 from ..presets import customer as cp
 from ..session import cut_lineage
 from ..sources import fixtures as fx
@@ -422,6 +424,20 @@ def serving_linear_features(spark, sf):
     return d.select("entity_key", *[r6(n).alias(n) for n, _, _ in cp.SERVING_LINEAR])
 
 
+def _country_inputs(spark, sf):
+    """The 22 scoring inputs for every customer: each input's default, scaled by the customer's balance."""
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    scale = F.abs(F.col("c_acctbal").cast("double")) / dbl(10000.0) + dbl(0.5)
+    return c.select(F.col("c_custkey").alias("entity_key"), *[(scale * dbl(r.default)).alias(r.column) for r in country.RANGES])
+
+
+@query("serving_features")
+def serving_features(spark, sf):
+    d = sc.serving_features(_country_inputs(spark, sf), country.LEVEL1, country.SERVING_LINEAR, dict(country.SERVING_DEFAULTS))
+    names = [f.name for f in country.LEVEL1] + [n for n, _, _ in country.SERVING_LINEAR]
+    return d.select("entity_key", *[r6(n).alias(n) for n in names])
+
+
 @query("align_features")
 def align_features(spark, sf):
     d = sc.align_features(customer_featured(spark, sf, cp.RATIOS + cp.LOG_ABS_GAP), cp.ALIGN_FEATURES,

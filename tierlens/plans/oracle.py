@@ -336,6 +336,7 @@ FROM b CROSS JOIN w
 # Scoring
 # ---------------------------------------------------------------------------
 from ..presets import customer as _cp  # noqa: E402
+from ..presets import country as _country  # noqa: E402
 
 
 def _f(x: float) -> str:
@@ -410,6 +411,25 @@ ORACLE["serving_linear_features"] = (f"WITH {FEAT}\nSELECT entity_key, "
                                      + ", ".join(f"{r6(_lin(t, d))} AS {n}" for n, t, d in _cp.SERVING_LINEAR)
                                      + " FROM f")
 
+_DIV = [("GDP_per_Capita", "GDP", "Population"), ("Tax_Burden_Index", "Total_Tax_Rate_pct", "Tax_Revenue_pct"),
+        ("Healthcare_Access_Gap", "OOP_Health_Expenditure_pct", "1.5"), ("Urbanization_Rate", "Urban_Population", "Population"),
+        ("Dependency_Ratio_Proxy", "Birth_Rate", "Labor_Participation_pct"), ("Military_Burden", "Armed_Forces", "Population"),
+        ("CO2_per_Capita", "CO2_Emissions", "Population"), ("CO2_per_GDP", "CO2_Emissions", "GDP"),
+        ("Resource_Land_Balance", "Forested_Area_pct", "Agricultural_Land_pct"), ("Fuel_Cost_Pressure", "Gasoline_Price", "Minimum_Wage")]
+_SERVED = [(n, f"{a} / CAST({b} AS DOUBLE)") for n, a, b in _DIV] + [
+    ("Log_GDP", "ln(1 + greatest(GDP, 0))"), ("Log_Population", "ln(1 + greatest(Population, 0))"),
+    ("Education_Pipeline", "0.5::DOUBLE"), ("Education_Gap_Index", "50.0::DOUBLE"), ("Abs_Latitude", "abs(Latitude)"),
+    ("Economic_Stress_Index", "Unemployment_Rate_pct * 0.02::DOUBLE + CPI_Change_pct * 0.01::DOUBLE + Total_Tax_Rate_pct * 0.005::DOUBLE"
+     " - GDP / Population * 1e-6::DOUBLE - Labor_Participation_pct * 0.005::DOUBLE"),
+    ("Inflation_Unemployment_Pressure", "(CPI_Change_pct * 0.01::DOUBLE + Unemployment_Rate_pct * 0.02::DOUBLE) / 2"),
+    ("Human_Capital_Index", "(0.75::DOUBLE + Labor_Participation_pct * 0.005::DOUBLE) / 3"),
+    ("Workforce_Stability_Score", "(Labor_Participation_pct * 0.005::DOUBLE + 0.25::DOUBLE - Unemployment_Rate_pct * 0.01::DOUBLE - Birth_Rate * 0.005::DOUBLE) / 4"),
+    ("Population_Pressure_Index", "(Density_per_km2 * 0.0001::DOUBLE + Birth_Rate * 0.01::DOUBLE + Fertility_Rate * 0.05::DOUBLE) / 3"),
+    ("Environmental_Pressure_Index", "(CO2_Emissions / Population * 0.01::DOUBLE - Forested_Area_pct * 0.005::DOUBLE + Agricultural_Land_pct * 0.003::DOUBLE) / 3")]
+ORACLE["serving_features"] = f"""WITH i AS (SELECT c_custkey AS entity_key,
+  {", ".join(f"(abs(CAST(c_acctbal AS DOUBLE)) / 10000.0::DOUBLE + 0.5::DOUBLE) * {_f(r.default)} AS {r.column}" for r in _country.RANGES)} FROM customer)
+SELECT entity_key, {", ".join(f"{r6(x)} AS {n}" for n, x in _SERVED)} FROM i"""
+
 ORACLE["align_features"] = (f"WITH {FEAT}\nSELECT entity_key, "
                             + ", ".join(f"{r6(c)} AS {c}" for c in _cp.MODEL_FEATURES)
                             + ", 0.0::DOUBLE AS n_returns, CAST(0 AS INTEGER) AS balance_is_missing FROM f")

@@ -167,9 +167,10 @@ RANGES = (
 
 # ---- Fixed values: serving formulas with literal coefficients (F27) ------
 # name -> ((column, coefficient), ...), divisor; columns absent at serving
-# time take SERVING_DEFAULTS, then 0.
+# time take SERVING_DEFAULTS, also in the ratios and gaps of LEVEL1.
 SERVING_DEFAULTS = (("Physicians_per_1000", 1.5), ("Primary_Education_pct", 100.0),
                     ("Tertiary_Education_pct", 50.0))
+LEVEL1 = tuple(f for f in FEATURES if not isinstance(f, ZIndex))
 SERVING_LINEAR = (
     ("Economic_Stress_Index", (("Unemployment_Rate_pct", 0.02), ("CPI_Change_pct", 0.01),
                                ("Total_Tax_Rate_pct", 0.005), ("GDP_per_Capita", -1e-6),
