@@ -68,6 +68,18 @@ def test_near_dedup_matches_brute_force(spark, monkeypatch, small):
         assert near_dedup.link(docs.limit(0)).count() == 0
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    """One row of every component stays, whatever its ids; the least id first, null ids last."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a), (None, b), (None, b), (None, b + " end"), (7, c), (7, d), (7, d), (None, c), (9, c + " end"), (None, None), (None, ""), (5, " "), (5, " ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", "y") for i, t in rows], DOC)
+    kept = sorted(((r["doc_id"], r["text"]) for r in near_dedup.keep_one(docs).collect()), key=str)
+    worded = [r for r in kept if (r[1] or "").strip()]
+    assert sum(t == a for _, t in worded) == 1 and sum(t in (b, b + " end") for _, t in worded) == 1
+    assert (7, c) in worded and (7, d) in worded and len(worded) == 4
+    assert sorted((r for r in kept if r not in worded), key=str) == sorted([(None, None), (None, ""), (5, " "), (5, " ")], key=str)
+
+
 def test_components_of_a_long_path(spark):
     n = 60
     got = near_dedup.components(spark.createDataFrame([(i, i + 1) for i in range(n)] + [(500, 400)], "a long, b long")).collect()
