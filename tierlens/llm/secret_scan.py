@@ -1,8 +1,10 @@
 """Operator 10, secret scans: candidate strings found by shape, then a random forest that removes false
 positives from candidate length, character transitions, dictionary coverage, path and neighbouring words.
 
-A candidate is the last run of 12 or more key characters of a white-space word that holds a digit or a
-capital after a small letter. The dictionary is the ``DICTIONARY`` most frequent words of the whole corpus.
+Candidates are taken from the whole text, wherever they stand in a word: a JWT with its dots; the value that
+follows a credential word and an assignment, of four characters or more and any letters; and every run of 12 or
+more key characters that holds a digit or a capital after a small letter. The dictionary is the ``DICTIONARY``
+most frequent words of the whole corpus.
 The forest (Spark ML, trained and applied on the JVM) learns from labelled findings (rows of features and a
 label): those given, or, in the query, findings that context labels by itself. A credential word right
 before an assignment, or a vendor's key form, marks a secret; numbers, words and long plain words of the
@@ -26,25 +28,44 @@ from .common import SPACE_SEP, cut, row_key
 
 DICTIONARY, FINDINGS, TREES, DEPTH, SEED = 5_000, 20_000, 24, 6, 7
 MASK = "[SECRET]"
-_CORE = r"(?:^|[^A-Za-z0-9+/_\-])([A-Za-z0-9+/_\-]{12,}={0,2})[^A-Za-z0-9]*$"
 _KEYED = r"[0-9]|[a-z][A-Z]"
 # Credential words and public key forms.
 _CREDENTIAL = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)"
 _VENDOR = r"^(A(KI|SI)A[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|xox[abpr]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{10,}.*|sk-[A-Za-z0-9-]{20,})$"
+# A credential word as the last part of a name ("author" is none), and the assignment after it; bounded, for a lookbehind.
+_NAME = r"(?:(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)(?:s|[0-9]{1,3}|[_-][A-Za-z0-9_-]{0,16}|[A-Z][A-Za-z0-9]{0,16})?)"
+_ASSIGN = r"[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
+_JWT = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]+){1,4}"
+# two cheap lookbehinds spare most places the third
+_VALUE = rf"(?<=[=:\s\"'])(?<=[=:]\s{{0,2}}[\"']?)(?<={_NAME}{_ASSIGN})[^\s\"'`,;&<>()\[\]{{}}|]{{3,}}[^\s\"'`,;&<>()\[\]{{}}|.!?:]"
+_RUN = r"[A-Za-z0-9+/_\-]{12,}(?:={1,2}(?![^\s\"'`,;&<>()\[\]{}|]))?"
+_CORE = f"{_JWT}|{_VALUE}|{_RUN}"
+_NAMED = f"{_NAME}{_ASSIGN}$"
+#: Characters of context on either side of a candidate.
+AROUND = 96
 FEATURES = ["length", "digits", "uppers", "transitions", "distinct", "hexed", "covered", "slashes", "path", "assigned", "credential", "quoted"]
 
 
+def _parts(text: Column, core: str) -> tuple[Column, Column]:
+    """All matches of the text, and what stands before, between and after them (one piece more)."""
+    return F.regexp_extract_all(text, F.lit(core), F.lit(0)), F.split(text, core, -1)
+
+
 def _words(docs: DataFrame, core: str, keyed: str | None) -> DataFrame:
-    """Rows (doc_id, rk, core, before, word) of every word whose core matches."""
+    """Rows (doc_id, rk, core, word, before) of every match: its white-space word, and the two words and the part of a
+    list, record or query string that lead to it."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", row_key(text).alias("rk"), F.split(text, SPACE_SEP).alias("ws"))
-    far = F.filter(F.sequence(F.lit(0), F.size("ws") - 1), lambda i: (F.length(F.get("ws", i)) >= 12) & F.get("ws", i).rlike(core))
-    rows = base.select("doc_id", "rk", "ws", F.explode(far).alias("i"))
-    word = F.get("ws", F.col("i"))
-    rows = rows.select("doc_id", "rk", F.regexp_extract(word, core, 1).alias("core"), word.alias("word"), F.coalesce(F.get("ws", F.col("i") - 2), F.lit("")).alias("w2"), F.coalesce(F.get("ws", F.col("i") - 1), F.lit("")).alias("w1"))
-    rows = rows.filter(F.col("core").rlike(keyed)) if keyed else rows
-    lead = F.expr("substring(word, 1, instr(word, core) - 1)")
-    return rows.withColumn("before", F.concat_ws(" ", "w2", "w1", lead)).drop("w1", "w2")
+    found, pieces = _parts(text, core)
+    base = docs.select("doc_id", row_key(text).alias("rk"), found.alias("cs"), pieces.alias("ps")).filter(F.size("cs") > 0)
+    rows = base.select("doc_id", "rk", "cs", "ps", F.posexplode("cs").alias("i", "core"))
+    i = F.col("i")
+    left = F.concat(F.coalesce(F.get("cs", i - 1), F.lit("")), F.get("ps", i))
+    rows = rows.select("doc_id", "rk", "core", F.right(left, F.lit(AROUND)).alias("l"), F.left(F.get("ps", i + 1), F.lit(AROUND)).alias("r"))
+    if keyed:
+        rows = rows.filter(F.col("core").rlike(keyed) | F.col("l").rlike(_NAMED))
+    word = F.concat(F.regexp_extract("l", r"(\S*)$", 1), "core", F.regexp_extract("r", r"^(\S*)", 1))
+    before = F.regexp_extract("l", r"((?:[^\s,;&{}?]*\s+){0,2}[^\s,;&{}?]*)$", 1)
+    return rows.select("doc_id", "rk", "core", word.alias("word"), before.alias("before"))
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
@@ -88,7 +109,8 @@ def findings(docs: DataFrame, found: DataFrame, known: list[str], rows: int = FI
     n_docs = docs.count()
     few = F.lit(int(min(1.0, rows / 10 / max(n_docs, 1)) * (1 << 31)))
     some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("plain")), F.lit(1 << 31)) < few)
-    plain = with_features(_words(some, r"(?:^|[^A-Za-z])([A-Za-z]{12,})[^A-Za-z]*$", None), known).withColumn("label", F.lit(0)).select("rk", "core", "label", *FEATURES)
+    words = _words(some, "[A-Za-z]{12,}", None).filter(~F.col("before").rlike(_NAMED))  # a word given to a password is none
+    plain = with_features(words, known).withColumn("label", F.lit(0)).select("rk", "core", "label", *FEATURES)
     every = cut(own.unionByName(plain), "findings")
     counts = {r["label"]: r["n"] for r in every.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0)
@@ -131,7 +153,13 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """Every document, its secrets replaced by ``MASK``; n_chars, where it is a column, follows the text."""
     secrets = find(docs, labelled).filter("score >= 0.5").groupBy(F.col("doc_id").alias("_d"), F.col("rk").alias("_k")).agg(F.sort_array(F.collect_set(F.struct(F.length("core").alias("n"), "core")), asc=False).alias("_s"))
     out = docs.withColumn("_rk", row_key(F.col("text"))).join(secrets, F.expr("doc_id <=> _d and _rk = _k"), "left")
-    masked = F.aggregate("_s", F.col("text"), lambda t, s: F.replace(t, s["core"], F.lit(MASK)))
+    cores = F.transform("_s", lambda s: s["core"])
+    found, pieces = _parts(F.col("text"), _CORE)
+    hidden = F.transform(found, lambda c: F.when(F.array_contains(cores, c), F.lit(MASK)).otherwise(c))
+    rebuilt = F.array_join(F.flatten(F.zip_with(pieces, hidden, lambda p, c: F.array(p, F.coalesce(c, F.lit(""))))), "")
+    # a long secret also goes from inside other runs; a short one may be a plain word elsewhere
+    long = F.filter("_s", lambda s: s["n"] >= 12)
+    masked = F.aggregate(long, rebuilt, lambda t, s: F.replace(t, s["core"], F.lit(MASK)))
     out = out.withColumn("text", F.when(F.col("_s").isNotNull(), masked).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_s").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
