@@ -179,6 +179,22 @@ def test_shared_lines_are_a_longest_common_subsequence():
     assert html_text.shared(many, ["new", *many[:2000], "x", *many[2500:]]) == {*range(2000), *range(2500, 3000)}
 
 
+def test_shared_lines_that_repeat_on_long_pages():
+    rng = random.Random(8)
+    for _ in range(40):
+        a, b = ([rng.choice("abcde") for _ in range(rng.randrange(25))] for _ in "ab")
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        got = html_text.shared(a, b)
+        rest = iter(b)
+        assert len(got) == best[-1][-1] and all(a[i] in rest for i in sorted(got))
+    page = lambda p: [x for i in range(1500) for x in (f"{p}{i}", "Reply")]
+    menu = ["Menu", "Reply"] * 800
+    assert len(html_text.shared(menu + page("own"), menu + page("other"))) == 3100
+
+
 def test_rollup_replays_and_failures(spark):
     docs = frame(spark, ["a b", None, "", "a b c"]).withColumn("new", F.lit("z"))
     roll = token_counts.Rollup(spark, stage_path(spark, f"tables/test-{uuid.uuid4().hex}"))

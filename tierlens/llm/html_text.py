@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,6 @@ _HINT = re.compile(r"(?:^|[-_\s])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|
 _ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _SPACE = re.compile(r"\s+")
 NEVER_MARK, OPEN_MARK, SURE_MARK = 0, 1, 2
-#: A common subsequence costs the product of the lengths; longer lists are aligned around their rarest lines.
-LCS_CELLS = 4_000_000
 
 
 class _Blocks(HTMLParser):
@@ -107,41 +106,40 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     return p.out
 
 
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of a longest common subsequence of a and every prefix of b, one row of the table at a time."""
+    row = np.zeros(len(b) + 1, np.int32)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
+    return row
+
+
 def shared(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` on a longest common subsequence of the two lists."""
+    """Places in ``a`` on a longest common subsequence of the two lists: Hirschberg's halving, exact at every
+    length in memory proportional to it."""
     both = set(a) & set(b)
-    ia, ib = [i for i, x in enumerate(a) if x in both], [j for j, x in enumerate(b) if x in both]
-    if len(ia) * len(ib) > LCS_CELLS:  # lines that occur once on each side anchor the alignment
-        once = {x for x in both if a.count(x) == 1 == b.count(x)}
-        ia, ib = [i for i in ia if a[i] in once], [j for j in ib if b[j] in once]
-        at, tails, back = {b[j]: j for j in ib}, [], {}
-        from bisect import bisect_left
-
-        for i in ia:  # longest increasing subsequence
-            j = at[a[i]]
-            k = bisect_left([t[0] for t in tails], j)
-            back[i] = tails[k - 1][1] if k else None
-            tails[k : k + 1] = [(j, i)]
-        out, i = set(), tails[-1][1] if tails else None
-        while i is not None:
-            out.add(i)
-            i = back[i]
-        return out
-    n, m = len(ia), len(ib)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for x in range(n - 1, -1, -1):
-        row, below, ax = best[x], best[x + 1], a[ia[x]]
-        for y in range(m - 1, -1, -1):
-            row[y] = below[y + 1] + 1 if ax == b[ib[y]] else max(below[y], row[y + 1])
-    out, x, y = set(), 0, 0
-    while x < n and y < m:
-        if a[ia[x]] == b[ib[y]]:
-            out.add(ia[x])
-            x, y = x + 1, y + 1
-        elif best[x + 1][y] >= best[x][y + 1]:
-            x += 1
-        else:
-            y += 1
+    number = {x: i for i, x in enumerate(both)}
+    ia = [i for i, x in enumerate(a) if x in both]
+    na, nb = (np.fromiter((number[x] for x in y if x in both), np.int64) for y in (a, b))
+    out: set[int] = set()
+    todo = [(0, len(na), 0, len(nb))]
+    while todo:
+        i, j, k, m = todo.pop()
+        while i < j and k < m and na[i] == nb[k]:  # equal ends belong to some longest one
+            out.add(ia[i])
+            i, k = i + 1, k + 1
+        while i < j and k < m and na[j - 1] == nb[m - 1]:
+            j, m = j - 1, m - 1
+            out.add(ia[j])
+        if i == j or k == m:
+            continue
+        if j - i == 1:
+            if (nb[k:m] == na[i]).any():
+                out.add(ia[i])
+            continue
+        half = (i + j) // 2
+        cut = k + int((_lengths(na[i:half], nb[k:m]) + _lengths(na[half:j][::-1], nb[k:m][::-1])[::-1]).argmax())
+        todo += [(i, half, k, cut), (half, j, cut, m)]
     return out
 
 
