@@ -173,6 +173,23 @@ def test_html_main_text(spark, one_part):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_does_not_depend_on_the_parts(spark):
+    plain = "<div>Shared menu line</div><div>%s</div><div>Shared end line</div>"
+    rows = [(i if i else None, f"https://k.example/p/{i:03}.html", PAGE % (plain % f"Own text {i}")) for i in range(40)]
+    rows += [(100, "https://l.example/a", PAGE % "<p>Alone</p>"), (40, "https://k.example/p/039.html", rows[-1][2]), (7, rows[7][1], rows[7][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        got = {}
+        for n in (1, 7, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got[n] = sorted((r["page_id"] or 0, r["url"], r["text"]) for r in html_text.extract(pages).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got[1]) == len(rows) and got[1] == got[7] == got[64]
+    assert all(t == f"Own text {i}" for i, u, t in got[64] if i < 39 and i != 7 and "k.example" in u)
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     assert html_text.shared(list("abcbdab"), list("bdcaba")) and len(html_text.shared(list("abcbdab"), list("bdcaba"))) == 4
     many = [f"l{i}" for i in range(3000)]

@@ -7,14 +7,15 @@ whose path shares the longer prefix, the open blocks of both are aligned by long
 and shared blocks are deleted. The sort spreads a hot host over many tasks, and a task holds two pages
 at a time. A page whose open blocks are all shared is a copy of its neighbour and keeps them.
 
-Defined results: null html is empty and gives an empty text; a page alone on its host, or at the edge of
-a sorted part without a neighbour of its host, keeps its open blocks; null or odd URLs form a host of
+Defined results: null html is empty and gives an empty text; a page alone on its host keeps its open
+blocks; a page at the edge of a sorted part is lent to the next one, so no result depends on the parts; null or odd URLs form a host of
 their own; repeated rows give repeated results; ties in path are ordered by page_id; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -34,6 +35,8 @@ _HINT = re.compile(r"(?:^|[-_\s])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|
 _ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 _SPACE = re.compile(r"\s+")
 NEVER_MARK, OPEN_MARK, SURE_MARK = 0, 1, 2
+#: Keys sampled for the bounds of the sorted parts: for each part, and in all (as Spark's range sort does).
+PER_PART, MOST = 20, 1_000_000
 
 
 class _Blocks(HTMLParser):
@@ -159,9 +162,53 @@ def _prefix(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+def _null(v):
+    return None if v is None or v != v else v
+
+
+def _key(host: str, path: str, page_id) -> tuple:
+    """The sort key of a page; a null id comes first, as in Spark."""
+    page_id = _null(page_id)
+    return host, path, page_id is not None, 0 if page_id is None else int(page_id)
+
+
+def _keys(pdf: pd.DataFrame) -> list[tuple]:
+    return [_key(*x) for x in zip(pdf["host"], pdf["path"], pdf["page_id"], strict=True)]
+
+
+def _ends(bounds: list[tuple]):
+    """First and last key of each part that a batch meets."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ends: dict[int, tuple[tuple, tuple]] = {}
+        for pdf in batches:
+            for k in _keys(pdf):
+                part = bisect_right(bounds, k)
+                low, high = ends.get(part, (k, k))
+                ends[part] = min(low, k), max(high, k)
+        yield pd.DataFrame([(part, *k) for part, both in ends.items() for k in both], columns=["part", "host", "path", "some", "page_id"])
+
+    return run
+
+
+def _cut(bounds: list[tuple], lent: dict[tuple, set[int]]):
+    """Pages to their parts, as lines of mark and text; a page at the edge of a part is lent to the next part too."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for k, i, url, html in zip(_keys(pdf), pdf["page_id"], pdf["url"], pdf["html"], strict=True):
+                lines = "\n".join(f"{m}{t}" for m, t in blocks(_null(html)))
+                part = bisect_right(bounds, k)
+                rows += [(p, k[0], k[1], _null(i), _null(url), lines, p != part) for p in (part, *lent.get(k, ()))]
+            yield pd.DataFrame(rows, columns=["part", "host", "path", "page_id", "url", "lines", "lent"]).astype({"page_id": "Int64"})
+
+    return run
+
+
 def _pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by host and path; each is answered once its successor is known."""
-    before = now = None  # (host, path, page_id, url, blocks)
+    """Rows sorted by part, host and path; each is answered once its successor is known."""
+    before = now = None  # ((part, host), path, page_id, url, blocks, lent)
 
     def answer(prev, row, after):
         near = [p for p in (prev, after) if p is not None and p[0] == row[0]]
@@ -169,17 +216,19 @@ def _pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         text = main_text(row[4], other[4] if other else None)
         return row[2], row[3], text, len(text)
 
-    null = lambda v: None if v is None or v != v else v
+    def frame(out):
+        return pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars"]).astype({"page_id": "Int64"})
+
     for pdf in batches:
         out = []
-        for host, path, i, url, html in zip(pdf["host"], pdf["path"], pdf["page_id"], pdf["url"], pdf["html"], strict=True):
-            row = (host, path, null(i), null(url), blocks(null(html)))
-            if now is not None:
+        for part, host, path, i, url, lines, lent in zip(*(pdf[c] for c in ("part", "host", "path", "page_id", "url", "lines", "lent")), strict=True):
+            row = ((part, host), path, _null(i), _null(url), [(int(x[0]), x[1:]) for x in lines.split("\n")] if lines else [], lent)
+            if now is not None and not now[5]:
                 out.append(answer(before, now, row))
             before, now = now, row
-        yield pd.DataFrame(out, columns=["page_id", "url", "text", "n_chars"]).astype({"page_id": "Int64"})
-    if now is not None:
-        yield pd.DataFrame([answer(before, now, None)], columns=["page_id", "url", "text", "n_chars"]).astype({"page_id": "Int64"})
+        yield frame(out)
+    if now is not None and not now[5]:
+        yield frame([answer(before, now, None)])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -188,7 +237,25 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/?#]*([^?#]*)", 1)
     rows = pages.select(host.alias("host"), path.alias("path"), "page_id", "url", "html")
-    spark = pages.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = rows.repartitionByRange(n, "host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
+    keys = rows.select("host", "path", "page_id")
+    n = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    # the parts' bounds come from a sample of keys, which decides how even the parts are and no result
+    want = min(n * PER_PART, MOST)
+    share = min(1.0, want / max(keys.count(), 1))
+    some = sorted(_key(*r) for r in keys.sample(share, 7).limit(2 * want).collect())
+    bounds = sorted({some[len(some) * i // n] for i in range(1, n)}) if some else []
+    ends: dict[int, list[tuple]] = {}
+    found = keys.mapInPandas(_ends(bounds), "part int, host string, path string, some boolean, page_id long")
+    key = F.struct("host", "path", "some", "page_id")
+    for r in found.groupBy("part").agg(F.min(key).alias("low"), F.max(key).alias("high")).collect():  # a row for each part
+        ends[r["part"]] = [tuple(r["low"]), tuple(r["high"])]
+    lent: dict[tuple, set[int]] = {}
+    parts = sorted(ends)
+    for p, q in zip(parts, parts[1:], strict=False):
+        last, first = ends[p][1], ends[q][0]
+        if last[0] == first[0]:
+            lent.setdefault(last, set()).add(q)
+            lent.setdefault(first, set()).add(p)
+    rows = rows.mapInPandas(_cut(bounds, lent), "part int, host string, path string, page_id long, url string, lines string, lent boolean")
+    rows = rows.repartitionById(n, F.col("part")).sortWithinPartitions("part", "host", "path", "page_id")
     return rows.mapInPandas(_pair, "page_id long, url string, text string, n_chars long")
