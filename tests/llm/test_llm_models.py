@@ -173,6 +173,16 @@ def test_html_main_text(spark, one_part):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_shared_lines_inside_articles(spark):
+    article = "<article><p>Sign up for our letter</p><h1>Head %s</h1><p>Long own text of page %s, and more of it</p><p>Read more</p></article>"
+    rows = [(i, f"https://m.example/p/{i}.html", PAGE % (article % (i, i))) for i in range(4)]
+    rows += [(4, "https://n.example/p/4", PAGE % (article % (4, 4))), (5, "https://n.example/p/4?again", PAGE % (article % (4, 4))), (6, "https://o.example/p", PAGE % (article % (6, 6)))]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    own = "Head {0} Long own text of page {0}, and more of it"
+    assert [got[i] for i in range(4)] == [own.format(i) for i in range(4)]
+    assert [got[i] for i in (4, 5, 6)] == [f"Sign up for our letter {own.format(i)} Read more" for i in (4, 4, 6)]
+
+
 def test_html_does_not_depend_on_the_parts(spark):
     plain = "<div>Shared menu line</div><div>%s</div><div>Shared end line</div>"
     rows = [(i if i else None, f"https://k.example/p/{i:03}.html", PAGE % (plain % f"Own text {i}")) for i in range(40)]

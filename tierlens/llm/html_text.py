@@ -3,9 +3,11 @@
 Every page is cut into text blocks in page order, each marked sure (inside article or main content),
 never (navigation, header and footer, aside, form, script, style, advert, notice, comment section) or
 open. Pages are range-sorted by host and URL path; each page is paired with that neighbour of its host
-whose path shares the longer prefix, the open blocks of both are aligned by longest common subsequence,
-and shared blocks are deleted. The sort spreads a hot host over many tasks, and a task holds two pages
-at a time. A page whose open blocks are all shared is a copy of its neighbour and keeps them.
+whose path shares the longer prefix, all blocks of both but the never ones are aligned by longest common
+subsequence, and shared blocks are deleted, inside marked content too. The marks confirm: with sure blocks,
+open ones are left out. The sort spreads a hot host over many tasks, and a task holds two pages at a time. A
+page whose open blocks are all shared, or more than half of whose sure text is, is a copy of its neighbour and
+keeps them.
 
 Defined results: null html is empty and gives an empty text; a page alone on its host keeps its open
 blocks; a page at the edge of a sorted part is lent to the next one, so no result depends on the parts; null or odd URLs form a host of
@@ -104,8 +106,6 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     p.feed(html)
     p.close()
     p._flush()
-    if any(m == SURE_MARK for m, _ in p.out):  # with marked content, what lies outside is not the article
-        return [b for b in p.out if b[0] == SURE_MARK]
     return p.out
 
 
@@ -147,14 +147,17 @@ def shared(a: list[str], b: list[str]) -> set[int]:
 
 
 def main_text(own: list[tuple[int, str]], other: list[tuple[int, str]] | None) -> str:
-    """The page's blocks joined by a space, without open blocks that the paired page shares."""
-    mine = [t for m, t in own if m == OPEN_MARK]
-    if other and mine:
-        gone = shared(mine, [t for m, t in other if m == OPEN_MARK])
-        if len(gone) < len(mine):
-            keep = iter([i not in gone for i in range(len(mine))])
-            return " ".join(t for m, t in own if m == SURE_MARK or next(keep))
-    return " ".join(t for _, t in own)
+    """The page's lines joined by a space, without those that the paired page shares. All lines of both pages are
+    aligned; marks only confirm: with marked content, what lies outside is not the article. A page that shares all
+    its open lines, or more than half of its marked text, is a copy of its neighbour and keeps them."""
+    marked = any(m == SURE_MARK for m, _ in own)
+    mine = [i for i, (m, _) in enumerate(own) if not marked or m == SURE_MARK]
+    gone = shared([t for _, t in own], [t for _, t in other]).intersection(mine) if other else set()
+    if marked:
+        copy = 2 * sum(len(own[i][1]) for i in gone) > sum(len(own[i][1]) for i in mine)
+    else:
+        copy = len(gone) == len(mine)
+    return " ".join(own[i][1] for i in mine if copy or i not in gone)
 
 
 def _prefix(a: str, b: str) -> int:
