@@ -134,6 +134,19 @@ def test_collisions_follow_generalised_jaccard(spark):
     assert abs(sum(x == y for x, y in zip(fp[0], fp[1], strict=True)) / 256 - true) < 0.1
 
 
+def test_error_at_the_registered_samples(spark):
+    """Over many pairs of likeness 0.5 the mean is right, and the spread that of 64 samples (0.0625)."""
+    texts = []
+    for i in range(120):
+        both = [f"p{i}b{j}" for j in range(60)]
+        texts += [" ".join(both + [f"p{i}{x}{j}" for j in range(30)]) for x in "xy"]
+    fp = {r["doc_id"]: r["fp"] for r in fingerprints.fingerprints(frame(spark, texts)).collect()}
+    got = [sum(x == y for x, y in zip(fp[2 * i], fp[2 * i + 1], strict=True)) / len(fp[2 * i]) for i in range(120)]
+    mean = sum(got) / len(got)
+    assert {len(f) for f in fp.values()} == {64} and abs(mean - 0.5) < 0.025
+    assert math.sqrt(sum((x - mean) ** 2 for x in got) / (len(got) - 1)) < 0.076
+
+
 def test_license_places_and_labels(spark):
     notice = license_scan.NOTICES[7][0]
     texts = [None, "", "MIT License and the mit  license; MIT", "under the GNU General Public License, general public", "Apache\nLicense", "Licensed under CC BY-NC 4.0.", notice, notice.replace(" charge ", " any charge "), "license mit", "mit licensed"]
