@@ -132,6 +132,21 @@ def test_toxicity_held_out_and_edge_rows(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_every_training_text_counts(spark):
+    """Texts with a passage in common stay, at nearly full weight; near copies weigh about one text together."""
+    rng = random.Random(9)
+    word = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, text = word(25), word(400)
+    carriers = [" ".join(word(50) + passage + word(50)) for _ in range(60)]
+    copies = [" ".join([*text[:-1], f"end{i}"]) for i in range(60)]
+    rows = [(t, y) for y, part in ((0, carriers), (1, copies)) for t in part] + [(None, 0), ("x", 0), ("x", 0)]
+    got = toxicity.weighted(spark.createDataFrame(rows, "text string, toxic int")).collect()
+    assert sorted(((r["text"], r["toxic"]) for r in got), key=str) == sorted(rows, key=str)
+    assert all(0 < r["weight"] <= toxicity.UNIT for r in got)
+    total = lambda texts: sum(r["weight"] for r in got if r["text"] in texts) / toxicity.UNIT
+    assert total(carriers) > 40 and total(copies) < 4 and abs(total(["x"]) - 1) < 0.001
+
+
 def test_quality_held_out(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     model = quality.fit(docs, labels.select("doc_id", quality.grade(F.col("quality"), F.col("toxic")).alias("grade")))

@@ -1,7 +1,7 @@
 """Operator 1, toxicity by maximum-scoring segments of token log-odds, calibrated by extreme values.
 
-Fit, on labelled documents outside fold 2, one of each label and least word shingle (else every word of a
-text with many near copies would look significant): how many documents of either label hold each token (all
+Fit, on all labelled documents outside fold 2, near copies at a lower weight (else every word of a text with
+many of them would look significant): the weight of the documents of either label that hold each token (all
 labelled rows, map-side counters), log-odds under an informative Dirichlet prior (``PRIOR`` of the pooled counts), each
 shrunk towards 0 by ``Z`` of its standard errors. A word scores as the strongest of itself and its first
 letters (``STEMS``), so that unseen forms of a toxic stem still score. The model keeps the ``VOCAB`` strongest entries: a documented bound.
@@ -38,6 +38,8 @@ STEMS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 #: Counter entries a task holds before it hands them on.
 HELD = 300_000
+#: A document's full weight; weights are whole numbers, so that sums do not depend on their order.
+UNIT = 1 << 20
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -103,29 +105,39 @@ class Model:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held: tuple[Counter, Counter] = (Counter(), Counter())
+    held: tuple[Counter, Counter] = (Counter(), Counter())  # documents of full weight
+    less: tuple[Counter, Counter] = (Counter(), Counter())  # weights of the others
 
     def flush() -> pd.DataFrame:
-        for counter in held:
+        for whole, counter in zip(held, less, strict=True):
+            for w, c in whole.items():
+                counter[w] += c * UNIT
             for w, c in list(counter.items()):
                 for x in stems(w):
                     counter[x] += c
-        rows = [(w, held[1][w], held[0][w]) for w in held[0].keys() | held[1].keys()]
-        held[0].clear(), held[1].clear()
+        rows = [(w, less[1][w], less[0][w]) for w in less[0].keys() | less[1].keys()]
+        for counter in (*held, *less):
+            counter.clear()
         return pd.DataFrame(rows, columns=["w", "pos", "neg"])
 
     for pdf in batches:
-        for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
-            held[int(toxic)].update(set(tokens(text)))
-            if len(held[0]) + len(held[1]) > HELD:
+        for text, toxic, weight in zip(pdf["text"], pdf["toxic"], pdf["weight"], strict=True):
+            if weight == UNIT:
+                held[int(toxic)].update(set(tokens(text)))
+            else:
+                counter, weight = less[int(toxic)], int(weight)
+                for w in set(tokens(text)):
+                    counter[w] += weight
+            if sum(map(len, (*held, *less))) > HELD:
                 yield flush()
     yield flush()
 
 
 def log_odds(counts: DataFrame, vocab: int = VOCAB) -> dict[str, float]:
-    """The strongest entries. Words, and stems of each length, are vocabularies of their own."""
+    """The strongest entries. Words, and stems of each length, are vocabularies of their own. Counts are in UNITs."""
     counts = counts.withColumn("stem", F.when(F.col("w").endswith("*"), F.length("w")).otherwise(0))
-    n = {r["stem"]: (r["p"] or 0, r["n"] or 0) for r in counts.groupBy("stem").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).collect()}
+    n = {r["stem"]: ((r["p"] or 0) / UNIT, (r["n"] or 0) / UNIT) for r in counts.groupBy("stem").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).collect()}
+    counts = counts.withColumns({x: F.col(x) / UNIT for x in ("pos", "neg")})
     odds = F.lit(0.0)
     for stem, (p, q) in n.items():
         if not p or not q:
@@ -140,22 +152,30 @@ def log_odds(counts: DataFrame, vocab: int = VOCAB) -> dict[str, float]:
     return {r["w"]: r["odds"] for r in top.collect()}
 
 
-def once(texts: DataFrame) -> DataFrame:
-    """One text for each (toxic, least hash of its runs of four words): near copies mostly share that hash,
-    other texts hardly ever."""
+def weighted(texts: DataFrame) -> DataFrame:
+    """(text, toxic, weight) for every row. Four minwise values of the runs of four words group the rows of a label;
+    a row weighs the mean of 1 / group size. Near copies mostly share all four values and weigh about one document
+    together; texts that share a passage share a value now and then, and keep the weight of the others."""
     hs = F.transform(F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE_SEP), ""), lambda w: F.xxhash64(w))
     texts = texts.select("text", "toxic", hs.alias("hs"))  # a column of its own, for the lambda below reads it often
     last = F.size("hs") - 3
-    least = F.array_min(F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("hs", i, 4))))
-    return texts.groupBy("toxic", F.when(last > 0, least).otherwise(F.xxhash64("hs")).alias("key")).agg(F.min("text").alias("text"))
+    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("hs", i, 4)))
+    runs = texts.select("text", "toxic", F.when(last > 0, runs).otherwise(F.array(F.xxhash64("hs"))).alias("x"))
+    runs = runs.select("text", "toxic", "x", F.transform("x", lambda x: F.xxhash64(x, F.lit(1))).alias("y"))
+    values = F.array(F.array_min("x"), F.array_max("x"), F.array_min("y"), F.array_max("y"))
+    rows = cut(runs.select(F.monotonically_increasing_id().alias("row"), "text", "toxic", values.alias("values")), "train")
+    each = rows.select("row", "toxic", F.posexplode("values").alias("k", "value"))
+    groups = each.groupBy("toxic", "k", "value").agg(F.count("*").alias("m")).filter("m > 1")
+    less = each.join(groups, ["toxic", "k", "value"]).groupBy("row").agg(F.sum(F.floor(F.lit(UNIT // 4) * (F.col("m") - 1) / F.col("m"))).alias("less"))
+    return rows.join(less, "row", "left").select("text", "toxic", (F.lit(UNIT) - F.coalesce("less", F.lit(0))).cast("long").alias("weight"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, vocab: int = VOCAB) -> Model:
     """The model, from labelled documents outside fold 2."""
     spark = docs.sparkSession
     y = labels.filter("toxic is not null").select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(fold(F.col("doc_id")) != 2)
-    train = cut(once(docs.select("doc_id", "text").join(y, "doc_id")), "train")
-    kinds = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    train = cut(weighted(docs.select("doc_id", "text").join(y, "doc_id")), "train")
+    kinds = {r["toxic"]: r["n"] / UNIT for r in train.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
     pos, neg = kinds.get(1, 0), kinds.get(0, 0)
     if not pos or not neg:
         share = pos / (pos + neg) if pos + neg else 0.0
@@ -165,18 +185,19 @@ def fit(docs: DataFrame, labels: DataFrame, vocab: int = VOCAB) -> Model:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for text, toxic in zip(pdf["text"], pdf["toxic"], strict=True):
+            for text, toxic, weight in zip(pdf["text"], pdf["toxic"], pdf["weight"], strict=True):
                 words = tokens(text)
-                rows.append((toxic, len(words), [s for _, _, s in model.segments(model.token_scores(words)) if s > FLOOR]))
-            yield pd.DataFrame(rows, columns=["toxic", "n", "s"])
+                rows.append((toxic, weight, len(words), [s for _, _, s in model.segments(model.token_scores(words)) if s > FLOOR]))
+            yield pd.DataFrame(rows, columns=["toxic", "weight", "n", "s"])
 
-    seen = cut(train.mapInPandas(scan, "toxic int, n long, s array<double>"), "segments")
-    clean = seen.filter("toxic = 0").agg(F.sum("n").alias("n"), F.sum(F.size("s")).alias("k"), F.sum(F.aggregate("s", F.lit(0.0), lambda a, x: a + x - FLOOR)).alias("over")).first()
+    seen = cut(train.mapInPandas(scan, "toxic int, weight long, n long, s array<double>"), "segments")
+    share = F.col("weight") / UNIT
+    clean = seen.filter("toxic = 0").agg(F.sum(share * F.col("n")).alias("n"), F.sum(share * F.size("s")).alias("k"), F.sum(share * F.aggregate("s", F.lit(0.0), lambda a, x: a + x - FLOOR)).alias("over")).first()
     n, k, over = clean["n"] or 1, clean["k"] or 0, clean["over"] or 0.0
     # one pseudo peak of mean excess 1 keeps both finite where chance never scores
     model.rate, model.lam = (k + 0.5) / n, (k + 1.0) / (over + 1.0)
     part = F.aggregate("s", F.lit(0.0), lambda a, x: a + F.greatest(F.lit(0.0), model.lam * (x - FLOOR) - F.ln(F.greatest(F.lit(1e-12), model.rate * F.greatest(F.col("n"), F.lit(1))))))
-    hist = seen.groupBy("toxic", F.least(F.lit(200), F.floor(part * 4)).alias("bin")).agg(F.count("*").alias("n")).collect()  # 402 rows at most
+    hist = seen.groupBy("toxic", F.least(F.lit(200), F.floor(part * 4)).alias("bin")).agg((F.sum("weight") / UNIT).alias("n")).collect()  # 402 rows at most
     x = np.array([r["bin"] / 4 for r in hist], float)
     t = np.array([r["toxic"] for r in hist], float)
     w = np.array([r["n"] for r in hist], float)
