@@ -86,3 +86,11 @@ def test_serving_features_at_defaults(spark):
 def test_top_values(spark):
     df = spark.createDataFrame([(3.0, 3.0, None, 1.0)], "b double, a double, c double, d double")
     assert sc.top_values(df, ["b", "a", "c", "d"], 2).first().top_features == ["a", "b"]
+
+
+def test_model_queries_score_all_customers(spark):
+    from tierlens.plans import catalog
+    sf = "/root/testdata/sf0.001"
+    n = catalog.model_frame(spark, sf).select("entity_key").distinct().count()
+    assert catalog.class_probabilities(spark, sf).select("entity_key").distinct().count() == n
+    assert catalog.scenario_rescore(spark, sf).groupBy("scenario").count().where(f"count = {n}").count() == 3

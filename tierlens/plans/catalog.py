@@ -495,6 +495,14 @@ def trained(spark, sf):
     return models, train, test
 
 
+def trained_one(spark, sf, name):
+    """One model, fitted on the train customers, and all customers."""
+    split = cut_lineage(model_frame(spark, sf))
+    everyone = ml.prepare(split, "stability_label")
+    models = ml.fit_all(everyone.where("split = 'train'"), cp.MODEL_FEATURES, cp.MODEL_CATEGORICAL, {name: _models()[name]})
+    return models[name], everyone
+
+
 def _scored_union(models, test):
     out = None
     for name, m in models.items():
@@ -542,8 +550,8 @@ def feature_importance(spark, sf, top_n: int = 15):
 
 @query("class_probabilities")
 def class_probabilities(spark, sf):
-    models, _, test = trained(spark, sf)
-    s = ml.score(models["LogisticRegression"], test, ["entity_key"])
+    model, everyone = trained_one(spark, sf, "LogisticRegression")
+    s = ml.score(model, everyone, ["entity_key"])
     return ml.class_probabilities(s, ["entity_key"]).withColumn("probability", r6("probability"))
 
 
@@ -561,15 +569,14 @@ def stream_score(spark, sf):
 
 @query("scenario_rescore")
 def scenario_rescore(spark, sf):
-    """M7 with the model: what-if scenarios on the test customers, rescored
+    """M7 with the model: what-if scenarios on all customers, rescored
     by the trained logistic regression, against each customer's base."""
-    models, _, test = trained(spark, sf)
-    model = models["LogisticRegression"]
-    recompute = feat.level1_exprs(test.columns, list(cp.RATIOS + cp.LOG_ABS_GAP))
+    model, everyone = trained_one(spark, sf, "LogisticRegression")
+    recompute = feat.level1_exprs(everyone.columns, list(cp.RATIOS + cp.LOG_ABS_GAP))
 
     def score_fn(df):
         return ml.score(model, df, ["entity_key", "scenario"])
-    out = sc.scenario_rescore(test, cp.MODEL_SCENARIOS, cp.SCENARIO_COLUMNS, recompute, score_fn, "entity_key")
+    out = sc.scenario_rescore(everyone, cp.MODEL_SCENARIOS, cp.SCENARIO_COLUMNS, recompute, score_fn, "entity_key")
     return out.select("entity_key", "scenario", "prediction", r6("confidence").alias("confidence"),
                       F.col("class_change").cast("int").alias("class_change"),
                       r6("confidence_delta").alias("confidence_delta"))
