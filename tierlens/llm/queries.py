@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, html_text, license_scan, manifest, mixing, near_dedup, piece_bpe, quality, secret_scan, token_counts, toxicity
+from . import alignment, decontaminate, fingerprints, html_text, license_scan, manifest, mixing, near_dedup, piece_bpe, quality, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -67,12 +67,16 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digest(piece_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json").decode(), vocabulary("piece_bpe_32k.model"))[0]
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_toxicity, op2_decontaminate, op3_mix_sources, op4_html_text, op5_fingerprints, op6_near_dedup, op7_token_counts, op8_license_scan, op9_quality, op10_secret_scan, op11_sentencepiece, op13_manifest)
+    for f in (op1_toxicity, op2_decontaminate, op3_mix_sources, op4_html_text, op5_fingerprints, op6_near_dedup, op7_token_counts, op8_license_scan, op9_quality, op10_secret_scan, op11_sentencepiece, op12_alignment, op13_manifest)
 }
 ORACLE = {"op2_decontaminate": decontaminate.SQL, "op3_mix_sources": mixing.SQL, "op6_near_dedup": near_dedup.SQL, "op7_token_counts": token_counts.SQL, "op13_manifest": manifest.SQL}
