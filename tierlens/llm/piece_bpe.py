@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 MARK = "▁"
 #: Parts whose ids a task keeps from one slice of texts to the next, and the longest part that the side-by-side
 #: agendas take (longer ones have a heap of their own). Bounds on memory, not on texts.
-KEPT, KEPT_CHARS = 300_000, 64
+KEPT, KEPT_CHARS = 600_000, 64
 #: Characters of text that are encoded at a time.
 SLICE_CHARS = 2_000_000
 
@@ -159,7 +159,7 @@ class PieceBPE:
         sym = np.full((len(parts), int(width.max()) + 1), -1, np.int32)
         sym[np.arange(sym.shape[1]) < width[:, None]] = [chars[c] for c in "".join(parts)]
         done = sym.copy()
-        live = np.arange(len(parts))
+        live, cols = np.arange(len(parts)), np.arange(sym.shape[1])
         to, cost = self._pairs(sym[:, :-1], sym[:, 1:])
         while len(live):
             best = cost.argmin(1)
@@ -169,23 +169,24 @@ class PieceBPE:
             sym, to, cost, live, best = sym[more], to[more], cost[more], live[more], best[more]
             rows = rows[: len(live)]
             sym[rows, best] = to[rows, best]
-            past = np.arange(sym.shape[1] - 1)[None, :] > best[:, None]  # what stands behind the join moves up
-            sym = np.where(np.c_[past, np.ones(len(live), bool)], np.c_[sym[:, 1:], np.full(len(live), -1, np.int32)], sym)
-            shift = np.arange(to.shape[1])[None, :] > best[:, None]
-            to = np.where(shift, np.c_[to[:, 1:], to[:, -1:]], to)
-            cost = np.where(shift, np.c_[cost[:, 1:], np.full(len(live), np.inf, np.float32)], cost)
+            past = cols[None, :-1] > best[:, None]  # what stands behind the join moves up
+            np.copyto(sym[:, :-1], sym[:, 1:].copy(), where=past)
+            past = past[:, :-1]
+            np.copyto(to[:, :-1], to[:, 1:].copy(), where=past)
+            np.copyto(cost[:, :-1], cost[:, 1:].copy(), where=past)
             to[rows, best], cost[rows, best] = self._pairs(sym[rows, best], sym[rows, best + 1])
             left = np.flatnonzero(best > 0)
             h = best[left] - 1
             to[left, h], cost[left, h] = self._pairs(sym[left, h], sym[left, h + 1])
         # characters that are no piece leave as bytes
         names = {v: np.array([self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown], np.int32).tobytes() for c, v in chars.items() if v >= n}
-        size = (done != -1).argmin(1)
-        packed, flat = [], done.astype(np.int32)
-        odd = (done >= n).any(1)
-        for i in range(len(parts)):
-            row = flat[i, : size[i]]
-            packed.append(b"".join(names.get(int(x)) or x.tobytes() for x in row) if odd[i] else row.tobytes())
+        stay = done != -1
+        ends = np.cumsum(stay.sum(1))
+        flat, ends = done[stay], ends.tolist()
+        buf = flat.tobytes()
+        packed = [buf[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i in np.flatnonzero((done >= n).any(1)).tolist():
+            packed[i] = b"".join(names.get(x) or np.int32(x).tobytes() for x in done[i][stay[i]].tolist())
         return packed
 
     def learn(self, parts: set[str]) -> None:
@@ -194,15 +195,13 @@ class PieceBPE:
 
         new = [p for p in parts if p not in self.table]
         if len(self.table) + len(new) > KEPT:
-            self.table.clear()
-            new = list(parts)
+            self.table, new = {}, list(parts)
         short = [] if self.symbol or self.unused else sorted((p for p in new if len(p) <= KEPT_CHARS), key=len)
         for a in range(0, len(short), 4096):
             some = short[a : a + 4096]
             self.table.update(zip(some, self.merge_many(some), strict=True))
-        known = set(short)
         for p in new:
-            if p not in known:
+            if p not in self.table:
                 self.table[p] = np.array(self.merge(p), np.int32).tobytes()
 
     def split(self, text: str) -> list[str]:
@@ -215,8 +214,10 @@ class PieceBPE:
         import numpy as np
 
         split = [self.split(t) for t in texts]
-        self.learn(set(chain.from_iterable(split)))
-        out = [np.frombuffer(b"".join(map(self.table.__getitem__, parts)), np.int32) for parts in split]
+        found = [list(map(self.table.get, parts)) for parts in split]
+        self.learn({p for parts, ids in zip(split, found, strict=True) if None in ids for p, x in zip(parts, ids, strict=True) if x is None})
+        get = self.table.__getitem__
+        out = [np.frombuffer(b"".join([get(p) if x is None else x for p, x in zip(parts, ids, strict=True)] if None in ids else ids), np.int32) for parts, ids in zip(split, found, strict=True)]
         if self.bytes:
             return out
         return [x[~((x == self.unknown) & (np.r_[-1, x[:-1]] == self.unknown))] if len(x) else x for x in out]  # unknown symbols in a row are one
