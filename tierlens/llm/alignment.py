@@ -23,7 +23,6 @@ are all best; an empty table gives an empty result; only doc_id and text are rea
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain
 
@@ -39,7 +38,7 @@ BLOCK_DOCS = 65_536
 #: (pair, document) entries of an open block before it is closed: a bound on a task's memory.
 BLOCK_ENTRIES = 4_000_000
 #: Parts of texts whose tokens a task keeps from one slice to the next: a bound on memory.
-KEPT = 150_000
+KEPT = 400_000
 PLACE_BITS = 16
 
 
@@ -88,55 +87,56 @@ class Pair:
         self.reset()
 
     def reset(self) -> None:
+        import numpy as np
+
         self.index: dict[str, int] = {}
-        self.groups: list[str | None] = []  # None: the tokens do not give the part's bytes
-        self.sizes: list[tuple[int, int, int, int]] = []  # tokens of A, of B, groups, links
-        self.codes: list[bytes] = []  # the part's linked pairs, as 64-bit integers
+        self.groups: list[str | None] = []  # each group ends in a semicolon; None: the tokens do not give the part's bytes
+        self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
+        self.codes = np.zeros(0, np.int64)  # the linked pairs of all parts, one part after the other
 
     def learn(self, parts: set[str]) -> None:
-        """Tokens, groups and links of parts that are not known yet."""
-        if len(self.index) + len(parts) > KEPT:
-            self.reset()
+        """Tokens, groups and links of parts that are not known yet, computed over all of them at once."""
+        import numpy as np
+
         new = [p for p in parts if p not in self.index]
+        if len(self.index) + len(new) > KEPT:
+            self.reset()
+            new = list(parts)
         if not new:
             return
-        marked = [list(self.b.parts.findall(p.replace(" ", MARK))) for p in new]
+        marked = [self.b.parts.findall(p.replace(" ", MARK)) for p in new]
         self.b.learn(set(chain.from_iterable(marked)))
-        found = self.a.encode_batch(new, add_special_tokens=False)
-        for p, pieces, enc in zip(new, marked, found, strict=True):
-            self.index[p] = len(self.groups)
-            self._add(p, enc.ids, memoryview(b"".join(map(self.b.table.__getitem__, pieces))).cast("i").tolist())
-
-    def _add(self, part: str, a_ids: Sequence[int], b_ids: Sequence[int]) -> None:
-        a_parts, b_parts, raw = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids], part.encode()
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            self.groups.append(None)
-            self.sizes.append((0, 0, 0, 0))
-            self.codes.append(b"")
-            return
-        i = j = links = 0
-        a_end, b_end = len(a_parts[0]), len(b_parts[0])
-        from_a = from_b = 0
-        groups, codes, shift = [], [], self.b_bits
-        while True:  # from one end of a token to the next
-            codes.append(a_ids[i] << shift | b_ids[j])
-            links += 1
-            if a_end == b_end:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a_ids[from_a:i]))}|{','.join(map(str, b_ids[from_b:j]))}")
-                if i == len(a_parts):
-                    break
-                from_a, from_b = i, j
-                a_end, b_end = a_end + len(a_parts[i]), b_end + len(b_parts[j])
-            elif a_end < b_end:
-                i += 1
-                a_end += len(a_parts[i])
-            else:
-                j += 1
-                b_end += len(b_parts[j])
-        self.groups.append(";".join(groups))
-        self.sizes.append((len(a_ids), len(b_ids), len(groups), links))
-        self.codes.append(array("q", codes).tobytes())
+        ids = self.b.table.__getitem__
+        b_ids = [b"".join(map(ids, pieces)) for pieces in marked]
+        a_ids = [enc.ids for enc in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        flat_a, flat_b = list(chain.from_iterable(a_ids)), np.frombuffer(b"".join(b_ids), np.int32)
+        a_parts, b_parts, raw = [self.a_bytes[i] for i in flat_a], [self.b_bytes[i] for i in flat_b.tolist()], "".join(new).encode()
+        if not b"".join(a_parts) == b"".join(b_parts) == raw:
+            bad = {p for p, x, y in zip(new, a_ids, b_ids, strict=True) if not b"".join([self.a_bytes[i] for i in x]) == b"".join([self.b_bytes[i] for i in memoryview(y).cast("i")]) == p.encode()}
+            for p in sorted(bad):
+                self.index[p] = len(self.groups)
+                self.groups.append(None)
+            self.sizes = np.concatenate([self.sizes, np.zeros((len(bad), 4), np.int64)])
+            return self.learn(parts - bad)
+        flat_a = np.array(flat_a, np.int64)
+        a_ends, b_ends = np.cumsum([len(x) for x in a_parts]), np.cumsum([len(x) for x in b_parts])
+        ends = np.union1d(a_ends, b_ends)  # a link stands before each end
+        codes = flat_a[np.searchsorted(a_ends, ends)] << self.b_bits | flat_b[np.searchsorted(b_ends, ends)]
+        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)  # a group stands before each cut
+        many = np.array([(len(x), len(y) // 4) for x, y in zip(a_ids, b_ids, strict=True)])
+        last = np.cumsum(many, 0)
+        at = a_ends[last[:, 0] - 1]
+        sizes = np.c_[many, np.diff(np.searchsorted(cuts, at, "right"), prepend=0), np.diff(np.searchsorted(ends, at, "right"), prepend=0)]
+        # the digest's words: ids in the order of groups, those of A before those of B, each with what follows it
+        group = np.r_[np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)]
+        order = np.lexsort((np.arange(len(group)) >= len(a_ends), group))
+        ends_group = np.r_[np.isin(a_ends, cuts, assume_unique=True), np.isin(b_ends, cuts, assume_unique=True)]
+        kind = np.r_[np.zeros(len(a_ends), np.int64), np.full(len(b_ends), 2)] + ends_group
+        words = [f"{i}{',|,;'[k]}" for i, k in zip(np.r_[flat_a, flat_b][order].tolist(), kind[order].tolist(), strict=True)]
+        stops = last.sum(1).tolist()
+        self.index.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
+        self.groups += ["".join(words[x:y]) for x, y in zip([0, *stops], stops, strict=False)]
+        self.sizes, self.codes = np.concatenate([self.sizes, sizes]), np.concatenate([self.codes, codes])
 
     def align(self, texts: Sequence[str | None]):
         """Per text: sizes (a row of tokens of A, of B, groups and links), groups text, and the linked pairs as
@@ -146,14 +146,14 @@ class Pair:
         split = [self.parts.findall(" " + t) if t else [] for t in texts]
         self.learn(set(chain.from_iterable(split)))
         sizes, out = np.zeros((len(texts), 4), np.int64), []
-        known, groups = np.array(self.sizes, np.int64).reshape(-1, 4), self.groups
+        known, groups = self.sizes, self.groups
         uses: list = []
         for row, parts in enumerate(split):
             at = list(map(self.index.__getitem__, parts))
             said = [groups[i] for i in at]
             if None in said:
                 said = []
-            out.append(";".join(said))
+            out.append("".join(said)[:-1])
             if said:
                 u, c = np.unique(at, return_counts=True)
                 sizes[row] = (known[u] * c[:, None]).sum(0)
@@ -161,12 +161,11 @@ class Pair:
         if not uses:
             return sizes, out, *(np.empty(0, np.int64) for _ in range(3))
         u, row, c = (np.concatenate(x) for x in zip(*uses, strict=True))
-        flat = np.frombuffer(b"".join(self.codes), np.int64)
         many = known[:, 3]
         first = np.concatenate([[0], np.cumsum(many)])[u]
         n = many[u]
         place = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return sizes, out, flat[place], np.repeat(row, n), np.repeat(c, n)
+        return sizes, out, self.codes[place], np.repeat(row, n), np.repeat(c, n)
 
 
 def summed(keys, counts):
