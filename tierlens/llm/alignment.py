@@ -95,15 +95,18 @@ class Pair:
         self.codes = np.zeros(0, np.int64)  # the linked pairs of all parts, one part after the other
 
     def learn(self, parts: set[str]) -> None:
-        """Tokens, groups and links of parts that are not known yet, computed over all of them at once."""
-        import numpy as np
-
+        """Have tokens, groups and links of these parts known."""
         new = [p for p in parts if p not in self.index]
         if len(self.index) + len(new) > KEPT:
             self.reset()
             new = list(parts)
-        if not new:
-            return
+        if new:
+            self._add(new)
+
+    def _add(self, new: list[str]) -> None:
+        """Tokens, groups and links of new parts, computed over all of them at once."""
+        import numpy as np
+
         marked = [self.b.parts.findall(p.replace(" ", MARK)) for p in new]
         self.b.learn(set(chain.from_iterable(marked)))
         ids = self.b.table.__getitem__
@@ -117,7 +120,8 @@ class Pair:
                 self.index[p] = len(self.groups)
                 self.groups.append(None)
             self.sizes = np.concatenate([self.sizes, np.zeros((len(bad), 4), np.int64)])
-            return self.learn(parts - bad)
+            good = [p for p in new if p not in bad]
+            return self._add(good) if good else None
         flat_a = np.array(flat_a, np.int64)
         a_ends, b_ends = np.cumsum([len(x) for x in a_parts]), np.cumsum([len(x) for x in b_parts])
         ends = np.union1d(a_ends, b_ends)  # a link stands before each end

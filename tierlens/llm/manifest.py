@@ -234,7 +234,7 @@ def verify(docs: DataFrame) -> DataFrame:
     hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False)) & text.contains("\n")
     changed = F.when(hit, row_leaf([*fields, F.replace(text, F.lit("\n"), F.lit(""))]))
     tree = build(docs, F.col("source"), [F.col("doc_id")], row_leaf([*fields, text]), changed, ["doc_id"])
-    folded = F.coalesce(F.element_at("copies", -1), F.col("version_leaf"))
+    folded = F.coalesce(F.try_element_at("copies", F.lit(-1)), F.col("version_leaf"))
     return versions(tree).select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
 
 
