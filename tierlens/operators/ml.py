@@ -137,7 +137,7 @@ def preprocessing_stages(train: DataFrame, numeric: Sequence[str], categorical:
         stages.append(StringIndexer(inputCols=[f"{c}__cat" for c in idx_out], outputCols=[f"{c}__idx" for c in idx_out],
                                     handleInvalid="keep", stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in idx_out], outputCols=[f"{c}__ohe" for c in idx_out],
-                                    dropLast=True, handleInvalid="keep"))
+                                    dropLast=True, handleInvalid="error"))  # the indexer's extra last index is dropped
     stages.append(VectorAssembler(inputCols=[f"{c}__num" for c in numeric] + [f"{c}__ohe" for c in idx_out],
                                   outputCol=features_col, handleInvalid="keep"))
     return stages

@@ -177,18 +177,13 @@ def class_info(df: DataFrame, class_col: str, names: Mapping[int, str], texts: M
 
 
 def scenario_rescore(base: DataFrame, scenarios: Sequence[Mapping], columns: Sequence[str],
-                     recompute: Mapping[str, Column], score_fn, key: str) -> DataFrame:
-    """M7 end to end: fan each row out to the scenarios, apply the overrides,
-    recompute the derived features, rescore with ``score_fn`` (a fitted
-    model's scoring), and compare every scenario with the row's base
-    scenario (a window over each key's few scenario rows)."""
-    from pyspark.sql import Window
-    fan = apply_scenarios(base, scenarios, columns)
-    fan = fan.withColumns(dict(recompute)) if recompute else fan
-    scored = score_fn(fan)
-    base_name = scenarios[0]["scenario"]
-    w = Window.partitionBy(key)
-    base_pred = F.max(F.when(F.col("scenario") == base_name, F.col("prediction"))).over(w)
-    base_conf = F.max(F.when(F.col("scenario") == base_name, F.col("confidence"))).over(w)
-    return scored.withColumns({"class_change": F.col("prediction") - base_pred,
-                               "confidence_delta": F.col("confidence") - base_conf})
+                     recompute: Mapping[str, Column], score_fn) -> DataFrame:
+    """M7 end to end: score each row as it is, fan it out to the scenarios, apply the overrides, recompute the
+    derived features, rescore, and compare with the row's own base score. ``score_fn(df, prefix)`` adds the columns
+    prediction, probabilities and confidence under a prefix and keeps the others, so base and scenario scores stand
+    in one row: a projection, without a window or a shuffle. The first scenario need not be the unchanged one."""
+    fan = apply_scenarios(score_fn(base, "__base_"), scenarios, columns)
+    scored = score_fn(fan.withColumns(dict(recompute)) if recompute else fan, "")
+    return scored.withColumns({"class_change": F.col("prediction") - F.col("__base_prediction"),
+                               "confidence_delta": F.col("confidence") - F.col("__base_confidence")}) \
+        .drop("__base_prediction", "__base_probabilities", "__base_confidence")

@@ -448,6 +448,7 @@ def align_features(spark, sf):
 # ---------------------------------------------------------------------------
 # Preprocessing fits (T1-T4) and models
 # ---------------------------------------------------------------------------
+from ..operators import compiled as cm  # noqa: E402
 from ..operators import ml  # noqa: E402
 
 IMPUTE_COLS = ("balance", "avg_discount", "revenue", "returned_share")
@@ -504,9 +505,11 @@ def trained_one(spark, sf, name):
 
 
 def _scored_union(models, test):
+    """Every model's scores from its compiled tables, as projections of the same rows."""
+    rows = test.select("entity_key", "label", *cp.MODEL_FEATURES, *cp.MODEL_CATEGORICAL)
     out = None
     for name, m in models.items():
-        s = ml.score(m, test, ["entity_key", "label"]).withColumn("model", F.lit(name))
+        s = cm.score(rows, cm.compile_model(m)).select("entity_key", "label", "prediction", "confidence").withColumn("model", F.lit(name))
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -538,20 +541,18 @@ def cv_metrics(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf, top_n: int = 15):
-    models, train, _ = trained(spark, sf)
-    rows = []
+    models, _, _ = trained(spark, sf)
+    out = None
     for name, m in models.items():
-        names = ml.feature_names(m, train)
-        ranked = sorted(ml.importances(m, names), key=lambda t: (-t[1], t[0]))[:top_n]
-        rows += [(name, f, float(v), i + 1) for i, (f, v) in enumerate(ranked)]
-    return spark.createDataFrame(rows, "model string, feature string, importance double, rank int") \
-        .withColumn("importance", r6("importance"))
+        top = cm.top_features(spark, cm.compile_model(m), top_n).withColumn("model", F.lit(name))
+        out = top if out is None else out.unionByName(top)
+    return out.select("model", "feature", r6("importance").alias("importance"), "rank")
 
 
 @query("class_probabilities")
 def class_probabilities(spark, sf):
     model, everyone = trained_one(spark, sf, "LogisticRegression")
-    s = ml.score(model, everyone, ["entity_key"])
+    s = cm.score(everyone, cm.compile_model(model))
     return ml.class_probabilities(s, ["entity_key"]).withColumn("probability", r6("probability"))
 
 
@@ -572,11 +573,9 @@ def scenario_rescore(spark, sf):
     """M7 with the model: what-if scenarios on all customers, rescored
     by the trained logistic regression, against each customer's base."""
     model, everyone = trained_one(spark, sf, "LogisticRegression")
+    compiled = cm.compile_model(model)
     recompute = feat.level1_exprs(everyone.columns, list(cp.RATIOS + cp.LOG_ABS_GAP))
-
-    def score_fn(df):
-        return ml.score(model, df, ["entity_key", "scenario"])
-    out = sc.scenario_rescore(everyone, cp.MODEL_SCENARIOS, cp.SCENARIO_COLUMNS, recompute, score_fn, "entity_key")
+    out = sc.scenario_rescore(everyone, cp.MODEL_SCENARIOS, cp.SCENARIO_COLUMNS, recompute, lambda df, prefix: cm.score(df, compiled, prefix))
     return out.select("entity_key", "scenario", "prediction", r6("confidence").alias("confidence"),
                       F.col("class_change").cast("int").alias("class_change"),
                       r6("confidence_delta").alias("confidence_delta"))
