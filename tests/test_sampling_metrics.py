@@ -36,6 +36,56 @@ def test_folds_balanced(spark):
     assert set(counts.values()) == {10}
 
 
+def test_split_and_folds_equal_plain_windows(spark):
+    """Skewed, null and tiny classes, few and many buckets: split and folds as ranks give them, row by row."""
+    rows = [(i, None if i % 50 == 0 else "one" if i == 7 else "pair" if i in (8, 9) else "big" if i % 3 else "small") for i in range(997)]
+    df = spark.createDataFrame(rows, "k long, y string")
+    w = Window.partitionBy("y").orderBy(sm.order_hash("k", 42), "k")
+    rank = {r["k"]: r["r"] for r in df.withColumn("r", F.row_number().over(w)).collect()}
+    sizes = {y: sum(1 for _, v in rows if v == y) for y in {v for _, v in rows}}
+    quota = sm.test_quotas(list(sizes.items()), 0.2)
+    got_q = {r[0]: r["quota"] for r in sm.quota_table(df, "y", 0.2).collect()}
+    assert got_q == quota
+    order = sorted(sizes, key=lambda y: (y is None, y or ""))
+    dealt = {y: [0] * 5 for y in sizes}
+    for i, y in enumerate(y for y in order for _ in range(sizes[y])):
+        dealt[y][i % 5] += 1
+    for digits in (1, 4):
+        got = {r["k"]: r["split"] for r in sm.stratified_split(df, "y", "k", 0.2, 42, bucket_digits=digits).collect()}
+        assert got == {k: "test" if rank[k] <= quota[y] else "train" for k, y in rows}
+        folds = {r["k"]: r["fold"] for r in sm.stratified_folds(df, "y", "k", 5, 42, bucket_digits=digits).collect()}
+        for k, y in rows:
+            want, left = 0, rank[k]
+            while left > dealt[y][want]:
+                left, want = left - dealt[y][want], want + 1
+            assert folds[k] == want
+    totals = [sum(1 for f in folds.values() if f == i) for i in range(5)]
+    assert max(totals) - min(totals) <= 1
+
+
+def test_split_has_no_exchange_of_the_data_side(spark):
+    """In the final adaptive plan, rows of the data meet no exchange outside the subqueries that find the cuts."""
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    for d in (sm.stratified_split(o, "o_orderstatus", "o_orderkey"), sm.stratified_folds(o, "o_orderstatus", "o_orderkey"),
+              sm.sample_weights(o, "o_orderstatus")):
+        d.collect()
+        final = d._jdf.queryExecution().executedPlan().toString()
+        body = final.split("== Initial Plan ==")[0].split("Subquery")[0]
+        assert "Exchange" not in body and "Window" not in body and "Join" not in body
+
+
+def test_no_class_cap(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"), F.col("id").alias("y"))
+    s = sm.stratified_split(df, "y", "k", 0.2).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in s} == {"test": 600, "train": 2400}
+
+
+def test_weights_keep_null_labels(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a"), (4, None)], "k int, y string")
+    got = {r["k"]: r["weight"] for r in sm.sample_weights(df, "y").collect()}
+    assert got == {1: pytest.approx(4 / 6), 2: pytest.approx(4 / 6), 3: pytest.approx(4 / 6), 4: 2.0}
+
+
 def _pairs(matrix):
     return [(t, p) for t, row in enumerate(matrix) for p, n in enumerate(row) for _ in range(n)]
 

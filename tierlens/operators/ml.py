@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import dbl
 from . import metrics as mt
-from .sampling import class_weights, stratified_folds
+from .sampling import sample_weights, stratified_folds
 from .stats import attach, quantile_row, stat_name
 from ..session import cut_lineage
 
@@ -197,8 +197,7 @@ def registry(p: ModelParams) -> dict[str, Callable[[int], Estimator]]:
 
 def with_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """A8 with balanced weights of this very frame (recomputed per fold)."""
-    w = class_weights(df, label).select(F.col(label).alias("__l"), F.col("weight"))
-    return df.join(w, df[label] == w["__l"], "left").drop("__l")
+    return sample_weights(df, label)
 
 
 def prepare(df: DataFrame, label_col: str) -> DataFrame:

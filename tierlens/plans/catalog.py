@@ -395,7 +395,7 @@ def kpi_bands(spark, sf):
 
 @query("top_values_per_row")
 def top_values_per_row(spark, sf):
-    d = sc.top_values(fx.customer_indicators(spark, sf), cp.TOP_VALUE_COLUMNS, 3)
+    d = sc.top_values(customer_featured(spark, sf, cp.RATIOS), cp.TOP_VALUE_FEATURES, 12)
     return d.select("entity_key", F.array_join("top_features", ",").alias("top_features"))
 
 

@@ -243,8 +243,13 @@ ORACLE["stratified_split"] = f"WITH {_SPLIT}\nSELECT * FROM sp"
 ORACLE["stratified_split_counts"] = f"WITH {_SPLIT}\nSELECT label, split, count(*) AS n FROM sp GROUP BY label, split"
 ORACLE["stratified_folds"] = f"""WITH {_SPLIT},
 tr AS (SELECT entity_key, label, row_number() OVER (PARTITION BY label
-         ORDER BY md5('43:' || CAST(entity_key AS VARCHAR)), entity_key) AS rk FROM sp WHERE split = 'train')
-SELECT entity_key, label, CAST((rk - 1) % 5 AS INTEGER) AS fold FROM tr
+         ORDER BY md5('43:' || CAST(entity_key AS VARCHAR)), entity_key) AS rk FROM sp WHERE split = 'train'),
+-- rows in label order dealt to the folds in turn: how many of each class a fold gets
+deal AS (SELECT label, (row_number() OVER (ORDER BY label) - 1) % 5 AS fold FROM tr),
+per AS (SELECT c.label, f.fold, count(deal.fold) AS n FROM (SELECT DISTINCT label FROM tr) c CROSS JOIN (SELECT unnest(range(5)) AS fold) f
+        LEFT JOIN deal ON deal.label = c.label AND deal.fold = f.fold GROUP BY c.label, f.fold),
+cut AS (SELECT label, fold, sum(n) OVER (PARTITION BY label ORDER BY fold) AS upto FROM per)
+SELECT entity_key, tr.label, CAST(min(fold) AS INTEGER) AS fold FROM tr JOIN cut ON cut.label = tr.label AND rk <= upto GROUP BY entity_key, tr.label
 """
 
 _CW = """cw AS (SELECT o_orderstatus AS label, count(*) AS n FROM orders GROUP BY o_orderstatus),
@@ -368,12 +373,12 @@ def _band(b) -> str:
 
 ORACLE["kpi_bands"] = f"WITH {FEAT}\nSELECT entity_key, {', '.join(_band(b) for b in _cp.BANDS)} FROM f"
 
-ORACLE["top_values_per_row"] = f"""WITH {C},
-u AS ({" UNION ALL ".join(f"SELECT entity_key, '{k}' AS k, CAST({k} AS DOUBLE) AS v FROM c"
-                          for k in _cp.TOP_VALUE_COLUMNS)}),
+ORACLE["top_values_per_row"] = f"""WITH {FEAT},
+u AS ({" UNION ALL ".join(f"SELECT entity_key, '{k}' AS k, CAST({k} AS DOUBLE) AS v FROM f"
+                          for k in _cp.TOP_VALUE_FEATURES)}),
 r AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY v DESC, k ASC) AS rn FROM u WHERE v IS NOT NULL)
-SELECT c.entity_key, coalesce(string_agg(k, ',' ORDER BY rn), '') AS top_features
-FROM c LEFT JOIN r ON c.entity_key = r.entity_key AND rn <= 3 GROUP BY c.entity_key
+SELECT f.entity_key, coalesce(string_agg(k, ',' ORDER BY rn), '') AS top_features
+FROM f LEFT JOIN r ON f.entity_key = r.entity_key AND rn <= 12 GROUP BY f.entity_key
 """
 
 _SC_SCORE = (f"{rowmean([z('balance'), z('revenue'), z('avg_order')])} - "

@@ -101,6 +101,7 @@ SCENARIOS = (
 )
 TOP_VALUE_COLUMNS = ("balance", "n_orders", "n_items", "revenue", "avg_order", "avg_tax", "avg_discount",
                      "returned_share")
+TOP_VALUE_FEATURES = TOP_VALUE_COLUMNS + tuple(f.name for f in RATIOS)
 ALIGN_FEATURES = MODEL_FEATURES + ("n_returns", "balance_is_missing")
 
 # Model settings for the driver-table runs: the reference's estimators with
