@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,9 +47,40 @@ def row_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+#: Stage tables that ``cut`` wrote and nobody dropped yet.
+MADE: list[DataFrame] = []
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Written once to the shared checkpoint folder and read back."""
-    return cut_lineage(df, name)
+    made = cut_lineage(df, name)
+    MADE.append(made)
+    return made
+
+
+def drop_made() -> None:
+    """Delete all stage tables that ``cut`` wrote: for callers whose earlier results are written elsewhere."""
+    drop_tables(*MADE)
+    MADE.clear()
+
+
+def apart(*needed: str):
+    """For functions from documents to documents with the same columns: the function sees the ``needed`` columns and
+    one struct of all others, so that no extra column can clash with its helper columns."""
+
+    def wrap(f):
+        @wraps(f)
+        def with_rest(docs: DataFrame, *args, **kw) -> DataFrame:
+            here = [c for c in needed if c in docs.columns]
+            rest = [c for c in docs.columns if c not in here]
+            if not rest:
+                return f(docs, *args, **kw)
+            out = f(docs.select(*here, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest_of_row")), *args, **kw)
+            return out.select(*[F.col(c) if c in here else F.col("rest_of_row").getField(c).alias(c) for c in docs.columns])
+
+        return with_rest
+
+    return wrap
 
 
 def drop_tables(*frames: DataFrame) -> None:

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, cut, row_key
+from .common import alnum_words, apart, cut, row_key
 
 WINDOW = 13
 #: At most so many windows in one broadcast: 500,000 x about 150 bytes.
@@ -92,12 +92,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_rows
     )
 
 
+@apart("doc_id", "text")
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """The documents that are not contaminated, with their columns."""
     bad = scan(docs, benchmark, **kw).filter("contaminated").select(F.col("doc_id").alias("_d"), F.col("k").alias("_k")).distinct()
     return docs.withColumn("_rk", row_key(F.col("text"))).join(bad, F.expr("doc_id <=> _d and _rk = _k"), "left_anti").drop("_rk")
 
 
+@apart("doc_id", "text")
 def remove_spans(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """Every document, its hit words and what follows each of them cut from the text."""
     hit = scan(docs, benchmark, **kw).filter("n_hit > 0").select(F.col("doc_id").alias("_d"), F.col("k").alias("_k"), F.col("spans").alias("_spans")).distinct()

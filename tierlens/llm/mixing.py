@@ -17,7 +17,9 @@ an empty table gives an empty result; repeated rows are documents of their own;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, space_word_count
@@ -41,9 +43,11 @@ def source_targets(sizes: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFram
     return per.select("source", "weight", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """Per document: size, source_size, target, taken (words the mix takes) and finish (virtual finish time)."""
-    sizes = docs.select("doc_id", F.col("source").cast("string").alias("source"), space_word_count(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"))
+def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS, carry: Sequence[Column] = ()) -> DataFrame:
+    """Per document: size, source_size, target, taken (words the mix takes) and finish (virtual finish time), and
+    the ``carry`` columns as carry_0, carry_1, ..., which also break ties of id and size."""
+    carried = [f"carry_{i}" for i in range(len(carry))]
+    sizes = docs.select(*[c.alias(n) for c, n in zip(carry, carried, strict=True)], "doc_id", F.col("source").cast("string").alias("source"), space_word_count(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"))
     sizes = cut(sizes, "sizes").withColumns({"c1": F.substring("h", 1, 2), "c2": F.substring("h", 3, 3)})
     cell = sizes.groupBy("source", "c1", "c2").agg(F.sum("size").alias("cell_size"))
     before = lambda *by: F.coalesce(F.sum("cell_size").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -51,14 +55,27 @@ def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     cell = cell.withColumn("b2", before("source", "c1", "c2"))
     on = lambda a, b, *by: " and ".join(f"{a}.{x} <=> {b}.{x}" for x in by)
     cell = cell.alias("c").join(top.alias("t"), F.expr(on("c", "t", "source", "c1"))).select("c.source", "c.c1", "c.c2", (F.col("b1") + F.col("b2")).alias("base"))
-    within = F.coalesce(F.sum("size").over(Window.partitionBy("source", "c1", "c2").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.coalesce(F.sum("size").over(Window.partitionBy("source", "c1", "c2").orderBy("h", "doc_id", "size", *carried).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     out = sizes.withColumn("within", within).alias("s").join(cell.alias("c"), F.expr(on("s", "c", "source", "c1", "c2")))
-    out = out.select("s.doc_id", "s.source", "s.size", (F.col("base") + F.col("within")).alias("start"))
+    out = out.select(*[f"s.{c}" for c in carried], "s.doc_id", "s.source", "s.size", (F.col("base") + F.col("within")).alias("start"))
     out = out.alias("s").join(source_targets(sizes, max_repeats).alias("t"), F.expr("s.source <=> t.source"))
     words = F.floor(F.col("target"))
     served = [F.greatest(F.lit(0), F.least(F.col("size"), words - (e * F.col("source_size") + F.col("start")))) for e in range(max_repeats)]
     out = out.withColumn("taken", sum(served[1:], served[0]).cast("long")).withColumn("finish", (F.col("start") + F.col("size")) / F.col("weight"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "finish", "s.source").orderBy("finish", "s.source", "doc_id")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "finish", "s.source", *carried).orderBy("finish", "s.source", "doc_id")
+
+
+def take(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The documents of which the mix takes something, with their columns and source_size, target, taken and finish
+    (columns of these names give way). A hash of the whole row goes through the mix, so rows that share an id, a
+    source and a size keep their own words; of rows alike in every column each gets its own share. Texts are
+    exchanged once, when the narrow rows of the mix meet them."""
+    added = ["source_size", "target", "taken", "finish"]
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    won = mix(docs, max_repeats, [F.xxhash64(*cols)]).filter("taken > 0").select("doc_id", "carry_0", *added)
+    rows = docs.select("doc_id", F.xxhash64(*cols).alias("carry_0"), F.struct(*cols).alias("kept")).dropDuplicates(["doc_id", "carry_0"])
+    out = rows.alias("r").join(won.alias("w"), F.expr("r.doc_id <=> w.doc_id and r.carry_0 = w.carry_0"))
+    return out.select(*[F.col("r.kept").getField(c).alias(c) for c in docs.columns if c not in added], *[f"w.{c}" for c in added])
 
 
 SQL = r"""

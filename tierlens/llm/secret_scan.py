@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_SEP, cut, row_key
+from .common import apart, cut, row_key, SPACE_SEP
 
 DICTIONARY, FINDINGS, TREES, DEPTH, SEED = 5_000, 20_000, 24, 6, 7
 MASK = "[SECRET]"
@@ -149,6 +149,7 @@ def report(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     return out.select("doc_id", F.coalesce("n_candidates", zero).alias("n_candidates"), F.coalesce("n_secrets", zero).alias("n_secrets"), F.coalesce("max_score", F.lit(0.0)).alias("max_score"), F.coalesce("secrets_sha256", F.lit("")).alias("secrets_sha256"))
 
 
+@apart("doc_id", "text", "n_chars")
 def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """Every document, its secrets replaced by ``MASK``; n_chars, where it is a column, follows the text."""
     secrets = find(docs, labelled).filter("score >= 0.5").groupBy(F.col("doc_id").alias("_d"), F.col("rk").alias("_k")).agg(F.sort_array(F.collect_set(F.struct(F.length("core").alias("n"), "core")), asc=False).alias("_s"))
