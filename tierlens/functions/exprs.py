@@ -157,8 +157,9 @@ def pct_text(x: ColumnOrName, decimals: int = 0) -> Column:
 
 
 def fixed_text(x: ColumnOrName, decimals: int = 3) -> Column:
-    """Fixed-decimal display without thousands separators."""
-    return F.format_string(f"%.{decimals}f", col(x))
+    """Fixed-decimal display without thousands separators, halves to the even digit (N7); missing stays missing."""
+    x = col(x)
+    return F.when(x.isNotNull(), F.format_string(f"%.{decimals}f", F.bround(x, decimals)))
 
 
 def lookup(key: ColumnOrName, mapping: dict, default: str = "Unknown") -> Column:

@@ -17,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import dbl
+from ..functions.exprs import dbl, fixed_text
+from .stats import attach
 
 
 def confusion_counts(pred: DataFrame, keys: Sequence[str] = ("model",), label: str = "label",
@@ -27,6 +28,28 @@ def confusion_counts(pred: DataFrame, keys: Sequence[str] = ("model",), label: s
         .agg(F.count(F.lit(1)).alias("n"))
 
 
+def confusion_grid(counts: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
+    """E1 as the dense matrix: a cell for each pair of the classes that any group has as label or prediction, 0
+    where no row falls. The classes come as one scalar subquery; groups x classes^2 rows."""
+    k = list(keys)
+    seen = counts.select(F.explode(F.array("label", "prediction")).alias("c")).agg(F.array_sort(F.collect_set("c")).alias("classes"))
+    groups = attach(counts.select(*k).distinct(), seen)
+    cells = groups.select(*k, F.explode("classes").alias("label"), "classes").select(*k, "label", F.explode("classes").alias("prediction"))
+    zero = cells.withColumn("n", F.lit(0).cast("long"))
+    return zero.unionByName(counts.select(*k, "label", "prediction", F.col("n").cast("long").alias("n"))) \
+        .groupBy(*k, "label", "prediction").agg(F.sum("n").alias("n"))
+
+
+def report_lines(report: DataFrame, model: str = "model") -> DataFrame:
+    """The class report as text lines (model, ordinal, line): classes by id, then the summary rows."""
+    place = F.when(F.col("row_label") == "accuracy", 1).when(F.col("row_label") == "macro avg", 2) \
+        .when(F.col("row_label") == "weighted avg", 3).otherwise(0)
+    cell = lambda c: F.lpad(F.coalesce(fixed_text(c, 3), F.lit("")), 10, " ")
+    line = F.concat(F.lpad("row_label", 13, " "), cell("precision"), cell("recall"), cell("f1"), F.lpad(F.col("support").cast("string"), 9, " "))
+    at = place * 1_000_000 + F.coalesce(F.expr("try_cast(row_label AS INT)"), F.lit(0))
+    return report.select(model, at.cast("int").alias("ordinal"), line.alias("line"))
+
+
 def per_class(counts: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
     """Per group and class: tp, support, predicted, precision, recall, f1.
 

@@ -579,3 +579,105 @@ def scenario_rescore(spark, sf):
     return out.select("entity_key", "scenario", "prediction", r6("confidence").alias("confidence"),
                       F.col("class_change").cast("int").alias("class_change"),
                       r6("confidence_delta").alias("confidence_delta"))
+
+
+# ---------------------------------------------------------------------------
+# The flow from a raw file, stage by stage, and the stored evaluation
+# ---------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from ..session import stage_path  # noqa: E402
+from ..sources import tables as tb  # noqa: E402
+from . import flow  # noqa: E402
+from .store import MetricStore, StageStore  # noqa: E402
+
+
+def raw_file(spark, sf) -> str:
+    """Fixture R written as raw CSV files (S4), every field quoted."""
+    path = stage_path(spark, f"raw-{uuid.uuid4().hex}")
+    tb.write_raw_csv(fx.raw_customer_text(spark, sf), path)
+    return path
+
+
+def flow_stages(spark, sf) -> dict:
+    """The data stages over the raw file, each read back from its committed table."""
+    store = StageStore(spark, stage_path(spark, f"flow-{uuid.uuid4().hex}"))
+    return flow.data_stages(spark, raw_file(spark, sf), cp.RAW_PRESET, store)
+
+
+@query("flow_raw")
+def flow_raw(spark, sf):
+    """The raw file read back as text: missing tokens are null, nothing is parsed yet."""
+    raw = tb.read_raw_csv(spark, raw_file(spark, sf))
+    return raw.select("entity_key", *[F.col(f"`{c}`").isNull().cast("int").alias(n) for c, n in (("Balance ($)", "no_balance"), ("Avg Discount", "no_discount"), ("Segment Name", "no_segment"))],
+                      F.col("`Balance ($)`").alias("balance_text"), F.col("Notes").alias("notes"))
+
+
+@query("flow_cleaned")
+def flow_cleaned(spark, sf):
+    """O2, S3: the cleaned stage: totals row and unused column gone, names and numbers clean, flags set."""
+    d = flow_stages(spark, sf)["cleaned"]
+    return d.select(F.col("entity_key").cast("long").alias("entity_key"), "segment", F.col("nation_key").cast("int").alias("nation_key"),
+                    *[r6(c).alias(c) for c in cp.TOP_VALUE_COLUMNS], "balance_is_missing", "avg_discount_is_missing")
+
+
+@query("flow_model_ready")
+def flow_model_ready(spark, sf):
+    """O1 before the models: labelled, leaky columns dropped (P11), read from its stage."""
+    d = flow_stages(spark, sf)["model_ready"]
+    num, _ = flow.model_columns(d, cp.RAW_PRESET)
+    return d.select(F.col("entity_key").cast("long").alias("entity_key"), "segment", *[r6(c).alias(c) for c in num], "stability_label")
+
+
+@query("flow_feature_types")
+def flow_feature_types(spark, sf):
+    """The model's columns by type, with how many rows have each (S9: the names come as in-memory rows)."""
+    d = flow_stages(spark, sf)["model_ready"]
+    num, cat = flow.model_columns(d, cp.RAW_PRESET)
+    kinds = tb.from_rows(spark, [(c, "numeric") for c in num] + [(c, "categorical") for c in cat], "column_name string, kind string")
+    filled = d.agg(*[F.count(c).alias(c) for c in num + cat]).unpivot([], num + cat, "column_name", "n_values")
+    return kinds.join(F.broadcast(filled), "column_name")
+
+
+@query("flow_split")
+def flow_split(spark, sf):
+    """W3 and P12 on the flow's labels, with the decision whether to stratify."""
+    d = flow_stages(spark, sf)["split"]
+    return d.select(F.col("entity_key").cast("long").alias("entity_key"), "stability_label", "split")
+
+
+def stored_evaluation(spark, sf) -> MetricStore:
+    """E10 for three runs over the predictions; the first is written twice and keeps its last rows only."""
+    store = MetricStore(spark, stage_path(spark, f"evaluation-{uuid.uuid4().hex}"))
+    pr = fx.predictions(spark, sf)
+    flow.evaluate(pr.where("fold <> 0"), PR_MODELS, store, "all")
+    flow.evaluate(pr, PR_MODELS, store, "all")
+    flow.evaluate(pr.where("fold = 0"), PR_MODELS, store, "fold 0")
+    return store
+
+
+@query("stored_confusion_grid")
+def stored_confusion_grid(spark, sf):
+    g = stored_evaluation(spark, sf).table("confusion_grid")
+    return g.select("run", "model", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"), "n")
+
+
+@query("stored_metrics")
+def stored_metrics(spark, sf):
+    return _r6_all(stored_evaluation(spark, sf).table("metrics").drop("registration"))
+
+
+@query("stored_class_report")
+def stored_class_report(spark, sf):
+    return _r6_all(stored_evaluation(spark, sf).table("class_report"))
+
+
+@query("stored_summary")
+def stored_summary(spark, sf):
+    return _r6_all(stored_evaluation(spark, sf).table("summary"))
+
+
+@query("report_text")
+def report_text(spark, sf):
+    """The lines of the text report of all rows, read back from the text."""
+    return stored_evaluation(spark, sf).text("report_text", "all").select(F.col("value").alias("line"))

@@ -468,3 +468,53 @@ SELECT event_id, event_type, {r6('value')} AS value, {r6('z_value')} AS z_value,
        CASE WHEN z_value > 1.0::DOUBLE THEN 'high' WHEN z_value > -1.0::DOUBLE THEN 'normal' ELSE 'low' END AS level
 FROM z
 """
+
+# ---------------------------------------------------------------------------
+# The flow from a raw file and the stored evaluation
+# ---------------------------------------------------------------------------
+ORACLE["flow_raw"] = f"""WITH {C}
+SELECT CAST(entity_key AS VARCHAR) AS entity_key, CAST(balance IS NULL AS INTEGER) AS no_balance,
+       CAST(avg_discount IS NULL AS INTEGER) AS no_discount, CAST(segment IS NULL AS INTEGER) AS no_segment,
+       CASE WHEN balance < 0 THEN '$-' ELSE '$' END || format('{{:,.2f}}', abs(balance)) || ' ' AS balance_text, 'none, so far' AS notes FROM c
+UNION ALL SELECT 'TOTAL', 1, 1, 1, NULL, NULL
+"""
+ORACLE["flow_cleaned"] = (f"WITH {C}\nSELECT entity_key, segment, nation_key, " + ", ".join(f"{r6(c)} AS {c}" for c in _cp.TOP_VALUE_COLUMNS)
+                          + ", CAST(balance IS NULL AS INTEGER) AS balance_is_missing, CAST(avg_discount IS NULL AS INTEGER) AS avg_discount_is_missing FROM c")
+_READY = ["nation_key", "balance_is_missing", "avg_discount_is_missing"]
+_FLAGGED = f"""{FEAT},
+ready AS (SELECT *, CAST(balance IS NULL AS INTEGER) AS balance_is_missing, CAST(avg_discount IS NULL AS INTEGER) AS avg_discount_is_missing FROM fl)"""
+ORACLE["flow_model_ready"] = (f"WITH {_FLAGGED}\nSELECT entity_key, segment, " + ", ".join(f"{r6(f'CAST({c} AS DOUBLE)')} AS {c}" for c in _READY + _KEPT_DOUBLE) + ", stability_label FROM ready")
+ORACLE["flow_feature_types"] = f"WITH {_FLAGGED}\n" + " UNION ALL ".join(
+    [f"SELECT '{c}' AS column_name, 'numeric' AS kind, count({c}) AS n_values FROM ready" for c in _READY + _KEPT_DOUBLE]
+    + ["SELECT 'segment', 'categorical', count(segment) FROM ready"])
+ORACLE["flow_split"] = f"""WITH {FEAT},
+per_class AS (SELECT stability_label AS label, count(*) AS n, sum(count(*)) OVER () AS total FROM fl GROUP BY stability_label),
+wanted AS (SELECT *, CAST(ceil(total / 5) AS BIGINT) AS want FROM per_class),
+whole AS (SELECT *, (want * n) // total AS base, (want * n) % total AS rest FROM wanted),
+quotas AS (SELECT label, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, label DESC) <= want - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM whole),
+ranked AS (SELECT entity_key, stability_label, row_number() OVER (PARTITION BY stability_label ORDER BY md5('42:' || CAST(entity_key AS VARCHAR)), CAST(entity_key AS VARCHAR)) AS rk FROM fl)
+SELECT entity_key, stability_label, CASE WHEN rk <= quota THEN 'test' ELSE 'train' END AS split FROM ranked JOIN quotas ON label = stability_label
+"""
+
+
+def _runs(of: str) -> str:
+    """The rows of a metric query for the stored runs: over all predictions, and over those of fold 0."""
+    every = of
+    first = of.replace(f"pr AS ({PREDICTIONS_SQL})", f"pr AS (SELECT * FROM ({PREDICTIONS_SQL}) WHERE fold = 0)")
+    assert first != every
+    return f"SELECT 'all' AS run, * FROM ({every}) UNION ALL SELECT 'fold 0', * FROM ({first})"
+
+
+ORACLE["stored_metrics"] = _runs(ORACLE["model_metrics"])
+ORACLE["stored_class_report"] = _runs(ORACLE["class_report"])
+ORACLE["stored_summary"] = _runs(ORACLE["model_summary"])
+ORACLE["stored_confusion_grid"] = _runs(f"""WITH {_metrics_cte('model')},
+k AS (SELECT label AS c FROM cnt UNION SELECT prediction FROM cnt)
+SELECT m.model, CAST(a.c AS INTEGER) AS label, CAST(b.c AS INTEGER) AS prediction, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n
+FROM (SELECT DISTINCT model FROM cnt) m CROSS JOIN k a CROSS JOIN k b
+LEFT JOIN cnt ON cnt.model = m.model AND cnt.label = a.c AND cnt.prediction = b.c""")
+_CELL = lambda c: f"lpad(coalesce(printf('%.3f', round_even({c}, 3)), ''), 10, ' ')"
+# unrounded: the report rounds once, to what it shows
+ORACLE["report_text"] = f"""WITH r AS ({ORACLE['class_report'].replace(', 6) + 0.0::DOUBLE)', ', 15) + 0.0::DOUBLE)')})
+SELECT lpad(row_label, 13, ' ') || {_CELL('precision')} || {_CELL('recall')} || {_CELL('f1')} || lpad(CAST(support AS VARCHAR), 9, ' ') AS line FROM r
+"""

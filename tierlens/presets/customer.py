@@ -9,6 +9,8 @@ score positives -> (balance, revenue, avg_order), negatives ->
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ..specs import Abs, BandSpec, Gap, IndicatorPreset, Log1p, RangeSpec, Ratio, RuleSpec, ZIndex, ZTerm
 
 Z = ZTerm.of
@@ -82,6 +84,18 @@ PRESET = IndicatorPreset(
     extras={"score_derived_inputs": ()},
 )
 
+# The raw form of the same indicators (fixture R).
+RAW_PRESET = replace(
+    PRESET,
+    drop_columns=("Notes", "Phone"),
+    exclude_keys=("TOTAL",),
+    numeric_groups=(("currency", ("Balance ($)", "Revenue, total ($)")), ("comma", ("Orders", "Items"))),
+    rename_map=(("Segment Name", "segment"), ("Nation\nKey", "nation_key"), ("Balance ($)", "balance"), ("Orders", "n_orders"),
+                ("Items", "n_items"), ("Revenue, total ($)", "revenue"), ("Avg-Order", "avg_order"), ("Avg.Tax", "avg_tax"),
+                ("Avg Discount", "avg_discount"), ("Returned Share", "returned_share")),
+    missing_flag_columns=("balance", "avg_discount"),
+)
+
 # Columns the models see (no key, no leaky columns, no label).
 MODEL_FEATURES = ("n_orders", "n_items", "avg_tax", "revenue_per_order", "items_per_order", "log_orders")
 MODEL_CATEGORICAL = ("segment",)

@@ -110,6 +110,23 @@ FROM customer LEFT JOIN per_cust ON c_custkey = o_custkey
 """
 
 
+def raw_customer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture R: fixture C as the text of a raw indicator file, with a header that holds a line break, currency and
+    comma numbers, blanks and NA tokens for missing values, a column without use and a row of totals. Every number
+    in the text reads back as the very double of fixture C."""
+    c = customer_indicators(spark, sf_dir)
+    money2 = lambda x: F.concat(F.lit("$"), F.format_number(F.col(x), 2), F.lit(" "))
+    plain = lambda x: F.col(x).cast("string")
+    rows = c.select(
+        plain("entity_key").alias("entity_key"), F.col("segment").alias("Segment Name"), plain("nation_key").alias("Nation\nKey"),
+        F.coalesce(money2("balance"), F.lit("")).alias("Balance ($)"), F.format_number("n_orders", 0).alias("Orders"),
+        F.format_number("n_items", 0).alias("Items"), money2("revenue").alias("Revenue, total ($)"), plain("avg_order").alias("Avg-Order"),
+        plain("avg_tax").alias("Avg.Tax"), F.coalesce(plain("avg_discount"), F.lit("N/A")).alias("Avg Discount"),
+        plain("returned_share").alias("Returned Share"), F.lit("none, so far").alias("Notes"))
+    total = spark.range(1).select(F.lit("TOTAL").alias("entity_key"), *[F.lit(None).cast("string").alias(x) for x in rows.columns[1:]])
+    return rows.unionByName(total)
+
+
 def dirty_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture D: customer indicators rendered as messy text.
 

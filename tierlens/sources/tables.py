@@ -35,7 +35,7 @@ def read_raw_csv(spark: SparkSession, path: str, header_names: Sequence[str] | N
     """
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    if not fs.globStatus(jvm_path):  # a file, a folder or a glob of them
         raise FileNotFoundError(path)
     reader = (spark.read.option("header", True).option("multiLine", True)
               .option("escape", '"').option("quote", '"'))
@@ -53,6 +53,20 @@ def read_raw_csv(spark: SparkSession, path: str, header_names: Sequence[str] | N
     return df
 
 
+RAW_NAME = "raw_name"
+
+
+def parquet_names(df: DataFrame) -> DataFrame:
+    """Columns as column_0, column_1, ..., each with its raw name in its metadata: raw headers hold characters that
+    a table's column names may not."""
+    return df.select(*[F.col(f"`{c}`").alias(f"column_{i}", metadata={RAW_NAME: c}) for i, c in enumerate(df.columns)])
+
+
+def original_names(df: DataFrame) -> DataFrame:
+    """The raw names back from the metadata."""
+    return df.toDF(*[f.metadata.get(RAW_NAME, f.name) for f in df.schema.fields])
+
+
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> str:
     """Write a stage checkpoint or a report table (overwrite)."""
     w = df.write.mode("overwrite")
@@ -65,6 +79,13 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     return path
 
 
+def write_raw_csv(df: DataFrame, path: str) -> str:
+    """Raw text files with a header, every field quoted, quotes doubled."""
+    df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
 def read_stage(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None) -> DataFrame:
     """Re-read a stage checkpoint or a report table."""
