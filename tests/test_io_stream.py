@@ -84,3 +84,70 @@ def test_stream_matches_batch(spark):
     # a second run over the same checkpoint processes nothing new and keeps the sink whole
     again = ss.score_events(spark, SF_SMALL, run_dir)
     assert again.count() == len(want)
+
+
+VERSIONS = "entity_key long, version long, changed_at timestamp, x double"
+
+
+def _feed(spark, path, batches):
+    """One file for each batch, in order."""
+    for rows in batches:
+        spark.createDataFrame(rows, VERSIONS).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(VERSIONS).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _at(hour):
+    from datetime import datetime, timedelta
+    return datetime(2024, 1, 1) + timedelta(hours=hour)
+
+
+def test_stream_keeps_newest_versions(spark, tmp_path):
+    """Replays, overtaken and late rows are dropped; a restart goes on with the kept state."""
+    path, run = str(tmp_path / "in"), str(tmp_path / "run")
+    double = lambda b: b.withColumn("y", F.col("x") * 2)
+    feed = _feed(spark, path, [
+        [(1, 1, _at(0), 1.0), (2, 1, _at(0), 1.0), (3, 5, _at(0), 5.0), (4, None, _at(0), 9.0)],
+        [(1, 1, _at(0), 7.0), (1, 2, _at(1), 2.0), (1, 3, _at(1), 3.0), (3, 4, _at(1), 4.0)],  # replay, two new, overtaken
+    ])
+    got = {r.entity_key: (r.version, r.y) for r in ss.rescore_stream(feed, double, run).collect()}
+    assert got == {1: (3, 6.0), 2: (1, 2.0), 3: (5, 10.0)}
+    sunk = spark.read.parquet(f"{run}/sink")
+    assert sunk.count() == 4  # no replay and no overtaken version was scored
+    feed = _feed(spark, path, [[(1, 3, _at(1), 8.0), (2, 2, _at(30), 4.0)], [(6, 1, _at(31), 1.0)], [(5, 1, _at(1), 1.0)]])
+    got = {r.entity_key: (r.version, r.y) for r in ss.rescore_stream(feed, double, run).collect()}
+    assert got == {1: (3, 6.0), 2: (2, 8.0), 3: (5, 10.0), 6: (1, 2.0)}  # 5 came after the watermark
+
+
+def test_stream_state_ends_with_the_watermark(spark, tmp_path):
+    """Once the watermark has passed a key's newest row by the delay its state is gone: an equal version is scored
+    again, and the newest over the sink still holds."""
+    path, run = str(tmp_path / "in"), str(tmp_path / "run")
+    same = lambda b: b
+    feed = _feed(spark, path, [[(1, 3, _at(0), 1.0)], [(2, 1, _at(50), 1.0)], [(2, 2, _at(60), 1.0)], [(1, 2, _at(61), 9.0)]])
+    got = {r.entity_key: (r.version, r.x) for r in ss.rescore_stream(feed, same, run).collect()}
+    assert got == {1: (3, 1.0), 2: (2, 1.0)}
+    assert spark.read.parquet(f"{run}/sink").where("entity_key = 1").count() == 2
+
+
+def test_stream_time_out_raises(spark, tmp_path):
+    import time
+    feed = _feed(spark, str(tmp_path / "in"), [[(1, 1, _at(0), 1.0)]])
+
+    def slow(batch):
+        time.sleep(30)
+        return batch
+    with pytest.raises(TimeoutError):
+        ss.run_scoring_stream(feed, slow, str(tmp_path / "sink"), str(tmp_path / "c"), timeout_s=2)
+
+
+def test_event_scorer_of_no_values(spark):
+    stats = spark.createDataFrame([(None, None)], "mean double, sd double")
+    ev = spark.createDataFrame([(1, None, 1, "a", None, None)], ss.EVENT_SCHEMA)
+    assert ss.event_value_scorer(stats)(ev).count() == 1
+
+
+def test_empty_source_leaves_an_empty_sink(spark, tmp_path):
+    spark.createDataFrame([], VERSIONS).write.parquet(str(tmp_path / "in"))
+    feed = spark.readStream.schema(VERSIONS).parquet(str(tmp_path / "in"))
+    out = ss.rescore_stream(feed, lambda b: b.withColumn("y", F.col("x")), str(tmp_path / "run"))
+    assert out.columns == ["entity_key", "version", "changed_at", "x", "y"] and out.count() == 0

@@ -7,6 +7,7 @@ outputs are rounded to 6 decimals (half-up in both engines).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from ..operators import labels as lab
 from ..functions.exprs import dbl
 from ..presets import country
 from ..presets import customer as cp
-from ..session import cut_lineage
+from ..session import cut_lineage, stage_path
 from ..sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,7 +277,7 @@ def stratified_split_counts(spark, sf):
 @query("stratified_folds")
 def stratified_folds(spark, sf):
     s = sm.stratified_split(customer_by_segment(spark, sf), "label", "entity_key", 0.2, seed=42)
-    train = s.where(F.col("split") == "train").drop("split")
+    train = cut_lineage(s.where(F.col("split") == "train").drop("split"), "train")
     return sm.stratified_folds(train, "label", "entity_key", k=5, seed=43)
 
 
@@ -568,6 +569,42 @@ def stream_score(spark, sf):
     return out.select("event_id", "event_type", r6("value").alias("value"), r6("z_value").alias("z_value"), "level")
 
 
+def customer_versions(spark, sf) -> str:
+    """A feed of customer versions in three files: every customer, then changed ones (every third), then a replay of
+    first versions (every fifth), as a folder to stream from."""
+    c = customer_table(spark, sf)
+    hour = lambda n: F.timestamp_seconds(F.lit(1_700_000_000 + 3600 * n))
+    first = c.withColumns({"version": F.lit(1).cast("long"), "changed_at": hour(0)})
+    second = first.where("entity_key % 3 = 0").withColumns({"balance": F.col("balance") + dbl(1000.0), "revenue": F.col("revenue") * dbl(1.5), "version": F.lit(2).cast("long"), "changed_at": hour(1)})
+    at = stage_path(spark, f"versions-{uuid.uuid4().hex}")
+    for part in (first, second, first.where("entity_key % 5 = 0")):
+        part.coalesce(1).write.mode("append").parquet(at)
+    return at
+
+
+def tier_scorer(spark, sf):
+    """Scoring with saved statistics: the z-score statistics and tier cuts fitted on the customers, written and read
+    back, give each micro-batch its composite score and risk tier."""
+    c = customer_table(spark, sf)
+    scored, stats = feat.engineer(c, [cp.SCORE])
+    stats = cut_lineage(stats, "saved_stats")
+    cuts = cut_lineage(lab.tier_cuts(lab.drop_unscored(scored, "stability_score"), "stability_score"), "saved_cuts")
+
+    def score(batch):
+        s = feat.engineer(batch, [cp.SCORE], stats=stats)[0]
+        return lab.tier_labels(s, "stability_score", "stability_label", cuts=cuts, materialize=False)
+    return score
+
+
+@query("stream_tiers")
+def stream_tiers(spark, sf):
+    """M9 with saved statistics and state: the newest version of each customer, scored on the stream."""
+    at = customer_versions(spark, sf)
+    feed = spark.readStream.schema(spark.read.parquet(at).schema).option("maxFilesPerTrigger", 1).parquet(at)
+    out = ss.rescore_stream(feed, tier_scorer(spark, sf), stage_path(spark, f"tiers-{uuid.uuid4().hex}"))
+    return out.select("entity_key", F.col("version").cast("int").alias("version"), r6("stability_score").alias("stability_score"), "stability_label")
+
+
 @query("scenario_rescore")
 def scenario_rescore(spark, sf):
     """M7 with the model: what-if scenarios on all customers, rescored
@@ -584,9 +621,6 @@ def scenario_rescore(spark, sf):
 # ---------------------------------------------------------------------------
 # The flow from a raw file, stage by stage, and the stored evaluation
 # ---------------------------------------------------------------------------
-import uuid  # noqa: E402
-
-from ..session import stage_path  # noqa: E402
 from ..sources import tables as tb  # noqa: E402
 from . import flow  # noqa: E402
 from .store import MetricStore, StageStore  # noqa: E402

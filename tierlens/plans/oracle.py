@@ -518,3 +518,15 @@ _CELL = lambda c: f"lpad(coalesce(printf('%.3f', round_even({c}, 3)), ''), 10, '
 ORACLE["report_text"] = f"""WITH r AS ({ORACLE['class_report'].replace(', 6) + 0.0::DOUBLE)', ', 15) + 0.0::DOUBLE)')})
 SELECT lpad(row_label, 13, ' ') || {_CELL('precision')} || {_CELL('recall')} || {_CELL('f1')} || lpad(CAST(support AS VARCHAR), 9, ' ') AS line FROM r
 """
+
+ORACLE["stream_tiers"] = f"""WITH {SCORED},
+t AS (SELECT quantile_cont(score, 1/3) AS t1, quantile_cont(score, 2/3) AS t2 FROM sc WHERE score IS NOT NULL),
+newest AS (SELECT entity_key, CASE WHEN entity_key % 3 = 0 THEN 2 ELSE 1 END AS version,
+             CASE WHEN entity_key % 3 = 0 THEN balance + 1000 ELSE balance END AS balance,
+             CASE WHEN entity_key % 3 = 0 THEN revenue * 1.5 ELSE revenue END AS revenue, avg_order, returned_share, avg_discount FROM c),
+n AS (SELECT entity_key, version, {rowmean([z('balance'), z('revenue'), z('avg_order')])} - {rowmean([z('returned_share'), z('avg_discount')])} AS score
+      FROM newest CROSS JOIN s)
+SELECT entity_key, CAST(version AS INTEGER) AS version, {r6('score')} AS stability_score,
+       CAST(CASE WHEN score <= t1 THEN 2 WHEN score <= t2 THEN 1 ELSE 0 END AS INTEGER) AS stability_label
+FROM n CROSS JOIN t WHERE score IS NOT NULL
+"""

@@ -1,11 +1,11 @@
 """Rescoring on each new input (M9) with Structured Streaming.
 
-The scoring itself is stateless, so each micro-batch is scored by the same
-batch function used offline (``foreachBatch``): fitted statistics and
-models are static, every operator works (a OneVsRest model rejects a
-streaming input but scores a micro-batch fine), and each batch is written
-idempotently under its batch id, so a replay after a failure overwrites
-instead of duplicating (exactly-once output on a replayable source).
+Scoring is stateless, so each micro-batch is scored by the same batch
+function used offline (``foreachBatch``) from saved statistics or a saved
+model, and each batch is written idempotently under its batch id, so a
+replay after a failure overwrites instead of duplicating (exactly-once
+output on a replayable source). What is stateful is which rows to score:
+``newest_versions`` keeps the last version of each row and drops replays.
 """
 
 from __future__ import annotations
@@ -39,28 +39,82 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str, schema: T.Str
 def run_scoring_stream(stream: DataFrame, score_batch: Callable[[DataFrame], DataFrame], sink: str,
                        checkpoint: str, available_now: bool = True, timeout_s: float | None = None) -> str:
     """Run ``score_batch`` on every micro-batch and append the result to a
-    Parquet sink, one idempotent sub-folder per batch id."""
+    Parquet sink, one idempotent sub-folder per batch id. A source without
+    rows leaves an empty sink of the right schema. A query that does not end
+    in ``timeout_s`` seconds is stopped and raises: no partial sink passes
+    for a whole one."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         score_batch(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     q = w.start()
-    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    ended = q.awaitTermination(timeout_s) if timeout_s else (q.awaitTermination(), True)[1]
+    if not ended:
+        q.stop()
+        raise TimeoutError(f"the scoring stream did not end in {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    spark = stream.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        score_batch(spark.createDataFrame([], stream.schema)).write.parquet(f"{sink}/batch_id=-1")
     return sink
 
 
+def newest_versions(stream: DataFrame, key: str, version: str, ts: str, delay: str) -> DataFrame:
+    """Rows that bring a higher ``version`` of their ``key`` than any before: the state store keeps one number for
+    each key. Replayed and overtaken versions are dropped, also across restarts, as the state is checkpointed with
+    the stream. Rows later than the watermark are dropped, and a key's state ends when the watermark has passed its
+    newest row by ``delay``, so the state holds the keys of that span only. Null keys are one key; a null version
+    is none."""
+    out_schema = stream.schema
+    wait_ms = int(stream.sparkSession.range(1).select(F.expr(f"unix_millis(timestamp_seconds(0) + INTERVAL {delay})")).first()[0])
+
+    def keep(_, frames, state):
+        import pandas as pd
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames))
+        rows = rows[rows[version].notna()]
+        seen = state.get[0] if state.exists else None
+        if seen is not None:
+            rows = rows[rows[version] > seen]
+        if len(rows):
+            newest = rows.sort_values([version, ts], kind="stable").tail(1)
+            state.update((int(newest[version].iloc[0]),))
+            # the row's time is not before the watermark, so neither is the time-out
+            end = int(pd.Timestamp(newest[ts].iloc[0]).timestamp() * 1000) + wait_ms
+            state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+            yield newest
+        elif seen is not None:
+            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + wait_ms + 1)
+
+    return stream.withWatermark(ts, delay).groupBy(key).applyInPandasWithState(keep, out_schema, "version long", "append", "EventTimeTimeout")
+
+
+def rescore_stream(versions: DataFrame, score_batch: Callable[[DataFrame], DataFrame], run_dir: str, key: str = "entity_key",
+                   version: str = "version", ts: str = "changed_at", delay: str = "2 hours", timeout_s: float | None = None) -> DataFrame:
+    """M9: score every new version of every row with a saved model or saved statistics, and give the newest score of
+    each row. A key's versions are compared once more over the sink, since a key whose state has ended may return."""
+    sink = run_scoring_stream(newest_versions(versions, key, version, ts, delay), score_batch, f"{run_dir}/sink", f"{run_dir}/checkpoint", timeout_s=timeout_s)
+    scored = versions.sparkSession.read.parquet(sink).drop("batch_id")
+    rest = [c for c in scored.columns if c != key]
+    best = scored.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(version, ts)).alias("r"))
+    return best.select(key, "r.*")
+
+
 def event_value_scorer(stats: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Batch scoring function for events: z-score of ``value`` against the
     static fitted stats (one row, read once) and a level band."""
     row = stats.first()
-    mean, sd = float(row["mean"]), (None if row["sd"] is None else float(row["sd"]))
+    mean, sd = (None if row[k] is None else float(row[k]) for k in ("mean", "sd"))
 
     def score(batch: DataFrame) -> DataFrame:
         sd_col = F.lit(sd).cast("double")
-        z = zscore(F.col("value"), F.lit(mean), sd_col)
+        z = zscore(F.col("value"), F.lit(mean).cast("double"), sd_col)
         return batch.select("event_id", "event_type", "value", z.alias("z_value")) \
             .withColumn("level", band("z_value", ((1.0, "high"), (-1.0, "normal")), "low"))
     return score
