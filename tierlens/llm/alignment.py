@@ -40,6 +40,8 @@ BLOCK_ENTRIES = 4_000_000
 #: Parts of texts whose tokens a task keeps from one slice to the next: a bound on memory.
 KEPT = 400_000
 PLACE_BITS = 16
+#: Fixed value: how a byte-level pre-tokenizer cuts a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_of_char() -> dict[str, int]:
@@ -84,15 +86,34 @@ class Pair:
         free = pre.get("use_regex", True) and not pre.get("add_prefix_space", True) and not any(across.search(p) for p in self.b.ids)
         # a part begins with white space that follows none and whose first character is a blank or a line break
         self.parts = re.compile(r"\s*\S+(?:[^\S \n]\s*\S+)*(?:[^\S \n]\s*\Z)?|\s+" if free else r".+", re.DOTALL)
+        self.free = free
+        self.words = [f"{i}{c}" for i in range(max(len(self.a_bytes), len(self.b_bytes))) for c in ",|,;"]
+        self.encode_a = self._by_ranks(spec) if free else None
+        self.encode_a = self.encode_a or (lambda t: self.a.encode(t, add_special_tokens=False).ids)
         self.reset()
 
+    def _by_ranks(self, spec: dict):
+        """A's merges as ranks, which tiktoken applies several times as fast, if the order of its merges is that of
+        its ids; else None."""
+        char, vocab = byte_of_char(), spec["model"]["vocab"]
+        made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in spec["model"]["merges"]]
+        if made != sorted(made) or len(set(made)) != len(made) or not all(c in vocab for c in char):
+            return None
+        import tiktoken
+
+        ranks = {bytes(char[c] for c in t): i for t, i in vocab.items() if all(c in char for c in t)}
+        if len(ranks) != len(made) + len(char):
+            return None
+        return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def reset(self) -> None:
         import numpy as np
 
         self.index: dict[str, int] = {}
         self.groups: list[str | None] = []  # each group ends in a semicolon; None: the tokens do not give the part's bytes
-        self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
-        self.codes = np.zeros(0, np.int64)  # the linked pairs of all parts, one part after the other
+        self.nothing = np.zeros((1, 4), np.int64)
+        self.sizes = [self.nothing[:0]]  # tokens of A, of B, groups, links of each part
+        self.codes = [np.zeros(0, np.int64)]  # the linked pairs of all parts, one part after the other
 
     def learn(self, parts: set[str]) -> None:
         """Have tokens, groups and links of these parts known."""
@@ -104,43 +125,55 @@ class Pair:
             self._add(new)
 
     def _add(self, new: list[str]) -> None:
-        """Tokens, groups and links of new parts, computed over all of them at once."""
+        """Tokens, groups and links of new parts. Parts that end in no white space stand one after the other as in a
+        text, so they are encoded together; the others, and those that hold B's mark, one by one."""
+        alone = [p for p in new if not self.free or p[-1].isspace() or MARK in p]
+        if alone:
+            odd = set(alone)
+            new = [p for p in new if p not in odd]
+        if new and not self._add_together(new):
+            alone += new
+        for p in alone:
+            if not self._add_together([p]):
+                self.index[p] = len(self.groups)
+                self.groups.append(None)
+                self.sizes.append(self.nothing)
+
+    def _add_together(self, new: list[str]) -> bool:
+        """False if the tokens do not give the parts' bytes, or if one reaches across parts."""
         import numpy as np
 
-        marked = [self.b.parts.findall(p.replace(" ", MARK)) for p in new]
-        self.b.learn(set(chain.from_iterable(marked)))
-        ids = self.b.table.__getitem__
-        b_ids = [b"".join(map(ids, pieces)) for pieces in marked]
-        a_ids = [enc.ids for enc in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        flat_a, flat_b = list(chain.from_iterable(a_ids)), np.frombuffer(b"".join(b_ids), np.int32)
-        a_parts, b_parts, raw = [self.a_bytes[i] for i in flat_a], [self.b_bytes[i] for i in flat_b.tolist()], "".join(new).encode()
+        text = "".join(new)
+        flat_a = self.encode_a(text)
+        pieces = self.b.parts.findall(text.replace(" ", MARK))
+        self.b.learn(set(pieces))
+        flat_b = np.frombuffer(b"".join(map(self.b.table.__getitem__, pieces)), np.int32)
+        a_parts, b_parts, raw = [self.a_bytes[i] for i in flat_a], [self.b_bytes[i] for i in flat_b.tolist()], text.encode()
         if not b"".join(a_parts) == b"".join(b_parts) == raw:
-            bad = {p for p, x, y in zip(new, a_ids, b_ids, strict=True) if not b"".join([self.a_bytes[i] for i in x]) == b"".join([self.b_bytes[i] for i in memoryview(y).cast("i")]) == p.encode()}
-            for p in sorted(bad):
-                self.index[p] = len(self.groups)
-                self.groups.append(None)
-            self.sizes = np.concatenate([self.sizes, np.zeros((len(bad), 4), np.int64)])
-            good = [p for p in new if p not in bad]
-            return self._add(good) if good else None
+            return False
         flat_a = np.array(flat_a, np.int64)
         a_ends, b_ends = np.cumsum([len(x) for x in a_parts]), np.cumsum([len(x) for x in b_parts])
         ends = np.union1d(a_ends, b_ends)  # a link stands before each end
         codes = flat_a[np.searchsorted(a_ends, ends)] << self.b_bits | flat_b[np.searchsorted(b_ends, ends)]
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)  # a group stands before each cut
-        many = np.array([(len(x), len(y) // 4) for x, y in zip(a_ids, b_ids, strict=True)])
-        last = np.cumsum(many, 0)
-        at = a_ends[last[:, 0] - 1]
-        sizes = np.c_[many, np.diff(np.searchsorted(cuts, at, "right"), prepend=0), np.diff(np.searchsorted(ends, at, "right"), prepend=0)]
+        at = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)) if len(raw) == len(text) else [len(p.encode()) for p in new])
+        if not np.array_equal(cuts[np.minimum(np.searchsorted(cuts, at), len(cuts) - 1)], at):
+            return False
+        counted = lambda x: np.diff(np.searchsorted(x, at, "right"), prepend=0)
+        sizes = np.c_[counted(a_ends), counted(b_ends), counted(cuts), counted(ends)]
+        last = np.cumsum(sizes[:, :2], 0)
         # the digest's words: ids in the order of groups, those of A before those of B, each with what follows it
         group = np.r_[np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)]
         order = np.lexsort((np.arange(len(group)) >= len(a_ends), group))
         ends_group = np.r_[np.isin(a_ends, cuts, assume_unique=True), np.isin(b_ends, cuts, assume_unique=True)]
         kind = np.r_[np.zeros(len(a_ends), np.int64), np.full(len(b_ends), 2)] + ends_group
-        words = [f"{i}{',|,;'[k]}" for i, k in zip(np.r_[flat_a, flat_b][order].tolist(), kind[order].tolist(), strict=True)]
+        words = [self.words[i] for i in (np.r_[flat_a, flat_b][order] * 4 + kind[order]).tolist()]
         stops = last.sum(1).tolist()
         self.index.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
         self.groups += ["".join(words[x:y]) for x, y in zip([0, *stops], stops, strict=False)]
-        self.sizes, self.codes = np.concatenate([self.sizes, sizes]), np.concatenate([self.codes, codes])
+        self.sizes.append(sizes)
+        self.codes.append(codes)
+        return True
 
     def align(self, texts: Sequence[str | None]):
         """Per text: sizes (a row of tokens of A, of B, groups and links), groups text, and the linked pairs as
@@ -150,7 +183,8 @@ class Pair:
         split = [self.parts.findall(" " + t) if t else [] for t in texts]
         self.learn(set(chain.from_iterable(split)))
         sizes, out = np.zeros((len(texts), 4), np.int64), []
-        known, groups = self.sizes, self.groups
+        self.sizes, self.codes = [np.concatenate(self.sizes)], [np.concatenate(self.codes)]
+        known, groups = self.sizes[0], self.groups
         uses: list = []
         for row, parts in enumerate(split):
             at = list(map(self.index.__getitem__, parts))
@@ -169,7 +203,7 @@ class Pair:
         first = np.concatenate([[0], np.cumsum(many)])[u]
         n = many[u]
         place = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return sizes, out, self.codes[place], np.repeat(row, n), np.repeat(c, n)
+        return sizes, out, self.codes[0][place], np.repeat(row, n), np.repeat(c, n)
 
 
 def summed(keys, counts):
