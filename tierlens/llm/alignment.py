@@ -38,7 +38,7 @@ BLOCK_DOCS = 65_536
 #: (pair, document) entries of an open block before it is closed: a bound on a task's memory.
 BLOCK_ENTRIES = 4_000_000
 #: Parts of texts whose tokens a task keeps from one slice to the next: a bound on memory.
-KEPT = 400_000
+KEPT = 300_000
 PLACE_BITS = 16
 #: Fixed value: how a byte-level pre-tokenizer cuts a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
