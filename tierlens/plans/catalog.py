@@ -715,3 +715,19 @@ def stored_summary(spark, sf):
 def report_text(spark, sf):
     """The lines of the text report of all rows, read back from the text."""
     return stored_evaluation(spark, sf).text("report_text", "all").select(F.col("value").alias("line"))
+
+
+# ---------------------------------------------------------------------------
+# Boosted trees with a softmax loss at the reference's full size
+# ---------------------------------------------------------------------------
+from ..operators import boosting as bo  # noqa: E402
+
+
+@query("boosted_softmax")
+def boosted_softmax(spark, sf):
+    """300 rounds of depth 4 on the train customers; every customer is scored."""
+    everyone = ml.prepare(cut_lineage(model_frame(spark, sf)), "stability_label")
+    train = cut_lineage(ml.with_weights(everyone.where("split = 'train'")))
+    model = bo.fit_softmax(train, cp.MODEL_FEATURES, cp.MODEL_CATEGORICAL, key="entity_key")
+    s = cm.score(everyone, model)
+    return s.select("entity_key", "split", F.col("label").cast("int").alias("label"), "prediction", r6("confidence").alias("confidence"))

@@ -78,3 +78,9 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir for written stage tables."""
     return checkpoint_dir(spark).rstrip("/") + "/" + name
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a stage table that no later step reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
