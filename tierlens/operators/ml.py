@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import dbl
 from . import metrics as mt
+from .encoding import value_counts
 from .sampling import sample_weights, stratified_folds
 from .stats import attach, quantile_row, stat_name
 from ..session import cut_lineage
@@ -68,14 +69,10 @@ def apply_impute_scale(df: DataFrame, stats: DataFrame, cols: Sequence[str]) ->
 def fit_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent non-null value per column (ties: smallest value).
 
-    Values are counted per (column, value) with partial aggregation, then
-    ``min_by(value, (-count, value))`` per column - an aggregate, so no
-    column's values are ever sorted in one task.
+    Each column is counted on its own, then ``min_by(value, (-count, value))`` per column - an aggregate, so no
+    row is multiplied and no column's values are ever sorted in one task.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                                for c in cols]))
-    long = df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = value_counts(df, cols)
     return counts.groupBy("column_name").agg(
         F.min_by("value", F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("mode"),
         F.max("n").alias("mode_count"))
@@ -87,7 +84,8 @@ MAX_CATEGORIES = 10_000
 def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
     """Sorted distinct categories of a column: the one-hot vocabulary, read
     by the driver (as StringIndexer does). At most ``max_categories + 1``
-    rows are ever fetched; a larger vocabulary is an error, not a silent cut."""
+    rows are ever fetched; a larger vocabulary is an error, not a silent cut: it makes
+    too many plain columns, and ``encoding`` encodes it as ordinals, slots or sparse vectors."""
     got = [r[0] for r in df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).distinct()
            .limit(max_categories + 1).collect()]
     if len(got) > max_categories:

@@ -717,6 +717,35 @@ def report_text(spark, sf):
     return stored_evaluation(spark, sf).text("report_text", "all").select(F.col("value").alias("line"))
 
 
+# ---------------------------------------------------------------------------
+# Encoding of columns with any number of categories
+# ---------------------------------------------------------------------------
+from ..operators import encoding as en  # noqa: E402
+
+LOT_COLUMNS = ("lot", "returned")
+
+
+def lots(spark, sf):
+    """Line items with a column of many categories (the lot) and one of few, each with missing values."""
+    li = table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"])
+    lot = F.concat_ws("-", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"))
+    missing = F.col("l_orderkey") % 9 == 0
+    return li.select("l_orderkey", "l_linenumber", F.when(~missing, lot).alias("lot"), F.when(~missing, F.col("l_returnflag")).alias("returned"))
+
+
+@query("category_ordinals")
+def category_ordinals(spark, sf):
+    return en.fit_dictionary(lots(spark, sf), LOT_COLUMNS)
+
+
+@query("sparse_one_hot")
+def sparse_one_hot(spark, sf):
+    """Modes fill missing values; the places of a row's ones over both columns."""
+    d = cut_lineage(lots(spark, sf))
+    out = en.slots(d, en.fit_dictionary(d, LOT_COLUMNS), LOT_COLUMNS, fill=True)
+    return out.select("l_orderkey", "l_linenumber", F.concat_ws(",", F.transform("slots", lambda s: s.cast("string"))).alias("slots"))
+
+
 # ---------------------------------------------------------------------------
 # Boosted trees with a softmax loss at the reference's full size
 # ---------------------------------------------------------------------------

@@ -530,3 +530,19 @@ SELECT entity_key, CAST(version AS INTEGER) AS version, {r6('score')} AS stabili
        CAST(CASE WHEN score <= t1 THEN 2 WHEN score <= t2 THEN 1 ELSE 0 END AS INTEGER) AS stability_label
 FROM n CROSS JOIN t WHERE score IS NOT NULL
 """
+
+_LOTS = """v AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 9 <> 0 THEN
+    concat_ws('-', l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER)) END AS lot,
+  CASE WHEN l_orderkey % 9 <> 0 THEN l_returnflag END AS returned FROM lineitem),
+g AS (SELECT 'lot' AS column_name, lot AS category, count(*) AS n FROM v WHERE lot IS NOT NULL GROUP BY lot
+  UNION ALL SELECT 'returned', returned, count(*) FROM v WHERE returned IS NOT NULL GROUP BY returned),
+d AS (SELECT column_name, category, row_number() OVER (PARTITION BY column_name ORDER BY category) - 1 AS ordinal, n FROM g)"""
+
+ORACLE["category_ordinals"] = f"WITH {_LOTS} SELECT column_name, category, ordinal, n FROM d"
+
+ORACLE["sparse_one_hot"] = f"""WITH {_LOTS},
+m AS (SELECT column_name, arg_min(category, (-n, category)) AS mode, count(*) AS size FROM d GROUP BY column_name),
+f AS (SELECT l_orderkey, l_linenumber, coalesce(lot, (SELECT mode FROM m WHERE column_name = 'lot')) AS lot,
+      coalesce(returned, (SELECT mode FROM m WHERE column_name = 'returned')) AS returned FROM v)
+SELECT l_orderkey, l_linenumber, a.ordinal || ',' || (b.ordinal + (SELECT size FROM m WHERE column_name = 'lot')) AS slots
+FROM f JOIN d a ON a.column_name = 'lot' AND a.category = lot JOIN d b ON b.column_name = 'returned' AND b.category = returned"""
