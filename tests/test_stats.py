@@ -102,3 +102,49 @@ def test_median_fill_and_population_scale(spark):
 def test_mode_ties_to_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), ("c",)], "p string")
     assert ml.fit_modes(df, ["p"]).first()["mode"] == "a"
+
+
+@pytest.mark.parametrize("xs", [
+    10.0 ** _RNG.uniform(-300, 300, size=20_000) * _RNG.choice([-1.0, 1.0], size=20_000),
+    _RNG.normal(size=60_000),
+    np.concatenate([np.full(9_000, 7.25), _RNG.normal(size=9_000) * 1e-9 + 7.25, np.full(9_000, 7.26)]),
+    np.concatenate([np.full(300, -np.inf), _RNG.normal(size=500), np.full(900, np.inf)]),
+    _RNG.integers(0, 6, size=5_000).astype(float),
+    [3.0], [1.0, 2.0], [-0.0, 0.0, 5e-324],
+], ids=["log_uniform", "normal", "hot", "infinite", "integers", "one", "two", "zeros"])
+def test_two_scans_give_exact_quantiles(spark, xs, monkeypatch):
+    df, vals, probs = _df(spark, xs).repartition(4), sorted(float(x) for x in xs), [0.0, 0.25, 1 / 3, 0.5, 0.9, 1.0]
+    searched = []
+    whole = S.order_statistics
+
+    def seen(d, targets, **k):
+        searched.append("n" in d.columns)
+        return whole(d, targets, **k)
+    monkeypatch.setattr(S, "order_statistics", seen)
+    got = S.quantile_values(df, ["x"], probs)["x"]
+    for q, v in zip(probs, got):
+        lo, hi, f = S._ranks(len(vals), q)
+        assert v == vals[lo] or v == S._interp(vals[lo], vals[hi], f) or (np.isnan(v) and np.isinf([vals[lo], vals[hi]]).any())
+    assert all(searched)  # only the small table was searched
+
+
+def test_ranks_outside_their_brackets_are_still_exact(spark, monkeypatch):
+    """A sketch with no accuracy at all: the whole table is searched."""
+    vals = sorted(float(v) for v in _RNG.normal(size=3_000))
+    df, made = _df(spark, vals), S._profile
+
+    def wrong(d, cols, shares=(), accuracy=10000):
+        p = made(d, cols, shares, accuracy)
+        for c in p.values():
+            c["at"] = [vals[-2]] * len(shares)
+        return p
+    monkeypatch.setattr(S, "_profile", wrong)
+    assert S.quantile_values(df, ["x"], [0.5])["x"] == [S._interp(vals[1499], vals[1500], 0.5)]
+
+
+def test_brackets_keep_few_rows(spark):
+    """Rows inside no bracket make one group a task, also where whole columns repeat few values."""
+    df = spark.range(40_000).selectExpr("id % 3 AS a", "id % 5 AS b", "CAST(id * 7919 % 40009 AS DOUBLE) AS c")
+    at = S._profile(df, ["a", "b", "c"], [0.4998, 0.5002])
+    assert at["a"]["at"] == [1.0, 1.0] and at["c"]["at"][1] - at["c"]["at"][0] < 80
+    assert S.quantile_values(df, ["a", "b", "c"], [0.5])["a"] == [1.0]
