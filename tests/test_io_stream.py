@@ -151,3 +151,16 @@ def test_empty_source_leaves_an_empty_sink(spark, tmp_path):
     feed = spark.readStream.schema(VERSIONS).parquet(str(tmp_path / "in"))
     out = ss.rescore_stream(feed, lambda b: b.withColumn("y", F.col("x")), str(tmp_path / "run"))
     assert out.columns == ["entity_key", "version", "changed_at", "x", "y"] and out.count() == 0
+
+
+def test_stream_state_calls_do_not_grow_with_the_keys(spark, tmp_path):
+    """A call of Python serves a group of keys; keys of one group, null among them, stay apart, and long keys and
+    values stay exact beside nulls."""
+    big, schema = 2**53 + 1, "k long, version int, changed_at timestamp, n long"
+    for rows in ([(big, 1, _at(0), big), (big - 1, 2, _at(0), None), (None, 1, _at(0), big)], [(big, 2, _at(1), None), (big - 1, 1, _at(1), 5), (None, 1, _at(1), 7)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    newest = ss.newest_versions(feed, "k", "version", "changed_at", "2 hours", key_groups=1)
+    sink = ss.run_scoring_stream(newest, lambda b: b, str(tmp_path / "sink"), str(tmp_path / "check"))
+    got = {tuple(r) for r in spark.read.parquet(sink).select("k", "version", "n").collect()}
+    assert got == {(big, 1, big), (big - 1, 2, None), (None, 1, big), (big, 2, None)}

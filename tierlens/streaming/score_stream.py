@@ -5,7 +5,7 @@ function used offline (``foreachBatch``) from saved statistics or a saved
 model, and each batch is written idempotently under its batch id, so a
 replay after a failure overwrites instead of duplicating (exactly-once
 output on a replayable source). What is stateful is which rows to score:
-``newest_versions`` keeps the last version of each row and drops replays.
+``newest_versions`` keeps the last version of each row, in groups of keys, and drops replays.
 """
 
 from __future__ import annotations
@@ -62,37 +62,71 @@ def run_scoring_stream(stream: DataFrame, score_batch: Callable[[DataFrame], Dat
     return sink
 
 
-def newest_versions(stream: DataFrame, key: str, version: str, ts: str, delay: str) -> DataFrame:
-    """Rows that bring a higher ``version`` of their ``key`` than any before: the state store keeps one number for
-    each key. Replayed and overtaken versions are dropped, also across restarts, as the state is checkpointed with
-    the stream. Rows later than the watermark are dropped, and a key's state ends when the watermark has passed its
-    newest row by ``delay``, so the state holds the keys of that span only. Null keys are one key; a null version
-    is none."""
-    out_schema = stream.schema
-    wait_ms = int(stream.sparkSession.range(1).select(F.expr(f"unix_millis(timestamp_seconds(0) + INTERVAL {delay})")).first()[0])
+#: State groups of ``newest_versions``: a group keeps the versions of its share of the keys, so that a micro-batch
+#: costs at most so many calls of Python however many keys it brings.
+KEY_GROUPS = 1024
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def newest_versions(stream: DataFrame, key: str, version: str, ts: str, delay: str, key_groups: int = KEY_GROUPS) -> DataFrame:
+    """Rows that bring a higher ``version`` of their ``key`` than any before: the state store keeps two numbers for
+    each key, in ``key_groups`` groups of keys. Replayed and overtaken versions are dropped, also across restarts, as
+    the state is checkpointed with the stream. Rows later than the watermark are dropped, and a key's state ends when
+    the watermark has passed its newest row by ``delay``, so the state holds the keys of that span only. Null keys are
+    one key; a null version is none."""
+    fields, spark = stream.schema.fields, stream.sparkSession
+    wait_ms = int(spark.range(1).select(F.expr(f"unix_millis(timestamp_seconds(0) + INTERVAL {delay})")).first()[0])
+    at = {f.name: f"c{i}" for i, f in enumerate(fields)}
+    cols, k, v, t = [F.col(f"`{f.name}`") for f in fields], at[key], at[version], at[ts]
+    # whole numbers stay whole in pandas only without nulls: those travel as flags
+    whole = [i for i, f in enumerate(fields) if isinstance(f.dataType, _WHOLE)]
+    rows = stream.select(*[(F.coalesce(c, F.lit(0).cast(f.dataType)) if i in whole else c).alias(f"c{i}") for i, (c, f) in enumerate(zip(cols, fields, strict=True))],
+                         *[cols[i].isNull().alias(f"n{i}") for i in whole], cols[fields.index(stream.schema[key])].cast("string").alias("id"),
+                         cols[fields.index(stream.schema[version])].isNotNull().alias("valid"))
+    ms = f"unix_millis({t})" if isinstance(stream.schema[ts].dataType, T.TimestampType) else f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {t})"
+    rows = rows.withColumn("ms", F.coalesce(F.expr(ms), F.lit(0).cast("long")))
+    kept = [f"c{i}" for i in range(len(fields))] + [f"n{i}" for i in whole]
+    schema = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in kept])
 
     def keep(_, frames, state):
+        import pickle
+
         import pandas as pd
 
-        if state.hasTimedOut:
+        known = pickle.loads(bytes(state.get[0])) if state.exists else {}  # id: version, end of its state
+        now, out = state.getCurrentWatermarkMs(), None
+        came = set()
+        if not state.hasTimedOut:
+            held = None
+            for pdf in frames:  # only the newest row of each key is held
+                came.update(pdf["id"])
+                pdf = pdf[pdf["valid"]]
+                held = pdf if held is None else pd.concat([held, pdf])
+                held = held.sort_values([v, t], kind="stable").drop_duplicates("id", keep="last")
+            newer = []
+            for i, number, time in zip(held["id"].tolist(), held[v].tolist(), held["ms"].tolist(), strict=True):
+                seen = known.get(i)
+                newer.append(seen is None or number > seen[0])
+                if newer[-1]:
+                    # the row's time is not before the watermark, so neither is the time-out
+                    known[i] = int(number), max(time + wait_ms, now + 1)
+                    came.discard(i)
+            for i in came.intersection(known):
+                known[i] = known[i][0], now + wait_ms + 1
+            came.update(held["id"])
+            out = held.loc[newer, kept]
+        known = {i: s for i, s in known.items() if s[1] >= now or i in came}
+        if known:
+            state.update((pickle.dumps(known),))
+            state.setTimeoutTimestamp(max(min(s[1] for s in known.values()), now + 1))
+        elif state.exists:
             state.remove()
-            return
-        rows = pd.concat(list(frames))
-        rows = rows[rows[version].notna()]
-        seen = state.get[0] if state.exists else None
-        if seen is not None:
-            rows = rows[rows[version] > seen]
-        if len(rows):
-            newest = rows.sort_values([version, ts], kind="stable").tail(1)
-            state.update((int(newest[version].iloc[0]),))
-            # the row's time is not before the watermark, so neither is the time-out
-            end = int(pd.Timestamp(newest[ts].iloc[0]).timestamp() * 1000) + wait_ms
-            state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
-            yield newest
-        elif seen is not None:
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + wait_ms + 1)
-
-    return stream.withWatermark(ts, delay).groupBy(key).applyInPandasWithState(keep, out_schema, "version long", "append", "EventTimeTimeout")
+        if out is not None and len(out):
+            yield out
+
+    rows = rows.withColumn("key_group", F.pmod(F.xxhash64("id"), F.lit(key_groups)))
+    newest = rows.withWatermark(t, delay).groupBy("key_group").applyInPandasWithState(keep, schema, "known binary", "append", "EventTimeTimeout")
+    return newest.select(*[(F.when(~F.col(f"n{i}"), F.col(f"c{i}")) if i in whole else F.col(f"c{i}")).alias(f.name) for i, f in enumerate(fields)])
 
 
 def rescore_stream(versions: DataFrame, score_batch: Callable[[DataFrame], DataFrame], run_dir: str, key: str = "entity_key",
