@@ -68,6 +68,17 @@ def test_near_dedup_matches_brute_force(spark, monkeypatch, small):
         assert near_dedup.link(docs.limit(0)).count() == 0
 
 
+def test_alike_but_unlinked_texts_give_no_row_a_pair(spark, monkeypatch):
+    """A group whose pairs all pass the estimate and none of which is linked: no table grows with its square."""
+    made, m, cut = [], 150, near_dedup.cut
+    monkeypatch.setattr(near_dedup, "cut", lambda df, name: made.append(cut(df, name)) or made[-1])
+    monkeypatch.setattr(near_dedup, "drop_tables", lambda *frames: None)
+    texts = [" ".join([*(f"w{i}" for i in range(203)), *(f"x{d}y{i}" for i in range(35))]) for d in range(m)]
+    got = near_dedup.link(frame(spark, [*texts, texts[0] + " end"])).collect()
+    assert sorted(r["component_id"] for r in got) == [0, *range(m)]
+    assert max(t.count() for t in made) <= near_dedup.TREES * (m + 1)
+
+
 def test_keep_one_with_null_and_repeated_ids(spark):
     """One row of every component stays, whatever its ids; the least id first, null ids last."""
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
