@@ -68,6 +68,13 @@ def test_near_dedup_matches_brute_force(spark, monkeypatch, small):
         assert near_dedup.link(docs.limit(0)).count() == 0
 
 
+def test_toxicity_weights_join_alike_at_any_size(spark):
+    """Few rows take the plan of many, so that shuffles grow in proportion to the documents."""
+    rows = spark.createDataFrame([(f"a b c d e{i % 3}", i % 2) for i in range(20)], "text string, toxic int")
+    plan = toxicity.weighted(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "merge" in plan.split("Join LeftOuter", 1)[1].splitlines()[0]
+
+
 def test_alike_but_unlinked_texts_give_no_row_a_pair(spark, monkeypatch):
     """A group whose pairs all pass the estimate and none of which is linked: no table grows with its square."""
     made, m, cut = [], 150, near_dedup.cut

@@ -167,14 +167,16 @@ def weighted(texts: DataFrame) -> DataFrame:
     each = rows.select("row", "toxic", F.posexplode("values").alias("k", "value"))
     groups = each.groupBy("toxic", "k", "value").agg(F.count("*").alias("m")).filter("m > 1")
     less = each.join(groups, ["toxic", "k", "value"]).groupBy("row").agg(F.sum(F.floor(F.lit(UNIT // 4) * (F.col("m") - 1) / F.col("m"))).alias("less"))
-    return rows.join(less, "row", "left").select("text", "toxic", (F.lit(UNIT) - F.coalesce("less", F.lit(0))).cast("long").alias("weight"))
+    # a merge join at any size, for both sides grow with the documents
+    return rows.join(less.hint("merge"), "row", "left").select("text", "toxic", (F.lit(UNIT) - F.coalesce("less", F.lit(0))).cast("long").alias("weight"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, vocab: int = VOCAB) -> Model:
     """The model, from labelled documents outside fold 2."""
     spark = docs.sparkSession
     y = labels.filter("toxic is not null").select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(fold(F.col("doc_id")) != 2)
-    train = cut(weighted(docs.select("doc_id", "text").join(y, "doc_id")), "train")
+    # a merge join at any size, for both sides grow with the documents
+    train = cut(weighted(docs.select("doc_id", "text").join(y.hint("merge"), "doc_id")), "train")
     kinds = {r["toxic"]: r["n"] / UNIT for r in train.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
     pos, neg = kinds.get(1, 0), kinds.get(0, 0)
     if not pos or not neg:
