@@ -122,6 +122,17 @@ def test_next_ids_and_edits(spark):
     assert fingerprints.with_edits(frame(spark, texts).limit(0)).count() == 0
 
 
+def test_terms_of_text_and_edit_are_drawn_once(spark):
+    """A word that text and edit hold equally often is one row; empty texts keep their null terms."""
+    df = spark.createDataFrame([(0, "a b b c", "b a b d"), (1, "a a", "a"), (2, "", "")], "k int, x string, y string")
+    df = df.select("k", *[fingerprints.word_hashes(F.col(c)).alias(c) for c in "xy"])
+    terms = fingerprints.shared_terms(F.col("x"), fingerprints.run_starts(F.col("x")), F.col("y"), fingerprints.run_starts(F.col("y")))
+    rows = df.select("k", F.inline(fingerprints.term_rows(terms))).collect()
+    got = [sorted((r["e"], r["w"]) for r in rows if r["k"] == k and r["h"] is not None) for k in range(3)]
+    assert got == [[(0, 1), (1, 1), (2, 1), (2, 2)], [(0, 2), (1, 1)], []]
+    assert sorted((r["k"], r["e"]) for r in rows if r["h"] is None) == [(k, e) for k in range(3) for e in (0, 1)]
+
+
 def test_collisions_follow_generalised_jaccard(spark):
     rng = random.Random(2)
     a = [f"t{i}" for i in range(150) for _ in range(rng.randrange(1, 6))]

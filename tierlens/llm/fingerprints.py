@@ -80,13 +80,42 @@ def _sample(h: Column, lnw: Column, k: int) -> Column:
     return F.shiftleft(rank, 32).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def sample_terms(rows: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """From rows (keys, h, w) the signatures: keys and ``fp``, an array of ``samples`` longs below 2**32."""
+def shared_terms(hs: Column, at: Column, he: Column, ate: Column) -> Column:
+    """The terms of two texts as in ``weighted_terms``; a word that both hold equally often stands once, as e = 2.
+    Equal terms have equal candidates, so those of e = 2 need to be drawn but once."""
+    flat = lambda x, a, e: F.transform(a, lambda i, j: F.struct(F.get(x, i).alias("h"), (F.coalesce(F.get(a, j + 1), F.size(x)) - i).alias("w"), F.lit(e).alias("e")))
+    return F.sort_array(F.concat(flat(hs, at, 0), flat(he, ate, 1)))
+
+
+def term_rows(terms: Column) -> Column:
+    """array<struct<e, h, w>> of sorted ``shared_terms``, a null term of either text first."""
+    n = F.size(terms)
+    like = lambda x, y: (x["h"] == y["h"]) & (x["w"] == y["w"])
+    fresh = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ~like(F.get(terms, i), F.get(terms, i - 1)))
+    at = F.when(n > 0, fresh).otherwise(F.array().cast("array<int>"))
+    none = [F.struct(F.lit(e).alias("e"), F.lit(None).cast("long").alias("h"), F.lit(1).alias("w")) for e in (0, 1)]
+    both = lambda i: F.coalesce(like(F.get(terms, i), F.get(terms, i + 1)), F.lit(False))
+    return F.concat(F.array(*none), F.transform(at, lambda i: F.struct(F.when(both(i), F.lit(2)).otherwise(F.get(terms, i)["e"]).alias("e"), F.get(terms, i)["h"].alias("h"), F.get(terms, i)["w"].alias("w"))))
+
+
+def least_samples(rows: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """From rows (keys, h, w) the least candidates: keys, ``ms`` (array of ``samples`` longs) and ``copies``, the
+    number of null terms."""
     rows = rows.withColumn("lnw", F.ln(F.col("w").cast("double")))
     least = [F.min(_sample(F.col("h"), F.col("lnw"), k)).alias(f"m{k}") for k in range(samples)]
-    out = rows.groupBy(*keys).agg(*least)
+    out = rows.groupBy(*keys).agg(*least, F.sum(F.col("h").isNull().cast("long")).alias("copies"))
+    return out.select(*keys, F.array(*[F.col(f"m{k}") for k in range(samples)]).alias("ms"), "copies")
+
+
+def signature(ms: Column) -> Column:
+    """An array of longs below 2**32 from the least candidates; all ones where there was no term."""
     low = F.lit(0xFFFFFFFF)
-    return out.select(*keys, F.array(*[F.coalesce(F.col(f"m{k}").bitwiseAND(low), low) for k in range(samples)]).alias("fp"))
+    return F.transform(ms, lambda m: F.coalesce(m.bitwiseAND(low), low))
+
+
+def sample_terms(rows: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """From rows (keys, h, w) the signatures: keys and ``fp``, an array of ``samples`` longs below 2**32."""
+    return least_samples(rows, keys, samples).select(*keys, signature(F.col("ms")).alias("fp"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -106,15 +135,18 @@ def fingerprints(texts: DataFrame, samples: int = SAMPLES) -> DataFrame:
     return sample_terms(rows, ["doc_id", "rk"], samples)
 
 
-def with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """Per document its fingerprint, that of its edited text, and both likenesses (the contract of the query)."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    nxt = cut(next_ids(docs.select(F.col("doc_id").alias("id")).filter("id is not null").distinct()), "next")
-    half = docs.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
-    need = nxt.join(half, nxt["id"] == half["doc_id"]).select("id", "nxt", "half")
-    tails = docs.join(need, F.col("doc_id") == F.col("nxt")).select("id", F.expr("left(text, int(half))").alias("tail"))
-    tails = tails.groupBy("id").agg(F.min("tail").alias("tail"))
-    both = docs.join(tails, F.col("doc_id") == F.col("id"), "left")
+def packed(fp: Column) -> Column:
+    """A signature in ints, half as wide, for tables and shuffles."""
+    return F.transform(fp, lambda v: (v - F.lit(1 << 31)).cast("int"))
+
+
+def unpacked(fp: Column) -> Column:
+    return F.transform(fp, lambda v: v.cast("long") + F.lit(1 << 31))
+
+
+def _signed(both: DataFrame, samples: int) -> DataFrame:
+    """From rows (doc_id, text, tail) one row per distinct row: its keys, ``copies`` and packed signatures ``fp``,
+    ``fe`` of text and edited text."""
     n = F.length("text")
     halved = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - halved), F.coalesce(F.substr("tail", F.lit(1), halved), F.lit("")))
@@ -122,14 +154,28 @@ def with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     keys = ["doc_id", "rk", "n_chars", "edited_sha256"]
     both = both.select("doc_id", "rk", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), word_hashes(F.col("text")).alias("hs"), word_hashes(F.col("edited")).alias("he"))
     both = both.withColumns({"at": run_starts(F.col("hs")), "ate": run_starts(F.col("he"))})
-    terms = F.concat(weighted_terms(F.col("hs"), F.col("at"), 0), weighted_terms(F.col("he"), F.col("ate"), 1))
-    got = sample_terms(both.select(*keys, F.inline(terms)), [*keys, "e"], samples)
-    got = got.groupBy(*keys).agg(F.max(F.when(F.col("e") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("e") == 1, F.col("fp"))).alias("fe"))
-    got = cut(got, "signatures")
-    copies = docs.groupBy("doc_id", row_key(F.col("text")).alias("rk")).agg(F.count("*").alias("copies"))
-    first = got.groupBy(F.col("doc_id").alias("nxt")).agg(F.min(F.struct("rk", "fp"))["fp"].alias("fn"))
-    out = got.join(nxt, F.col("doc_id") == F.col("id"), "left").join(first, "nxt", "left")
-    many = copies.filter("copies > 1").select(F.col("doc_id").alias("_d"), F.col("rk").alias("_k"), "copies")
-    out = out.join(many, F.expr("doc_id <=> _d and rk = _k"), "left")
-    out = out.withColumn("_i", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("copies"), F.lit(1)))))
-    return out.select("doc_id", "n_chars", "edited_sha256", to_text(F.col("fp")).alias("fingerprint"), to_text(F.col("fe")).alias("edited_fingerprint"), likeness(F.col("fp"), F.col("fe")).alias("near_edited"), F.coalesce(likeness(F.col("fp"), F.col("fn")), F.lit(0.0)).alias("near_next"))
+    both = both.select(*keys, shared_terms(F.col("hs"), F.col("at"), F.col("he"), F.col("ate")).alias("terms"))
+    got = least_samples(both.select(*keys, F.inline(term_rows(F.col("terms")))), [*keys, "e"], samples)
+    got = got.groupBy(*keys).agg(*[F.max(F.when(F.col("e") == e, F.col("ms"))).alias(f"m{e}") for e in range(3)], F.max(F.when(F.col("e") == 0, F.col("copies"))).alias("copies"))
+    whole = lambda e: packed(signature(F.coalesce(F.zip_with(e, "m2", lambda x, y: F.least(x, y)), F.col(e))))
+    return got.select(*keys, "copies", whole("m0").alias("fp"), whole("m1").alias("fe"))
+
+
+def with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """Per document its fingerprint, that of its edited text, and both likenesses (the contract of the query).
+
+    The texts are shuffled once, by id, for both joins; only the tails move on to the ids that need them."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    nxt = cut(next_ids(docs.select(F.col("doc_id").alias("id")).filter("id is not null").distinct()), "next")
+    named = docs.filter("doc_id is not null")
+    half = named.groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 2)).alias("half"))
+    need = nxt.join(half, nxt["id"] == half["doc_id"]).select("id", "nxt", "half")
+    tails = named.join(need.hint("merge"), F.col("doc_id") == F.col("nxt")).select("id", F.expr("left(text, int(half))").alias("tail"))
+    tails = tails.groupBy("id").agg(F.min("tail").alias("tail"))
+    both = named.join(tails.hint("merge"), F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "tail")
+    nameless = docs.filter("doc_id is null").select("doc_id", "text", F.lit(None).cast("string").alias("tail"))
+    got = cut(_signed(both, samples).unionByName(_signed(nameless, samples)), "signatures")
+    first = got.groupBy("doc_id").agg(F.min(F.struct("rk", "fp"))["fp"].alias("fn")).join(nxt, F.col("doc_id") == F.col("nxt")).select("id", "fn")
+    out = got.join(first, F.col("doc_id") == F.col("id"), "left")
+    out = out.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return out.select("doc_id", "n_chars", "edited_sha256", to_text(unpacked(F.col("fp"))).alias("fingerprint"), to_text(unpacked(F.col("fe"))).alias("edited_fingerprint"), likeness(F.col("fp"), F.col("fe")).alias("near_edited"), F.coalesce(likeness(F.col("fp"), F.col("fn")), F.lit(0.0)).alias("near_next"))
