@@ -133,6 +133,21 @@ def test_terms_of_text_and_edit_are_drawn_once(spark):
     assert sorted((r["k"], r["e"]) for r in rows if r["h"] is None) == [(k, e) for k in range(3) for e in (0, 1)]
 
 
+@pytest.mark.parametrize("cap", [24.0, 1.5])
+def test_bounded_draws_give_all_candidates_results(spark, monkeypatch, cap):
+    """Fingerprints equal those of the general operator, which draws every candidate; a low limit leaves samples unsure,
+    which are drawn again."""
+    monkeypatch.setattr(fingerprints, "CAP", cap)
+    made, cut = {}, fingerprints.cut
+    monkeypatch.setattr(fingerprints, "cut", lambda df, name: made.setdefault(name, cut(df, name)) if name != "signatures" or name not in made else cut(df, name))
+    texts = [" ".join(f"w{j % (i + 3)}" for j in range(40 * i)) for i in range(6)] + [None, "", " ", "one"]
+    docs = spark.createDataFrame([(i if i != 3 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["fingerprint"] for r in fingerprints.with_edits(docs).collect()}
+    every = fingerprints.fingerprints(docs).select("doc_id", fingerprints.to_text(F.col("fp")).alias("t")).collect()
+    assert got == {r["doc_id"]: r["t"] for r in every} and len(got) == len(texts)
+    assert ("unsure" in made) == (cap < 24) and "sure" in made["signatures"].columns
+
+
 def test_collisions_follow_generalised_jaccard(spark):
     rng = random.Random(2)
     a = [f"t{i}" for i in range(150) for _ in range(rng.randrange(1, 6))]
