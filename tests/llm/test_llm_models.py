@@ -50,6 +50,18 @@ def brute_components(texts):
     return [len(s) for s in sets], comp
 
 
+def test_near_dedup_makes_sets_of_promising_documents_alone(spark, monkeypatch):
+    """Documents that meet by a shared passage but are not alike by their sketches get no full set."""
+    made, cut = {}, near_dedup.cut
+    monkeypatch.setattr(near_dedup, "cut", lambda df, name: made.update({name: cut(df, name)}) or made[name])
+    monkeypatch.setattr(near_dedup, "drop_tables", lambda *frames: None)
+    passage = [f"p{j}" for j in range(60)]
+    texts = [" ".join(passage + [f"d{i}w{j}" for j in range(60)]) for i in range(30)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.link(frame(spark, [*texts, texts[7] + " end"])).collect()}
+    assert got == {i: 7 if i == 30 else i for i in range(31)}
+    assert made["live"].select("id").distinct().count() > 20 and {r["id"] for r in made["sets"].collect()} == {7, 30}
+
+
 @pytest.mark.parametrize("small", [1024, 4])
 def test_near_dedup_matches_brute_force(spark, monkeypatch, small):
     """With nodes of four the tree branches, and blocks and leaders are used."""

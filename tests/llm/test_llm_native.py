@@ -139,7 +139,7 @@ def test_bounded_draws_give_all_candidates_results(spark, monkeypatch, cap):
     which are drawn again."""
     monkeypatch.setattr(fingerprints, "CAP", cap)
     made, cut = {}, fingerprints.cut
-    monkeypatch.setattr(fingerprints, "cut", lambda df, name: made.setdefault(name, cut(df, name)) if name != "signatures" or name not in made else cut(df, name))
+    monkeypatch.setattr(fingerprints, "cut", lambda df, name: made.update({name: cut(df, name)}) or made[name])
     texts = [" ".join(f"w{j % (i + 3)}" for j in range(40 * i)) for i in range(6)] + [None, "", " ", "one"]
     docs = spark.createDataFrame([(i if i != 3 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r["doc_id"]: r["fingerprint"] for r in fingerprints.with_edits(docs).collect()}
