@@ -62,6 +62,18 @@ def test_sentencepiece_heap_and_rows_agree(monkeypatch):
         assert [x.tolist() for x in bpe.encode(every)] == bpe.sp.encode(every)
 
 
+def test_sentencepiece_finds_parts_without_the_pattern(monkeypatch):
+    """Texts without spaces in a row are split plainly, and ids stay the library's."""
+    with open(PIECE, "rb") as f:
+        bpe = piece_bpe.PieceBPE(f.read())
+    every = [t for t in texts() if t]
+    plain = [t for t in every if "  " not in t and piece_bpe.MARK not in t and t[0] != " "]
+    want = [bpe.parts.findall(piece_bpe.MARK + t.replace(" ", piece_bpe.MARK)) for t in plain]
+    monkeypatch.setattr(bpe, "parts", None)
+    assert len(plain) > 20 and [[p for p in bpe.split(t) if p] for t in plain] == want
+    assert [x.tolist() for x in bpe.encode(plain)] == bpe.sp.encode(plain)
+
+
 def test_sentencepiece_refuses_other_models_and_takes_empty_tables(spark):
     with pytest.raises(ValueError):
         piece_bpe.PieceBPE(b"\x12\x02\x18\x01")  # a trainer spec of type 1, unigram

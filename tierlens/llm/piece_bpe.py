@@ -85,6 +85,7 @@ class PieceBPE:
         self.symbol = re.compile("|".join([*map(re.escape, own), "."]), re.DOTALL) if own else None
         across = re.compile(rf"[^{MARK}][{MARK}\n]|\n.", re.DOTALL)
         free = not any(across.search(p) for p in [*self.ids, *own])
+        self.free = free
         self.parts = re.compile(rf"{MARK}*[^{MARK}\n]+|\n|{MARK}+" if free else r".+", re.DOTALL)
         self.table: dict[str, bytes] = {}
         self._rules()
@@ -136,6 +137,11 @@ class PieceBPE:
         key, joined, cost = (np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.int64, np.int32, np.float32), strict=True))
         at = np.argsort(key)
         self.key, self.joined, self.joined_cost = key[at], joined[at], cost[at]
+        #: The number of each character: its piece, or -1.
+        self.char = np.full(0x110000, -1, np.int32)
+        for p, i in ids.items():
+            if len(p) == 1:
+                self.char[ord(p)] = i
 
     def _pairs(self, left, right):
         """(joined piece, cost) of pairs of symbols, cost infinite where they do not join."""
@@ -153,14 +159,26 @@ class PieceBPE:
         import numpy as np
 
         n, chars = len(self.pieces), {}
-        for c in set("".join(parts)):
-            chars[c] = self.ids[c] if c in self.ids else n + len(chars)
-        width = np.array([len(p) for p in parts])
-        sym = np.full((len(parts), int(width.max()) + 1), -1, np.int32)
-        sym[np.arange(sym.shape[1]) < width[:, None]] = [chars[c] for c in "".join(parts)]
+        codes = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
+        every = np.flatnonzero(np.bincount(codes))
+        ids = self.char[every]
+        other = np.flatnonzero(ids < 0)
+        ids[other] = n + np.arange(len(other))
+        chars = dict(zip(map(chr, every[other].tolist()), ids[other].tolist(), strict=True))
+        place = np.zeros(int(every[-1]) + 1, np.int32)
+        place[every] = np.arange(len(every))
+        width = np.fromiter(map(len, parts), np.int64, len(parts))
+        inside = np.arange(int(width.max()) + 1) < width[:, None]
+        at = np.full(inside.shape, len(every), np.int32)
+        at[inside] = place[codes]
+        ids = np.append(ids, np.int32(-1))
+        sym = ids[at]
         done = sym.copy()
         live, cols = np.arange(len(parts)), np.arange(sym.shape[1])
-        to, cost = self._pairs(sym[:, :-1], sym[:, 1:])
+        if len(ids) ** 2 < sym.size:  # few characters: each pair of them is looked up once
+            to, cost = (x[at[:, :-1], at[:, 1:]] for x in self._pairs(*np.broadcast_arrays(ids[:, None], ids)))
+        else:
+            to, cost = self._pairs(sym[:, :-1], sym[:, 1:])
         while len(live):
             best = cost.argmin(1)
             rows = np.arange(len(live))
@@ -179,7 +197,7 @@ class PieceBPE:
             h = best[left] - 1
             to[left, h], cost[left, h] = self._pairs(sym[left, h], sym[left, h + 1])
         # characters that are no piece leave as bytes
-        names = {v: np.array([self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown], np.int32).tobytes() for c, v in chars.items() if v >= n}
+        names = {v: np.array([self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown], np.int32).tobytes() for c, v in chars.items()}
         stay = done != -1
         ends = np.cumsum(stay.sum(1))
         flat, ends = done[stay], ends.tolist()
@@ -193,9 +211,10 @@ class PieceBPE:
         """Put parts that the table lacks into it."""
         import numpy as np
 
-        new = [p for p in parts if p not in self.table]
+        new = [p for p in parts if p and p not in self.table]
         if len(self.table) + len(new) > KEPT:
-            self.table, new = {}, list(parts)
+            self.table, new = {}, [p for p in parts if p]
+        self.table[""] = b""
         short = [] if self.symbol or self.unused else sorted((p for p in new if len(p) <= KEPT_CHARS), key=len)
         for a in range(0, len(short), 4096):
             some = short[a : a + 4096]
@@ -205,7 +224,10 @@ class PieceBPE:
                 self.table[p] = np.array(self.merge(p), np.int32).tobytes()
 
     def split(self, text: str) -> list[str]:
-        """The parts of a whole text, normalised."""
+        """The parts of a whole text, normalised. Without marks in a row every mark begins a part and every line break is
+        one, so that a plain split finds them; it may give empty parts, which have no ids."""
+        if self.plain and self.free and text and text[0] != " " and "  " not in text and MARK not in text:
+            return (MARK + text.replace(" ", " " + MARK).replace("\n", " \n ")).split(" ")
         norm = (MARK + text.replace(" ", MARK) if text else "") if self.plain else self.sp.normalize(text)
         return self.parts.findall(norm)
 
@@ -214,10 +236,9 @@ class PieceBPE:
         import numpy as np
 
         split = [self.split(t) for t in texts]
-        found = [list(map(self.table.get, parts)) for parts in split]
-        self.learn({p for parts, ids in zip(split, found, strict=True) if None in ids for p, x in zip(parts, ids, strict=True) if x is None})
+        self.learn(set().union(*split))
         get = self.table.__getitem__
-        out = [np.frombuffer(b"".join([get(p) if x is None else x for p, x in zip(parts, ids, strict=True)] if None in ids else ids), np.int32) for parts, ids in zip(split, found, strict=True)]
+        out = [np.frombuffer(b"".join(map(get, parts)), np.int32) for parts in split]
         if self.bytes:
             return out
         return [x[~((x == self.unknown) & (np.r_[-1, x[:-1]] == self.unknown))] if len(x) else x for x in out]  # unknown symbols in a row are one
