@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 from zlib import crc32
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -74,6 +75,22 @@ def test_sentencepiece_finds_parts_without_the_pattern(monkeypatch):
     assert [x.tolist() for x in bpe.encode(plain)] == bpe.sp.encode(plain)
 
 
+def test_sentencepiece_tasks_share_an_encoder_whose_rows_agree_with_the_heap(spark):
+    """A worker reads a model once; rows of all lengths, with ties and characters that are no piece, join as on a heap;
+    the library's ids are compared whole."""
+    with open(PIECE, "rb") as f:
+        model = f.read()
+    bpe = piece_bpe.encoder(model)
+    assert piece_bpe.encoder(bytes(bytearray(model))) is bpe
+    rng = random.Random(11)
+    for chars, most in (("▁thearion", 64), ("a", 64), ("▁aé中😀\x00\x1c9x", 9), ("▁theariondsb" + "".join(map(chr, range(0x4E00, 0x4F00))), 5)):
+        parts = ["".join(rng.choice(chars) for _ in range(rng.randrange(1, most + 1))) for _ in range(300)]
+        assert [np.frombuffer(x, np.int32).tolist() for x in bpe.merge_many(parts)] == [bpe.merge(p) for p in parts]
+    rows = spark.createDataFrame([(1, "the text"), (2, "the text\n"), (3, None)], "doc_id long, text string")
+    assert Counter((r["doc_id"], r["agrees"]) for r in piece_bpe.round_trip(rows, model).collect()) == {(1, True): 1, (2, True): 1, (3, True): 1}
+    assert [r["agrees"] for r in piece_bpe.round_trip(rows, model, check=False).collect()] == [None] * 3
+
+
 def test_sentencepiece_refuses_other_models_and_takes_empty_tables(spark):
     with pytest.raises(ValueError):
         piece_bpe.PieceBPE(b"\x12\x02\x18\x01")  # a trainer spec of type 1, unigram

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -155,7 +156,8 @@ class PieceBPE:
 
     def merge_many(self, parts: Sequence[str]) -> list[bytes]:
         """Packed ids of many short parts: their agendas run side by side, a row of pair costs each. Every round
-        takes the best pair of each row (leftmost among equals), joins it and renews its two neighbours."""
+        takes the best pair of each row (leftmost among equals), joins it and renews its two neighbours. A symbol
+        keeps the place of its first character, so a round touches three places of a row, not the whole row."""
         import numpy as np
 
         n, chars = len(self.pieces), {}
@@ -168,60 +170,62 @@ class PieceBPE:
         place = np.zeros(int(every[-1]) + 1, np.int32)
         place[every] = np.arange(len(every))
         width = np.fromiter(map(len, parts), np.int64, len(parts))
-        inside = np.arange(int(width.max()) + 1) < width[:, None]
+        size = int(width.max()) + 1  # the last place of each row stays empty
+        inside = np.arange(size) < width[:, None]
         at = np.full(inside.shape, len(every), np.int32)
         at[inside] = place[codes]
         ids = np.append(ids, np.int32(-1))
-        sym = ids[at]
-        done = sym.copy()
-        live, cols = np.arange(len(parts)), np.arange(sym.shape[1])
-        if len(ids) ** 2 < sym.size:  # few characters: each pair of them is looked up once
-            to, cost = (x[at[:, :-1], at[:, 1:]] for x in self._pairs(*np.broadcast_arrays(ids[:, None], ids)))
+        grid = ids[at]
+        if len(ids) ** 2 < grid.size:  # few characters: each pair of them is looked up once
+            found = (x[at[:, :-1], at[:, 1:]] for x in self._pairs(*np.broadcast_arrays(ids[:, None], ids)))
         else:
-            to, cost = self._pairs(sym[:, :-1], sym[:, 1:])
+            found = self._pairs(grid[:, :-1], grid[:, 1:])
+        to, cost = (np.empty(grid.shape, t) for t in (np.int32, np.float32))
+        to[:, :-1], cost[:, :-1] = found
+        cost[:, -1] = np.inf
+        costs, sym, to, cost = cost, grid.ravel(), to.ravel(), cost.ravel()
+        after, before = np.arange(1, len(sym) + 1), np.arange(-1, len(sym) - 1)
+        before[::size] += size  # nothing stands before the first place: the empty one
+        live = np.arange(len(parts))
         while len(live):
-            best = cost.argmin(1)
-            rows = np.arange(len(live))
-            more = cost[rows, best] < np.inf
-            done[live[~more], : sym.shape[1]] = sym[~more]
-            sym, to, cost, live, best = sym[more], to[more], cost[more], live[more], best[more]
-            rows = rows[: len(live)]
-            sym[rows, best] = to[rows, best]
-            past = cols[None, :-1] > best[:, None]  # what stands behind the join moves up
-            np.copyto(sym[:, :-1], sym[:, 1:].copy(), where=past)
-            past = past[:, :-1]
-            np.copyto(to[:, :-1], to[:, 1:].copy(), where=past)
-            np.copyto(cost[:, :-1], cost[:, 1:].copy(), where=past)
-            to[rows, best], cost[rows, best] = self._pairs(sym[rows, best], sym[rows, best + 1])
-            left = np.flatnonzero(best > 0)
-            h = best[left] - 1
-            to[left, h], cost[left, h] = self._pairs(sym[left, h], sym[left, h + 1])
+            best = live * size + costs[live].argmin(1)
+            more = cost[best] < np.inf
+            live, best = live[more], best[more]
+            right = after[best]
+            new, far, near = to[best], after[right], before[best]
+            sym[best], sym[right], cost[right] = new, -1, np.inf
+            after[best], before[far] = far, best
+            both = np.concatenate([near, best])
+            to[both], cost[both] = self._pairs(np.concatenate([sym[near], new]), np.concatenate([new, sym[far]]))
         # characters that are no piece leave as bytes
         names = {v: np.array([self.bytes[b] for b in c.encode()] if self.bytes else [self.unknown], np.int32).tobytes() for c, v in chars.items()}
-        stay = done != -1
-        ends = np.cumsum(stay.sum(1))
-        flat, ends = done[stay], ends.tolist()
-        buf = flat.tobytes()
-        packed = [buf[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
-        for i in np.flatnonzero((done >= n).any(1)).tolist():
-            packed[i] = b"".join(names.get(x) or np.int32(x).tobytes() for x in done[i][stay[i]].tolist())
+        stay = grid != -1
+        ends = np.cumsum(stay.sum(1)) * 4
+        buf, ends = grid[stay].tobytes(), ends.tolist()
+        packed = [buf[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i in np.flatnonzero((grid >= n).any(1)).tolist():
+            packed[i] = b"".join(names.get(x) or np.int32(x).tobytes() for x in grid[i][stay[i]].tolist())
         return packed
 
     def learn(self, parts: set[str]) -> None:
         """Put parts that the table lacks into it."""
         import numpy as np
 
-        new = [p for p in parts if p and p not in self.table]
-        if len(self.table) + len(new) > KEPT:
-            self.table, new = {}, [p for p in parts if p]
         self.table[""] = b""
-        short = [] if self.symbol or self.unused else sorted((p for p in new if len(p) <= KEPT_CHARS), key=len)
+        new = parts.difference(self.table)
+        if len(self.table) + len(new) > KEPT:
+            self.table = {"": b""}
+            new = parts.difference(self.table)
+        long, short = list(new), []
+        if not (self.symbol or self.unused):
+            long, some = [p for p in new if len(p) > KEPT_CHARS], [p for p in new if len(p) <= KEPT_CHARS]
+            width = np.fromiter(map(len, some), np.uint16, len(some))
+            short = [some[i] for i in np.argsort(width, kind="stable").tolist()]
         for a in range(0, len(short), 4096):
             some = short[a : a + 4096]
             self.table.update(zip(some, self.merge_many(some), strict=True))
-        for p in new:
-            if p not in self.table:
-                self.table[p] = np.array(self.merge(p), np.int32).tobytes()
+        for p in long:
+            self.table[p] = np.array(self.merge(p), np.int32).tobytes()
 
     def split(self, text: str) -> list[str]:
         """The parts of a whole text, normalised. Without marks in a row every mark begins a part and every line break is
@@ -244,6 +248,12 @@ class PieceBPE:
         return [x[~((x == self.unknown) & (np.r_[-1, x[:-1]] == self.unknown))] if len(x) else x for x in out]  # unknown symbols in a row are one
 
 
+@lru_cache(maxsize=1)
+def encoder(model: bytes) -> PieceBPE:
+    """The encoder of a model, made once in a Python worker: its tasks share it and its table of parts."""
+    return PieceBPE(model)
+
+
 def slices(texts: Sequence[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of about ``most`` characters; a longer text is a run of its own."""
     a = size = 0
@@ -267,16 +277,15 @@ def round_trip(docs: DataFrame, model: bytes, text: str = "text", keep: Sequence
         import numpy as np
         import pyarrow as pa
 
-        bpe = PieceBPE(model)
+        bpe = encoder(model)
         for batch in batches:
             texts = batch.column("__text").to_pylist()
             for a, b in slices(texts):
                 ids = bpe.encode(texts[a:b])
-                lists = [x.tolist() for x in ids]
                 flat = pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32), pa.int32())
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                agrees = [x == y for x, y in zip(lists, bpe.sp.encode(texts[a:b], num_threads=1), strict=True)] if check else [None] * (b - a)
-                out = [pa.ListArray.from_arrays(pa.array(ends), flat), pa.array([bpe.sp.decode(x) for x in lists], pa.string()), pa.array(agrees, pa.bool_())]
+                agrees = [x.tobytes() == y.tobytes() for x, y in zip(ids, bpe.sp.encode(texts[a:b], num_threads=1, return_type="numpy"), strict=True)] if check else [None] * (b - a)
+                out = [pa.ListArray.from_arrays(pa.array(ends), flat), pa.array([bpe.sp.decode(x) for x in ids], pa.string()), pa.array(agrees, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in keep), *out], names=[*keep, "ids", "decoded", "agrees"])
 
     return rows.mapInArrow(run, schema)
